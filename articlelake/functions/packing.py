@@ -8,7 +8,7 @@ array of `{first, last, tokens}` (1-based, inclusive). No shuffle and no Python.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from articlelake.functions.tokens import let
+from articlelake.functions.binding import let
 
 WINDOW = "struct<first:int,last:int,tokens:int>"
 

@@ -11,12 +11,9 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNIT = "struct<text:string,tokens:int>"
-
+from articlelake.functions.binding import let
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind a value once for use inside lambdas, which would re-evaluate it per element."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+UNIT = "struct<text:string,tokens:int>"
 
 
 class WordTokenizer:

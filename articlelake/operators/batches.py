@@ -3,13 +3,14 @@
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlelake.errors import IntegrityError
+from articlelake.functions.binding import let
 
 # --- fixed values ------------------------------------------------------------
-BATCH_PATTERN = r"\A(\d{4})-(\d{2})(?:_to_(\d{4})-(\d{2}))?\z"
+BATCH_PATTERN = r"\A\d{4}-\d{2}(_to_\d{4}-\d{2})?\z"
 ERRORS = {
     "malformed": "is not of the form YYYY-MM or YYYY-MM_to_YYYY-MM",
     "month": "has an out-of-range month",
@@ -27,35 +28,51 @@ class Batch:
     end_date: date
 
 
-def manifest(ids: DataFrame) -> DataFrame:
-    """Distinct `batch_id`s with year, first and last day, or the class of their error."""
+def _range(batch_id: Column) -> Column:
+    """Year, first and last day of an id, or the class of its error, as a struct."""
 
-    def number(group: int):
-        found = F.regexp_extract("batch_id", BATCH_PATTERN, group)
-        return F.when(found != "", found.cast("int"))
+    def months(n: Column) -> Column:
+        year, month = F.get(n, 0), F.get(n, 1)
+        return F.struct(
+            year.alias("y1"),
+            month.alias("m1"),
+            F.coalesce(F.get(n, 2), year).alias("y2"),
+            F.coalesce(F.get(n, 3), month).alias("m2"),
+        )
 
-    parsed = (
-        ids.select("batch_id")
-        .distinct()
-        .withColumns({"y1": number(1), "m1": number(2), "y2": number(3), "m2": number(4)})
-        .withColumns(
-            {"y2": F.coalesce("y2", "y1"), "m2": F.coalesce("m2", "m1")}
+    def classed(p: Column) -> Column:
+        error = (
+            F.when(p.y1.isNull(), "malformed")
+            .when(~(p.m1.between(1, 12) & p.m2.between(1, 12)), "month")
+            .when(p.y1 != p.y2, "cross_year")
+            .when(p.m1 > p.m2, "reversed")
         )
-        .withColumn(
-            "error",
-            F.when(F.col("y1").isNull(), "malformed")
-            .when(~(F.col("m1").between(1, 12) & F.col("m2").between(1, 12)), "month")
-            .when(F.col("y1") != F.col("y2"), "cross_year")
-            .when(F.col("m1") > F.col("m2"), "reversed"),
+        return let(error, lambda e: days(p, e))
+
+    def days(p: Column, error: Column) -> Column:
+        valid = error.isNull()
+        first, last = F.make_date(p.y1, p.m1, F.lit(1)), F.make_date(p.y2, p.m2, F.lit(1))
+        return F.struct(
+            F.when(valid, p.y1).alias("year"),
+            F.when(valid, first).alias("start_date"),
+            F.when(valid, F.last_day(last)).alias("end_date"),
+            error.alias("error"),
         )
+
+    digits = F.when(
+        batch_id.rlike(BATCH_PATTERN), F.regexp_extract_all(batch_id, F.lit(r"\d+"), F.lit(0))
     )
-    valid = F.col("error").isNull()
-    return parsed.select(
-        "batch_id",
-        F.when(valid, F.col("y1")).alias("year"),
-        F.when(valid, F.make_date("y1", "m1", F.lit(1))).alias("start_date"),
-        F.when(valid, F.last_day(F.make_date("y2", "m2", F.lit(1)))).alias("end_date"),
-        "error",
+    numbers = F.transform(F.coalesce(digits, F.array()), lambda d: d.cast("int"))
+    return let(numbers, lambda n: let(months(n), classed))
+
+
+def manifest(ids: DataFrame) -> DataFrame:
+    """Distinct `batch_id`s with year, first and last day, or the class of their error."""
+    return (
+        ids.select("batch_id")
+        .distinct()
+        .select("batch_id", _range(F.col("batch_id")).alias("range"))
+        .select("batch_id", "range.*")
     )
 
 

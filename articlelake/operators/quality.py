@@ -35,7 +35,7 @@ GUARDS = {
 # -----------------------------------------------------------------------------
 
 
-def _as_rows(counts: DataFrame) -> DataFrame:
+def as_rows(counts: DataFrame) -> DataFrame:
     """A one-row table of counts as (guard, violations) rows."""
     entries = [
         F.struct(F.lit(c).alias("guard"), F.col(c).cast("bigint").alias("violations"))
@@ -164,9 +164,9 @@ def _duplicate_ids(raw: DataFrame) -> DataFrame:
 
 def guard_report(raw: DataFrame, period: tuple[date, date] | None = None) -> DataFrame:
     """(guard, violations) for every guard of the cleaning stage."""
-    rows = _as_rows(row_guards(raw, period)).where(F.col("guard").isin(list(GUARDS)))
+    rows = as_rows(row_guards(raw, period)).where(F.col("guard").isin(list(GUARDS)))
     return (
-        rows.unionByName(_as_rows(_duplicate_ids(raw)))
+        rows.unionByName(as_rows(_duplicate_ids(raw)))
         .unionByName(untagged_guard(raw))
         .groupBy("guard")
         .agg(F.sum("violations").alias("violations"))
@@ -201,9 +201,9 @@ def content_guards(base: DataFrame) -> DataFrame:
     )
 
 
-def content_verdict(base: DataFrame) -> DataFrame:
+def content_verdict(base: DataFrame, *by: str) -> DataFrame:
     """Whether all contents are present, and single-line; true on an empty table."""
-    return base.agg(
+    return base.groupBy(*by).agg(
         F.coalesce(F.bool_and(F.col("content").isNotNull()), F.lit(True)).alias("no_nulls"),
         F.coalesce(F.bool_and(~F.col("content").contains("\n")), F.lit(True)).alias(
             "single_line"

@@ -102,14 +102,21 @@ def audited_chunks(base: DataFrame, chunking: Chunking) -> DataFrame:
     return chunking.apply(spread(base, "article_id"))
 
 
+def staged(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The rows written to and read from a fresh shared folder, and that folder."""
+    folder = run_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
 def embed_all(
-    spark: SparkSession, chunks_path: str, chunks: DataFrame, vectors: str, embedding: Embedding
+    spark: SparkSession, chunks: DataFrame, vectors: str, embedding: Embedding
 ) -> DataFrame:
-    """The chunks with embeddings; vectors are saved in waves and taken up again.
+    """A stored chunk table with embeddings; vectors are saved in waves, and resumed.
 
-    `chunks` is what `chunks_path` holds. What still lacks a vector is written once, in
-    files of one checkpoint interval each. A wave embeds as many files as may run at
-    once and appends its vectors, so a lost run repeats one wave at most.
+    What still lacks a vector is written once, in files of one checkpoint interval each.
+    A wave embeds as many files as may run at once and appends its vectors, so a lost
+    run repeats one wave at most.
     """
     todo = embed.to_embed(chunks)
     if lakes.exists(spark, vectors):
@@ -119,13 +126,10 @@ def embed_all(
     if embedding.requests_per_minute is None:
         parallel = max(parallel, spark.sparkContext.defaultParallelism)
     files = min(max(1, math.ceil(chunks.count() / per_file)), 50 * parallel)
-    waiting = run_folder(spark, "pending")
-    todo.repartition(files, *embed.KEYS).write.parquet(waiting)
-
-    staged = spark.read.parquet(waiting)
-    names = sorted(staged.inputFiles())
+    waiting, folder = staged(todo.repartition(files, *embed.KEYS), "pending")
+    names = sorted(waiting.inputFiles())
     for start in range(0, len(names), parallel):
-        wave = spark.read.schema(staged.schema).parquet(*names[start : start + parallel])
+        wave = spark.read.schema(waiting.schema).parquet(*names[start : start + parallel])
         if wave.rdd.getNumPartitions() > parallel:
             wave = wave.coalesce(parallel)
         elif embedding.requests_per_minute is None:
@@ -138,6 +142,7 @@ def embed_all(
             embedding.requests_per_minute,
             **embedding.options,
         ).write.mode("append").parquet(vectors)
+    lakes.remove(spark, folder)
 
     saved = read_vectors(spark, vectors)
     if embedding.dimension is None:
@@ -166,7 +171,9 @@ def _require_uniform(chunks: DataFrame, saved: DataFrame, label: str) -> None:
 
 def clean_job(spark: SparkSession, csv: str, output: str, batch_id: str | None = None) -> None:
     batch = batches.resolve(spark, batch_id) if batch_id else None
-    audited_base(read_raw_csv(spark, csv), batch).write.mode("overwrite").parquet(output)
+    raw, folder = staged(read_raw_csv(spark, csv), "raw")
+    audited_base(raw, batch).write.mode("overwrite").parquet(output)
+    lakes.remove(spark, folder)
 
 
 def flatten_job(spark: SparkSession, base: str, output: str) -> None:
@@ -187,14 +194,15 @@ def embed_job(
     limit: int | None = None,
 ) -> None:
     """Embed a chunk table, or its first `limit` passages into an output of their own."""
-    source, target = chunks, output
+    table, target, folder = spark.read.parquet(chunks), output, None
     if limit is not None:
-        source, target = run_folder(spark, "sample"), sample_path(output)
-        embed.sample(spark.read.parquet(chunks), limit).write.parquet(source)
+        table, folder = staged(embed.sample(table, limit), "sample")
+        target = sample_path(output)
     vectors = f"{target}.checkpoint"
-    table = spark.read.parquet(source)
-    embed_all(spark, source, table, vectors, embedding).write.mode("overwrite").parquet(target)
+    embed_all(spark, table, vectors, embedding).write.mode("overwrite").parquet(target)
     lakes.remove(spark, vectors)
+    if folder:
+        lakes.remove(spark, folder)
 
 
 def sample_path(output: str) -> str:
@@ -280,9 +288,7 @@ def run_batch(
         return rows | {"embeddings": 0}
     chunks = lakes.read_batch(spark, lake.stage("chunks"), batch, CHUNK_COLUMNS)
     vectors = lakes.partition_of(lake.staging("vectors"), batch)
-    embedded = embed_all(
-        spark, lake.partition("chunks", batch), chunks, vectors, embedding
-    )
+    embedded = embed_all(spark, chunks, vectors, embedding)
     rows["embeddings"] = lakes.replace_batch(embedded, lake.stage("embeddings"), batch)
     lakes.remove(spark, vectors)
     return rows
@@ -303,10 +309,11 @@ def land_batch(
     delivery of the same id needs `overwrite`.
     """
     batch = batches.resolve(spark, batch_id)
-    raw = read_raw_csv(spark, csv)
+    raw, folder = staged(read_raw_csv(spark, csv), "delivery")
     if validate:
         audited_base(raw, batch)
     if dry_run:
+        lakes.remove(spark, folder)
         return []
     delivered = batches.manifest(lakes.raw_batches(spark, lake, batch.year))
     batches.require_no_overlap(delivered, batch)
@@ -314,6 +321,7 @@ def land_batch(
     if present["raw"] and not overwrite:
         raise IntegrityError(f"{lake.raw(batch)} already exists: pass overwrite to replace it")
     write_raw_csv(raw, lake.raw(batch))
+    lakes.remove(spark, folder)
     return [s for s, there in present.items() if there and s != "raw"]
 
 

@@ -6,6 +6,7 @@
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -125,9 +126,23 @@ def inventory(spark: SparkSession, lake: Lake, batch: Batch) -> dict[str, bool]:
     return {name: exists(spark, path) for name, path in lake.targets(batch).items()}
 
 
-def partitions(df: DataFrame) -> DataFrame:
-    """Distinct (year, batch_id) of a stage table."""
-    return df.select(*PARTITION_COLUMNS).distinct()
+def stage_inventory(spark: SparkSession, lake: Lake, batch_ids: DataFrame) -> DataFrame:
+    """(batch_id, stage) for every stage the given batches have outputs in.
+
+    For re-delivered batches these are the outputs that are stale until reprocessed.
+    Only partition names are read.
+    """
+    found = [
+        spark.read.parquet(lake.stage(s))
+        .select(F.col("batch_id").cast("string").alias("batch_id"))
+        .distinct()
+        .withColumn("stage", F.lit(s))
+        for s in STAGES
+        if exists(spark, lake.stage(s))
+    ]
+    if not found:
+        return spark.createDataFrame([], "batch_id string, stage string")
+    return reduce(DataFrame.unionByName, found).join(batch_ids, "batch_id", "left_semi")
 
 
 def compact(spark: SparkSession, table: str, target: str) -> None:
