@@ -27,67 +27,49 @@ def check_sizes(target: int, maximum: int, overlap: int) -> None:
         raise ValueError("overlap tokens must be below maximum tokens")
 
 
-def _carried(sizes: Column, first: Column, last: Column, overlap: int) -> Column:
-    """Start and tokens of the longest whole-unit suffix within the overlap budget."""
-    if overlap == 0:
-        return F.struct((last + 1).alias("first"), F.lit(0).alias("tokens"))
-    return F.aggregate(
-        F.reverse(F.slice(sizes, first, last - first + 1)),
-        F.struct(
-            F.lit(0).alias("units"), F.lit(0).alias("tokens"), F.lit(True).alias("open")
-        ),
-        lambda s, n: F.when(
-            s.open & (s.tokens + n <= overlap),
-            F.struct(
-                (s.units + 1).alias("units"),
-                (s.tokens + n).alias("tokens"),
-                F.lit(True).alias("open"),
-            ),
-        ).otherwise(
-            F.struct(
-                s.units.alias("units"), s.tokens.alias("tokens"), F.lit(False).alias("open")
-            )
-        ),
-        lambda s: F.struct((last + 1 - s.units).alias("first"), s.tokens.alias("tokens")),
-    )
-
-
-def windows(sizes: Column, target: int, maximum: int, overlap: int) -> Column:
-    """Windows over an array of unit sizes; an empty array has none."""
-
-    def state(first, last, tokens, done):
-        return F.struct(
-            first.alias("first"), last.alias("last"), tokens.alias("tokens"), done.alias("done")
-        )
+# units, tokens: the suffix taken so far; open: whether the budget has held for all of it
+_CARRIED = """
+  aggregate(
+    reverse(slice(sizes, s.first, s.last - s.first + 1)),
+    named_struct('units', 0, 'tokens', 0, 'open', true),
+    (o, m) -> if(o.open AND o.tokens + m <= {overlap},
+                 named_struct('units', o.units + 1, 'tokens', o.tokens + m, 'open', true),
+                 named_struct('units', o.units, 'tokens', o.tokens, 'open', false)),
+    o -> named_struct('first', s.last + 1 - o.units, 'tokens', o.tokens))
+"""
+_NOTHING_CARRIED = "named_struct('first', s.last + 1, 'tokens', 0)"
+
+# s: the open window and the closed ones; n: the size of the next unit
+_WINDOWS = """
+element_at(transform(array({sizes}), sizes ->
+  aggregate(
+    sizes,
+    named_struct('first', 1, 'last', 0, 'tokens', 0, 'done', cast(array() AS array<{window}>)),
+    (s, n) -> if(
+      s.last >= s.first AND (s.tokens + n > {maximum} OR s.tokens >= {target}),
+      element_at(transform(array({carried}), c -> named_struct(
+        'first', c.first, 'last', s.last + 1, 'tokens', c.tokens + n,
+        'done', concat(s.done, array(named_struct(
+          'first', s.first, 'last', s.last, 'tokens', s.tokens))))), 1),
+      named_struct('first', s.first, 'last', s.last + 1, 'tokens', s.tokens + n, 'done', s.done)),
+    s -> if(s.last >= s.first,
+            concat(s.done, array(named_struct(
+              'first', s.first, 'last', s.last, 'tokens', s.tokens))),
+            s.done))), 1)
+"""
 
-    def closed(s):
-        return F.array(
-            F.struct(s.first.alias("first"), s.last.alias("last"), s.tokens.alias("tokens"))
-        )
 
-    def fold(bound: Column) -> Column:
-        def step(s, n):
-            full = (s.last >= s.first) & (
-                (s.tokens + n > maximum) | (s.tokens >= target)
-            )
-            return F.when(
-                full,
-                let(
-                    _carried(bound, s.first, s.last, overlap),
-                    lambda c: state(
-                        c.first, s.last + 1, c.tokens + n, F.concat(s.done, closed(s))
-                    ),
-                ),
-            ).otherwise(state(s.first, s.last + 1, s.tokens + n, s.done))
+def windows(sizes: str, target: int, maximum: int, overlap: int) -> Column:
+    """Windows over an array of unit sizes, given as SQL; an empty array has none.
 
-        return F.aggregate(
-            bound,
-            state(F.lit(1), F.lit(0), F.lit(0), F.array().cast(f"array<{WINDOW}>")),
-            step,
-            lambda s: F.when(s.last >= s.first, F.concat(s.done, closed(s))).otherwise(s.done),
+    The array is bound once, as a lambda would evaluate it again for every unit.
+    """
+    carried = _CARRIED.format(overlap=overlap) if overlap else _NOTHING_CARRIED
+    return F.expr(
+        _WINDOWS.format(
+            sizes=sizes, window=WINDOW, target=target, maximum=maximum, carried=carried
         )
-
-    return let(sizes, fold)
+    )
 
 
 def passages(texts: Column, spans: Column) -> Column:

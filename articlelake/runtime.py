@@ -27,13 +27,14 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core on an input with fewer splits than cores, else leave it alone.
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Use every core on a table with fewer splits than cores, else leave it alone.
 
-    Row-local text work is CPU-bound, so a single-row-group file is worth one
-    exchange. A large table already has more splits than cores and is not shuffled.
+    Row-local text work is CPU-bound, so a file of one row group is worth an exchange.
+    A large table already has more splits than cores and is not shuffled. Meant for
+    plans that only scan: asking others for their splits would run their exchanges.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *keys)

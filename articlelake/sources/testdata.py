@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlelake.functions.text import collapse_space
+from articlelake.runtime import spread
 from articlelake.schemas import RAW_COLUMNS
 
 # --- fixed values (the adapter's definition) ---------------------------------
@@ -17,56 +18,58 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tagged(i: int) -> Column:
-    bits = (F.col("doc_id") % 15 + 1).cast("int")
-    return F.shiftright(bits, i).bitwiseAND(1) == 1
-
-
-def _json(render) -> Column:
-    members = [
-        F.when(_tagged(i), F.concat(F.lit(f'"{name}": '), render(i, name)))
-        for i, name in enumerate(VOCABULARY)
-    ]
-    return F.concat(F.lit("{"), F.array_join(F.array(*members), ", "), F.lit("}"))
-
-
-def raw_articles(spark: SparkSession, sf_dir: str, keep_unknown: bool = False) -> DataFrame:
+def raw_articles(
+    spark: SparkSession, sf_dir: str, keep_unknown: bool = False, spread_text: bool = False
+) -> DataFrame:
     """One raw article per document; unlabelled documents have unknown flags.
 
     `keep_unknown` sets those flags to keep the row. The `doc_id` stays for reference.
-    The label table is joined by the size Spark finds for it, with no hint.
+    The label table is joined by the size Spark finds for it, with no hint. Columns a
+    query leaves out, the text above all, are pruned from the scan; `spread_text` is for
+    queries that work on it.
     """
     documents = table(spark, sf_dir, "documents")
+    if spread_text:
+        documents = spread(documents, "doc_id")
     labels = table(spark, sf_dir, "labels")
-    day = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.col("doc_id") % 365).cast("int"))
-    toxic = F.col("toxic") == 1
-    relevance = F.when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "high")
+    toxic = "toxic = 1"
+    relevance = "CASE quality WHEN 0 THEN 'low' WHEN 1 THEN 'high' END"
     if keep_unknown:
-        toxic, relevance = F.coalesce(toxic, F.lit(False)), F.coalesce(relevance, F.lit("high"))
-    iso = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T23:31:00+08:00"))
-    tags = [
-        F.when(_tagged(i), F.lit(name))
-        for i, name in reversed(list(enumerate(VOCABULARY)))
-    ]
+        toxic, relevance = f"coalesce({toxic}, false)", f"coalesce({relevance}, 'high')"
+    day = f"date_add(DATE'{FIRST_DAY}', cast(doc_id % 365 AS int))"
+    tagged = {
+        name: f"(doc_id % 15 + 1) & {1 << i} != 0" for i, name in enumerate(VOCABULARY)
+    }
+
+    def listed(values: dict[str, str], separator: str) -> str:
+        members = ", ".join(f"CASE WHEN {tagged[t]} THEN {v} END" for t, v in values.items())
+        return f"array_join(array({members}), '{separator}')"
+
+    scores = {
+        t: f"""concat('"{t}": ', cast((doc_id * 7 + {i * 13}) % 5 - 2 AS string))"""
+        for i, t in enumerate(VOCABULARY)
+    }
+    reasons = {t: f"""'"{t}": "why {t}"'""" for t in VOCABULARY}
     return documents.join(labels, "doc_id", "left").select(
         "doc_id",
-        F.concat(F.lit("  Doc "), F.col("doc_id"), F.lit(" ")).alias("title"),
-        F.concat(F.lit("https://example.test/"), F.col("doc_id")).alias("url"),
-        F.when(F.col("doc_id") % 2 == 0, iso)
-        .otherwise(F.date_format(day, "M/d/yyyy 23:31"))
-        .alias("published_date"),
+        F.expr("concat('  Doc ', doc_id, ' ')").alias("title"),
+        F.expr("concat('https://example.test/', doc_id)").alias("url"),
+        F.expr(
+            f"""if(doc_id % 2 = 0, concat(cast({day} AS string), 'T23:31:00+08:00'),
+                   date_format({day}, 'M/d/yyyy 23:31'))"""
+        ).alias("published_date"),
         collapse_space(F.col("text")).alias("content"),
         F.col("source").alias("news_site"),
-        relevance.alias("housing_relevance"),
-        toxic.alias("exclude_from_housing_analysis"),
-        F.when(F.col("source") == ADVERTISING_SOURCE, "advertisement_or_sponsored")
-        .otherwise("news")
-        .alias("article_type"),
-        F.array_join(F.array(*tags), " | ").alias("topics"),
-        _json(lambda i, _: ((F.col("doc_id") * 7 + i * 13) % 5 - 2).cast("string")).alias(
-            "sentiment_by_topic"
+        F.expr(relevance).alias("housing_relevance"),
+        F.expr(toxic).alias("exclude_from_housing_analysis"),
+        F.expr(
+            f"if(source = '{ADVERTISING_SOURCE}', 'advertisement_or_sponsored', 'news')"
+        ).alias("article_type"),
+        F.expr(listed({t: f"'{t}'" for t in reversed(VOCABULARY)}, " | ")).alias("topics"),
+        F.expr(f"concat('{{', {listed(scores, ', ')}, '}}')").alias("sentiment_by_topic"),
+        F.expr(f"concat('{{', {listed(reasons, ', ')}, '}}')").alias(
+            "sentiment_reason_by_topic"
         ),
-        _json(lambda _, name: F.lit(f'"why {name}"')).alias("sentiment_reason_by_topic"),
     )
 
 
