@@ -12,14 +12,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without the setting gets one of its own: on a cluster a
     machine-local folder would be invisible to the other machines.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    own = tempfile.mkdtemp(prefix="articlelake-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="articlelake-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:
