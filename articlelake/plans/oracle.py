@@ -304,7 +304,7 @@ FROM manifest a JOIN manifest b ON a.batch_id < b.batch_id AND a.start_date <= b
 FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS batch_id FROM orders)""",
         "batch_lineage_roundtrip": f"""{KEPT} SELECT article_id, year, month_id AS batch_id,
   CASE WHEN month_id = '2022-06' THEN 'Revised: ' || title ELSE title END AS title, content FROM base""",
-        "batch_retire": f"""{KEPT} SELECT {FLAT_COLUMNS}, month_id AS batch_id FROM flat WHERE month_id <> '2022-08'""",
+        "batch_retire": f"""{KEPT} SELECT {FLAT_COLUMNS}, month_id AS batch_id FROM flat WHERE month_id <> '2022-03'""",
         "stale_outputs": f"""{KEPT} SELECT DISTINCT month_id AS batch_id, stage FROM base, (VALUES ('base'), ('flattened')) v(stage)
 WHERE stage = 'base' OR quarter_year IN ('2022Q1', '2022Q2')""",
         "batch_run": f"""{KEPT} SELECT {FLAT_COLUMNS}, '2022-01_to_2022-12' AS batch_id FROM flat""",

@@ -345,7 +345,7 @@ def batch_lineage_roundtrip(spark, sf):
 def batch_retire(spark, sf):
     lake = Lake(run_folder(spark, "lake"))
     lakes.write_partitions(_monthly(flatten_articles(_base(spark, sf))), lake.stage("flattened"))
-    jobs.retire_batch(spark, lake, "2022-08", confirm=True)
+    jobs.retire_batch(spark, lake, "2022-03", confirm=True)
     return _day(lakes.read_stage(spark, lake.stage("flattened"), FLAT_COLUMNS))
 
 
