@@ -10,6 +10,7 @@ UNICODE_EDGES = r"(?U)^\s+|\s+\z"
 # four separators U+001C to U+001F. Written as one property, it is tested in one step
 # per character; spelled out as ranges it is four times slower.
 TEXT_SPACE = r"(?U)[\s\x1c-\x1f]+"
+NON_SPACE = r"(?U)[^\s\x1c-\x1f]"
 # a sentence ends in . ! or ? and the next opens with an ASCII capital or digit,
 # optionally behind one quote or bracket; runs of space are one space by then
 SENTENCE_GAP = r"(?<=[.!?]) (?=[\"'(\[]?[A-Z0-9])"
@@ -34,6 +35,11 @@ def collapse_space(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, TEXT_SPACE, " "))
 
 
+def has_text(c: Column) -> Column:
+    """Whether anything but whitespace occurs; looks no further than the first find."""
+    return c.rlike(NON_SPACE)
+
+
 def sentences(c: Column) -> Column:
     """Sentence-like units of a text; blank text has none, NULL stays NULL."""
     return F.filter(F.split(collapse_space(c), SENTENCE_GAP, -1), lambda s: s != "")

@@ -12,11 +12,6 @@ def decode(text: Column, map_type: str) -> Column:
     return F.from_json(F.coalesce(text, F.lit("{}")), map_type)
 
 
-def is_malformed(text: Column, map_type: str) -> Column:
-    """True where text is present but is not such an object."""
-    return text.isNotNull() & F.from_json(text, map_type).isNull()
-
-
 def present_keys(decoded: Column) -> Column:
     """Keys that carry a value."""
     return F.map_keys(F.map_filter(decoded, lambda _, v: v.isNotNull()))

@@ -1,5 +1,7 @@
 """Base articles to sentence-aware, token-bounded, overlapping passages."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,13 +55,15 @@ def chunk_articles(
     overlap: int = OVERLAP_TOKENS,
     enforce: bool = False,
     order_by: str | None = None,
+    stage: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """One row per passage.
 
     Passages are numbered by position within their row, which needs no shuffle and is
     the numbering per article as long as article ids are unique. `order_by` names an
     integer column giving the row order where they are not: numbering then runs on
-    across the rows of an id.
+    across the rows of an id. It reads the passages twice, so `stage` may write them to
+    a table and hand that back.
 
     `enforce` fails the job on content the chunker does not take, and on passages that
     would share the NULL id of an article without one.
@@ -95,7 +99,7 @@ def chunk_articles(
     if order_by is None:
         rows = rows.withColumn("chunk_index", F.col("position").cast("bigint"))
     else:
-        rows = number_across_rows(rows, "article_id", order_by, "position")
+        rows = number_across_rows(stage(rows), "article_id", order_by, "position")
     return (
         rows.withColumn("chunk_id", text.chunk_key(F.col("article_id"), F.col("chunk_index")))
         .withColumn(

@@ -52,6 +52,7 @@ def embed_rows(
     requests_per_minute: float | None = None,
     max_attempts: int = EMBED_MAX_ATTEMPTS,
     first_wait: float = EMBED_FIRST_WAIT_SECONDS,
+    wait_first: bool = False,
     sleep: Callable[[float], None] = time.sleep,
     clock: Callable[[], float] = time.monotonic,
 ) -> DataFrame:
@@ -60,7 +61,8 @@ def embed_rows(
     `connect()` makes one client per task, which maps a list of texts to their vectors.
     A request that fails is repeated after 5, 10, 20, 40 seconds; the last failure is
     raised. A request limit is shared out over the partitions, all of which may run at
-    once: each starts requests that many times further apart.
+    once: each starts requests that many times further apart. `wait_first` keeps that
+    distance to requests made just before.
     """
     interval = 0.0
     if requests_per_minute:
@@ -97,7 +99,7 @@ def embed_rows(
 
     def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         embed = connect()
-        started = None
+        started = clock() if wait_first else None
         out = []
         for batch in requests(rows):
             if interval and started is not None:
@@ -139,17 +141,23 @@ def pending(chunks: DataFrame, vectors: DataFrame, model: str) -> DataFrame:
     return to_embed(chunks).join(done, KEYS, "left_anti")
 
 
-def attach(chunks: DataFrame, vectors: DataFrame, model: str) -> DataFrame:
+def repeated(vectors: DataFrame, model: str) -> DataFrame:
+    """Keys with more than one saved vector of the model; reads no vectors."""
+    keys = vectors.where(F.col("model") == model).groupBy(KEYS).count()
+    return keys.where(F.col("count") > 1)
+
+
+def attach(
+    chunks: DataFrame, vectors: DataFrame, model: str, deduplicate: bool = True
+) -> DataFrame:
     """The chunks with their `embedding`, NULL where none was saved.
 
-    Vectors are reduced to one per key first: two runs may both have saved one. The
-    join then finds them already partitioned by its keys.
+    Two runs may both have saved a vector. Reducing them to one per key sorts all of
+    them before the exchange, so callers that know there are none can leave it out.
     """
-    saved = (
-        vectors.where(F.col("model") == model)
-        .groupBy(KEYS)
-        .agg(F.first("embedding").alias("embedding"))
-    )
+    saved = vectors.where(F.col("model") == model).select(*KEYS, "embedding")
+    if deduplicate:
+        saved = saved.groupBy(KEYS).agg(F.first("embedding").alias("embedding"))
     return (
         chunks.withColumn("text_hash", text_hash(F.col("retrieval_text")))
         .join(saved, KEYS, "left")

@@ -97,10 +97,7 @@ def row_guards(raw: DataFrame, period: tuple[date, date] | None = None) -> DataF
         "duplicate_topics": count(
             F.array_size("own_topics") != F.array_size(F.array_distinct("own_topics"))
         ),
-        "malformed_json": count(
-            topics.is_malformed(F.col("sentiment_by_topic"), topics.SCORES)
-            | topics.is_malformed(F.col("sentiment_reason_by_topic"), topics.REASONS)
-        ),
+        "malformed_json": count(F.col("scores").isNull() | F.col("reasons").isNull()),
         "topic_sentiment_mismatch": count(_mismatch("score_keys")),
         "topic_reason_mismatch": count(_mismatch("reason_keys")),
         "row_conservation": F.count_if(F.col("excluded").isNull()),
@@ -254,12 +251,10 @@ def duplicate_chunk_articles(base: DataFrame) -> DataFrame:
     with text share an id. That is a far smaller exchange than one over all passages.
     A single row without an id is left to the check made while chunking.
     """
-    ids = (
-        base.where(F.col("content").isNotNull() & (text.collapse_space(F.col("content")) != ""))
-        .groupBy("article_id")
-        .count()
+    with_text = base.where(text.has_text(F.col("content")))
+    return duplicate_values(with_text, "article_id").agg(
+        F.count("*").alias("unique_chunk_id")
     )
-    return ids.agg(F.count_if(F.col("count") > 1).alias("unique_chunk_id"))
 
 
 def embedding_guards(embedded: DataFrame, dimension: int | None = None) -> DataFrame:

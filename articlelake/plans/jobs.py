@@ -37,6 +37,7 @@ from articlelake.sources.csv import read_raw_csv, write_raw_csv
 from articlelake.sources.lake import Lake
 
 OFFENDERS_SHOWN = 20
+MAX_WAVES = 50
 
 
 @dataclass(frozen=True)
@@ -98,7 +99,9 @@ def audited_flat(base: DataFrame) -> DataFrame:
 
 
 def audited_chunks(base: DataFrame, chunking: Chunking) -> DataFrame:
-    quality.enforce(quality.duplicate_chunk_articles(base).first().asDict())
+    # whether the rows of a repeated id have text matters only if there is one
+    if not quality.duplicate_values(base, "article_id").isEmpty():
+        quality.enforce(quality.duplicate_chunk_articles(base).first().asDict())
     return chunking.apply(spread(base, "article_id"))
 
 
@@ -114,40 +117,50 @@ def embed_all(
 ) -> DataFrame:
     """A stored chunk table with embeddings; vectors are saved in waves, and resumed.
 
-    What still lacks a vector is written once, in files of one checkpoint interval each.
-    A wave embeds as many files as may run at once and appends its vectors, so a lost
-    run repeats one wave at most.
+    A wave embeds as many files as may run at once and appends their vectors, so a lost
+    run repeats one wave at most. The files are those of the chunk table, or of what a
+    resumed run found pending. A table with too few files for waves of a checkpoint
+    interval is cut into more; a large one is used as it lies, and not shuffled.
     """
-    todo = embed.to_embed(chunks)
-    if lakes.exists(spark, vectors):
-        todo = embed.pending(chunks, read_vectors(spark, vectors), embedding.label)
-    per_file = embedding.batch_size * EMBED_CHECKPOINT_EVERY
+    paced = embedding.requests_per_minute is not None
     parallel = embedding.parallel
-    if embedding.requests_per_minute is None:
+    if not paced:
         parallel = max(parallel, spark.sparkContext.defaultParallelism)
-    files = min(max(1, math.ceil(chunks.count() / per_file)), 50 * parallel)
-    waiting, folder = staged(todo.repartition(files, *embed.KEYS), "pending")
-    names = sorted(waiting.inputFiles())
+    folders = []
+    todo = embed.to_embed(chunks)
+    if lakes.exists(spark, vectors):
+        pending = embed.pending(chunks, read_vectors(spark, vectors), embedding.label)
+        todo, folder = staged(pending, "pending")
+        folders.append(folder)
+    intervals = math.ceil(todo.count() / (embedding.batch_size * EMBED_CHECKPOINT_EVERY))
+    files = min(intervals, MAX_WAVES * parallel)
+    if len(todo.inputFiles()) < files:
+        todo, folder = staged(todo.repartition(files, *embed.KEYS), "waves")
+        folders.append(folder)
+    names = sorted(todo.inputFiles()) if intervals else []
     for start in range(0, len(names), parallel):
-        wave = spark.read.schema(waiting.schema).parquet(*names[start : start + parallel])
-        if wave.rdd.getNumPartitions() > parallel:
+        part = spark.read.parquet(*names[start : start + parallel])
+        wave = part if "text_hash" in part.columns else embed.to_embed(part)
+        if paced:
             wave = wave.coalesce(parallel)
-        elif embedding.requests_per_minute is None:
-            wave = spread(wave, *embed.KEYS)
         embed.embed_rows(
             wave,
             embedding.connect,
             embedding.label,
             embedding.batch_size,
             embedding.requests_per_minute,
+            wait_first=start > 0,
             **embedding.options,
         ).write.mode("append").parquet(vectors)
-    lakes.remove(spark, folder)
+    for folder in folders:
+        lakes.remove(spark, folder)
 
     saved = read_vectors(spark, vectors)
     if embedding.dimension is None:
         _require_uniform(chunks, saved, embedding.label)
-    return embed.checked(embed.attach(chunks, saved, embedding.label), embedding.dimension)
+    repeated = not embed.repeated(saved, embedding.label).isEmpty()
+    attached = embed.attach(chunks, saved, embedding.label, deduplicate=repeated)
+    return embed.checked(attached, embedding.dimension)
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:

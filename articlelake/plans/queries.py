@@ -203,7 +203,10 @@ def chunk_numbering(spark, sf):
         "doc_id",
     ).withColumns(constant)
     # the row's document rides along in the lineage column
-    return chunk_articles(articles, order_by="doc_id", **SMALL).select(
+    chunks = chunk_articles(
+        articles, order_by="doc_id", stage=lambda rows: jobs.staged(rows, "passages")[0], **SMALL
+    )
+    return chunks.select(
         "article_id",
         F.col("batch_id").cast("bigint").alias("doc_id"),
         "chunk_index",

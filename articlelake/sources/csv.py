@@ -17,10 +17,10 @@ def has_spanning_records(spark: SparkSession, path: str) -> bool:
     """Whether a quoted field runs over a line end somewhere.
 
     The first such line has an odd number of quotes, and with none of those no line
-    ends inside quotes. The scan is splittable and stops at the first find.
+    ends inside quotes. The scan is splittable.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    return bool(spark.read.text(path).agg(F.bool_or(quotes % 2 == 1)).first()[0])
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:

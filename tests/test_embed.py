@@ -115,14 +115,29 @@ def test_vector_count_must_match(spark):
 
 
 def test_request_limit_is_shared_by_partitions(spark):
-    waits = log_folder()
-    df = embed.to_embed(chunk_frame(spark, 40)).repartition(2, "chunk_id").coalesce(2)
+    waits, folder = log_folder(), log_folder()
+    df = embed.to_embed(chunk_frame(spark, 40)).repartition(2, "chunk_id")
     embed.embed_rows(
-        df, recording(log_folder()), "m", batch_size=5, requests_per_minute=30,
+        df, recording(folder), "m", batch_size=5, requests_per_minute=30,
         sleep=noting(waits), clock=lambda: 0.0,
     ).collect()
     # 2 partitions at 30 a minute in all: 4 s apart in each; none before a first request
-    assert set(waits_in(waits)) == {4.0} and len(waits_in(waits)) <= 8
+    busy = df.select(F.spark_partition_id()).distinct().count()
+    assert set(waits_in(waits)) == {4.0}
+    assert len(requests_in(folder)) - len(waits_in(waits)) == busy == 2
+
+
+def test_request_limit_holds_across_waves(spark):
+    waits, folder = log_folder(), log_folder()
+    options = {"sleep": noting(waits), "clock": lambda: 0.0}
+    limited = settings(
+        recording(folder), batch_size=1, requests_per_minute=30, options=options
+    )
+    chunks = stored(spark, 60)
+    assert jobs.embed_all(spark, chunks, run_folder(spark, "v"), limited).count() == 60
+    assert len(requests_in(folder)) == 60
+    # every request but the very first keeps its distance
+    assert waits_in(waits) == [2.0] * 59
 
 
 def settings(connect, **kw):
