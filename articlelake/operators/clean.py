@@ -44,36 +44,30 @@ def shape(raw: DataFrame) -> DataFrame:
 
     Cleaning and auditing both start here and keep the columns they use.
     """
-    day = text.parse_day(F.col("published_date"))
-    return (
-        raw.select(
-            exclusion_mask().alias("excluded"),
-            text.trim_unicode(F.col("title")).alias("title"),
-            "url",
-            day.alias("published_date"),
-            "content",
-            "news_site",
-            F.col("topics").alias("topics_text"),
-            "sentiment_by_topic",
-            "sentiment_reason_by_topic",
-            *[c for c in [LINEAGE_COLUMN] if c in raw.columns],
-        )
-        .withColumn("year", F.year("published_date"))
-        .withColumn("quarter_year", text.quarter_label(F.col("published_date")))
-        .withColumn(
-            "article_id",
-            text.joined_key(
-                KEY_SEPARATOR,
-                F.col("title"),
-                F.col("published_date").cast("string"),
-                F.col("news_site"),
+    parsed = raw.select(
+        exclusion_mask().alias("excluded"),
+        text.trim_unicode(F.col("title")).alias("title"),
+        "url",
+        text.parse_day(F.col("published_date")).alias("published_date"),
+        "content",
+        "news_site",
+        F.col("topics").alias("topics_text"),
+        "sentiment_by_topic",
+        "sentiment_reason_by_topic",
+        *[c for c in [LINEAGE_COLUMN] if c in raw.columns],
+    )
+    day = F.col("published_date")
+    return parsed.withColumns(
+        {
+            "year": F.year(day),
+            "quarter_year": text.quarter_label(day),
+            "article_id": text.joined_key(
+                KEY_SEPARATOR, F.col("title"), day.cast("string"), F.col("news_site")
             ),
-        )
-        .withColumn("own_topics", text.split_trimmed(F.col("topics_text")))
-        .withColumn("scores", topics.decode(F.col("sentiment_by_topic"), topics.SCORES))
-        .withColumn(
-            "reasons", topics.decode(F.col("sentiment_reason_by_topic"), topics.REASONS)
-        )
+            "own_topics": text.split_trimmed(F.col("topics_text")),
+            "scores": topics.decode(F.col("sentiment_by_topic"), topics.SCORES),
+            "reasons": topics.decode(F.col("sentiment_reason_by_topic"), topics.REASONS),
+        }
     )
 
 

@@ -59,24 +59,33 @@ def exclusion_accounting(raw: DataFrame) -> DataFrame:
     )
 
 
-def _with_keys(raw: DataFrame) -> DataFrame:
-    """Shaped rows with the valued keys of both JSON objects."""
-    return shape(raw).withColumns(
-        {
-            "score_keys": topics.present_keys(F.col("scores")),
-            "reason_keys": topics.present_keys(F.col("reasons")),
-        }
-    )
-
+def auditable(raw: DataFrame) -> DataFrame:
+    """Shaped rows and how their tags meet the keys of both JSON objects.
 
-def _mismatch(keys: str) -> Column:
-    return F.coalesce(
-        topics.tags_unmatched(F.col("own_topics"), F.col(keys)), F.lit(False)
-    )
+    `*_mismatch`: some tag has no value of its own; `other_*`: valued keys that are no
+    tags, where that is all that may be wrong.
+    """
+    own = F.col("own_topics")
+    keys = {
+        "scores": topics.present_keys(F.col("scores")),
+        "reasons": topics.present_keys(F.col("reasons")),
+    }
+    mismatches = {
+        f"{name}_mismatch": F.coalesce(topics.tags_unmatched(own, F.col(f"{name}_keys")), F.lit(False))
+        for name in keys
+    }
+    others = {
+        f"other_{name}": F.when(
+            ~F.col(f"{name}_mismatch"), topics.untagged_keys(own, F.col(f"{name}_keys"))
+        )
+        for name in keys
+    }
+    keyed = shape(raw).withColumns({f"{name}_keys": k for name, k in keys.items()})
+    return keyed.withColumns(mismatches).withColumns(others)
 
 
-def row_guards(raw: DataFrame, period: tuple[date, date] | None = None) -> DataFrame:
-    """All guards a raw row can answer alone, in one pass, as one row of counts.
+def row_guards(rows: DataFrame, period: tuple[date, date] | None = None) -> DataFrame:
+    """All guards an auditable row can answer alone, in one pass, as one row of counts.
 
     The two match guards count tags without a value here; `untagged_*` count rows with a
     value they are not tagged with, which is a violation only inside the vocabulary.
@@ -86,54 +95,40 @@ def row_guards(raw: DataFrame, period: tuple[date, date] | None = None) -> DataF
     def count(condition: Column) -> Column:
         return F.count_if(kept & condition)
 
-    def extra(keys: str) -> Column:
-        other = topics.untagged_keys(F.col("own_topics"), F.col(keys))
-        return count(~_mismatch(keys) & (F.array_size(other) > 0))
-
     counts = {
         "missing_published_date": count(F.col("published_date").isNull()),
-        "missing_title": count(text.is_blank(F.col("title"))),
+        "missing_title": count(F.coalesce("title", F.lit("")) == ""),
         "empty_topics": count(text.is_blank(F.col("topics_text"))),
         "duplicate_topics": count(
             F.array_size("own_topics") != F.array_size(F.array_distinct("own_topics"))
         ),
         "malformed_json": count(F.col("scores").isNull() | F.col("reasons").isNull()),
-        "topic_sentiment_mismatch": count(_mismatch("score_keys")),
-        "topic_reason_mismatch": count(_mismatch("reason_keys")),
+        "topic_sentiment_mismatch": count(F.col("scores_mismatch")),
+        "topic_reason_mismatch": count(F.col("reasons_mismatch")),
         "row_conservation": F.count_if(F.col("excluded").isNull()),
-        "untagged_scores": extra("score_keys"),
-        "untagged_reasons": extra("reason_keys"),
+        "untagged_scores": count(F.array_size("other_scores") > 0),
+        "untagged_reasons": count(F.array_size("other_reasons") > 0),
         "base_rows": F.count_if(kept),
     }
     if period is not None:
         counts["out_of_batch_range"] = count(~F.col("published_date").between(*period))
-    return _with_keys(raw).agg(*[c.alias(name) for name, c in counts.items()])
+    return rows.agg(*[c.alias(name) for name, c in counts.items()])
 
 
-def untagged_guard(raw: DataFrame) -> DataFrame:
-    """Rows valued for a vocabulary topic they are not tagged with, per match guard.
+def untagged_guard(rows: DataFrame, raw: DataFrame) -> DataFrame:
+    """Auditable rows valued for a vocabulary topic they are not tagged with, per match guard.
 
     Rows are counted per distinct set of such keys before the sets meet the vocabulary,
     so neither the rows nor the vocabulary are gathered anywhere.
     """
-    own = F.col("own_topics")
-
-    def kind(guard: str, keys: str) -> Column:
-        other = F.when(~_mismatch(keys), topics.untagged_keys(own, F.col(keys)))
-        return F.struct(F.lit(guard).alias("guard"), other.alias("keys"))
-
     sets = (
-        _with_keys(raw)
-        .where(_kept())
+        rows.where(_kept())
         .select(
-            F.inline(
-                F.filter(
-                    F.array(
-                        kind("topic_sentiment_mismatch", "score_keys"),
-                        kind("topic_reason_mismatch", "reason_keys"),
-                    ),
-                    lambda k: F.array_size(k["keys"]) > 0,
-                )
+            F.expr(
+                """inline(filter(array(
+                     named_struct('guard', 'topic_sentiment_mismatch', 'keys', other_scores),
+                     named_struct('guard', 'topic_reason_mismatch', 'keys', other_reasons)),
+                   k -> array_size(k.keys) > 0))"""
             )
         )
         .groupBy("guard", "keys")
@@ -154,17 +149,19 @@ def duplicate_values(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).count().where(F.col("count") > 1)
 
 
-def _duplicate_ids(raw: DataFrame) -> DataFrame:
-    ids = duplicate_values(shape(raw).where(~F.col("excluded")), "article_id")
+def duplicate_ids(rows: DataFrame) -> DataFrame:
+    """How many article ids occur more than once."""
+    ids = duplicate_values(rows.where(_kept()), "article_id")
     return ids.agg(F.count("*").alias("duplicate_article_id"))
 
 
 def guard_report(raw: DataFrame, period: tuple[date, date] | None = None) -> DataFrame:
     """(guard, violations) for every guard of the cleaning stage."""
-    rows = as_rows(row_guards(raw, period)).where(F.col("guard").isin(list(GUARDS)))
+    rows = auditable(raw)
+    counts = as_rows(row_guards(rows, period)).where(F.col("guard").isin(list(GUARDS)))
     return (
-        rows.unionByName(as_rows(_duplicate_ids(raw)))
-        .unionByName(untagged_guard(raw))
+        counts.unionByName(as_rows(duplicate_ids(rows)))
+        .unionByName(untagged_guard(rows, raw))
         .groupBy("guard")
         .agg(F.sum("violations").alias("violations"))
     )
@@ -175,10 +172,11 @@ def audit_raw(raw: DataFrame, period: tuple[date, date] | None = None) -> dict[s
 
     The vocabulary is consulted only if some row carries an untagged value at all.
     """
-    counts = row_guards(raw, period).first().asDict()
-    counts.update(_duplicate_ids(raw).first().asDict())
+    rows = auditable(raw)
+    counts = row_guards(rows, period).first().asDict()
+    counts.update(duplicate_ids(rows).first().asDict())
     if counts.pop("untagged_scores") + counts.pop("untagged_reasons"):
-        for row in untagged_guard(raw).collect():
+        for row in untagged_guard(rows, raw).collect():
             counts[row["guard"]] += row["violations"]
     return counts
 
