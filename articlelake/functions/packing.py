@@ -27,36 +27,45 @@ def check_sizes(target: int, maximum: int, overlap: int) -> None:
         raise ValueError("overlap tokens must be below maximum tokens")
 
 
-# units, tokens: the suffix taken so far; open: whether the budget has held for all of it
+# units, tokens: the suffix taken so far; fits: whether the budget has held for all of it
 _CARRIED = """
   aggregate(
-    reverse(slice(sizes, s.first, s.last - s.first + 1)),
-    named_struct('units', 0, 'tokens', 0, 'open', true),
-    (o, m) -> if(o.open AND o.tokens + m <= {overlap},
-                 named_struct('units', o.units + 1, 'tokens', o.tokens + m, 'open', true),
-                 named_struct('units', o.units, 'tokens', o.tokens, 'open', false)),
-    o -> named_struct('first', s.last + 1 - o.units, 'tokens', o.tokens))
+    reverse(slice(sizes, s.open.first, s.last - s.open.first + 1)),
+    named_struct('units', 0, 'tokens', 0, 'fits', true),
+    (o, m) -> if(o.fits AND o.tokens + m <= {overlap},
+                 named_struct('units', o.units + 1, 'tokens', o.tokens + m, 'fits', true),
+                 named_struct('units', o.units, 'tokens', o.tokens, 'fits', false)),
+    o -> named_struct('first', s.last + 1 - o.units, 'tokens', o.tokens + n))
 """
-_NOTHING_CARRIED = "named_struct('first', s.last + 1, 'tokens', 0)"
+_NOTHING_CARRIED = "named_struct('first', s.last + 1, 'tokens', n)"
 
-# s: the open window and the closed ones; n: the size of the next unit
+_NONE = "cast(array() AS array<{window}>)"
+_CLOSED = "array(named_struct('first', s.open.first, 'last', s.last, 'tokens', s.open.tokens))"
+
+# s: the open window and its last unit, the windows closed lately and, in blocks, those
+# before them; n: the size of the next unit. Adding to an array copies it, so a long
+# article adds to the short array of recent windows, and a block only now and then. For
+# the same reason no step hands its state to `transform`, which copies what it returns.
 _WINDOWS = """
 element_at(transform(array({sizes}), sizes ->
   aggregate(
     sizes,
-    named_struct('first', 1, 'last', 0, 'tokens', 0, 'done', cast(array() AS array<{window}>)),
+    named_struct('open', named_struct('first', 1, 'tokens', 0), 'last', 0, 'recent', {none},
+                 'blocks', cast(array() AS array<array<{window}>>)),
     (s, n) -> if(
-      s.last >= s.first AND (s.tokens + n > {maximum} OR s.tokens >= {target}),
-      element_at(transform(array({carried}), c -> named_struct(
-        'first', c.first, 'last', s.last + 1, 'tokens', c.tokens + n,
-        'done', concat(s.done, array(named_struct(
-          'first', s.first, 'last', s.last, 'tokens', s.tokens))))), 1),
-      named_struct('first', s.first, 'last', s.last + 1, 'tokens', s.tokens + n, 'done', s.done)),
-    s -> if(s.last >= s.first,
-            concat(s.done, array(named_struct(
-              'first', s.first, 'last', s.last, 'tokens', s.tokens))),
-            s.done))), 1)
+      s.last >= s.open.first AND (s.open.tokens + n > {maximum} OR s.open.tokens >= {target}),
+      named_struct(
+        'open', {carried},
+        'last', s.last + 1,
+        'recent', if(array_size(s.recent) < {block}, concat(s.recent, {closed}), {closed}),
+        'blocks', if(array_size(s.recent) < {block}, s.blocks, concat(s.blocks, array(s.recent)))),
+      named_struct(
+        'open', named_struct('first', s.open.first, 'tokens', s.open.tokens + n),
+        'last', s.last + 1, 'recent', s.recent, 'blocks', s.blocks)),
+    s -> flatten(concat(
+      s.blocks, array(s.recent), array(if(s.last >= s.open.first, {closed}, {none})))))), 1)
 """
+_BLOCK = 64
 
 
 def windows(sizes: str, target: int, maximum: int, overlap: int) -> Column:
@@ -67,7 +76,14 @@ def windows(sizes: str, target: int, maximum: int, overlap: int) -> Column:
     carried = _CARRIED.format(overlap=overlap) if overlap else _NOTHING_CARRIED
     return F.expr(
         _WINDOWS.format(
-            sizes=sizes, window=WINDOW, target=target, maximum=maximum, carried=carried
+            sizes=sizes,
+            target=target,
+            maximum=maximum,
+            carried=carried,
+            closed=_CLOSED,
+            none=_NONE.format(window=WINDOW),
+            window=WINDOW,
+            block=_BLOCK,
         )
     )
 

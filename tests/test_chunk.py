@@ -34,7 +34,7 @@ def test_windows_agree_with_their_definition(spark, sizes):
     rng = random.Random(str(sizes))
     top = rng.choice([sizes[1], sizes[1] + 3])
     rows = [[rng.randint(1, top) for _ in range(rng.randint(0, 40))] for _ in range(300)]
-    rows += [[1] * 60, [], [sizes[1]] * 5]
+    rows += [[1] * 60, [], [sizes[1]] * 5, [3, 9] * 1000]
     got = got_windows(spark, rows, *sizes)
     for i, row in enumerate(rows):
         assert got[i] == spec_windows(row, *sizes), row
