@@ -30,42 +30,46 @@ def check_sizes(target: int, maximum: int, overlap: int) -> None:
 # units, tokens: the suffix taken so far; fits: whether the budget has held for all of it
 _CARRIED = """
   aggregate(
-    reverse(slice(sizes, s.open.first, s.last - s.open.first + 1)),
+    reverse(slice(sizes, t.open.first, t.last - t.open.first + 1)),
     named_struct('units', 0, 'tokens', 0, 'fits', true),
     (o, m) -> if(o.fits AND o.tokens + m <= {overlap},
                  named_struct('units', o.units + 1, 'tokens', o.tokens + m, 'fits', true),
                  named_struct('units', o.units, 'tokens', o.tokens, 'fits', false)),
-    o -> named_struct('first', s.last + 1 - o.units, 'tokens', o.tokens + n))
+    o -> named_struct('first', t.last + 1 - o.units, 'tokens', o.tokens + n))
 """
-_NOTHING_CARRIED = "named_struct('first', s.last + 1, 'tokens', n)"
+_NOTHING_CARRIED = "named_struct('first', t.last + 1, 'tokens', n)"
 
-_NONE = "cast(array() AS array<{window}>)"
-_CLOSED = "array(named_struct('first', s.open.first, 'last', s.last, 'tokens', s.open.tokens))"
-
-# s: the open window and its last unit, the windows closed lately and, in blocks, those
-# before them; n: the size of the next unit. Adding to an array copies it, so a long
-# article adds to the short array of recent windows, and a block only now and then. For
-# the same reason no step hands its state to `transform`, which copies what it returns.
+# t: the open window, its last unit and the windows closed in this stretch of units; n:
+# the size of the next unit; s: the same between stretches, with all windows so far.
+# `aggregate` copies its state at every step. Going by stretches keeps the state of the
+# many steps short, so the cost of a very long article stays close to linear.
 _WINDOWS = """
 element_at(transform(array({sizes}), sizes ->
   aggregate(
-    sizes,
-    named_struct('open', named_struct('first', 1, 'tokens', 0), 'last', 0, 'recent', {none},
+    transform(sequence(1, greatest(array_size(sizes), 1), {stretch}),
+              i -> slice(sizes, i, {stretch})),
+    named_struct('open', named_struct('first', 1, 'tokens', 0), 'last', 0,
                  'blocks', cast(array() AS array<array<{window}>>)),
-    (s, n) -> if(
-      s.last >= s.open.first AND (s.open.tokens + n > {maximum} OR s.open.tokens >= {target}),
-      named_struct(
-        'open', {carried},
-        'last', s.last + 1,
-        'recent', if(array_size(s.recent) < {block}, concat(s.recent, {closed}), {closed}),
-        'blocks', if(array_size(s.recent) < {block}, s.blocks, concat(s.blocks, array(s.recent)))),
-      named_struct(
-        'open', named_struct('first', s.open.first, 'tokens', s.open.tokens + n),
-        'last', s.last + 1, 'recent', s.recent, 'blocks', s.blocks)),
-    s -> flatten(concat(
-      s.blocks, array(s.recent), array(if(s.last >= s.open.first, {closed}, {none})))))), 1)
+    (s, units) -> aggregate(
+      units,
+      named_struct('open', s.open, 'last', s.last, 'closed', cast(array() AS array<{window}>)),
+      (t, n) -> if(
+        t.last >= t.open.first
+          AND (t.open.tokens + n > {maximum} OR t.open.tokens >= {target}),
+        named_struct(
+          'open', {carried},
+          'last', t.last + 1,
+          'closed', concat(t.closed, array(named_struct(
+            'first', t.open.first, 'last', t.last, 'tokens', t.open.tokens)))),
+        named_struct(
+          'open', named_struct('first', t.open.first, 'tokens', t.open.tokens + n),
+          'last', t.last + 1, 'closed', t.closed)),
+      t -> named_struct('open', t.open, 'last', t.last,
+                        'blocks', concat(s.blocks, array(t.closed)))),
+    s -> if(s.last = 0, flatten(s.blocks), flatten(concat(s.blocks, array(array(named_struct(
+      'first', s.open.first, 'last', s.last, 'tokens', s.open.tokens)))))))), 1)
 """
-_BLOCK = 64
+_STRETCH = 256
 
 
 def windows(sizes: str, target: int, maximum: int, overlap: int) -> Column:
@@ -80,10 +84,8 @@ def windows(sizes: str, target: int, maximum: int, overlap: int) -> Column:
             target=target,
             maximum=maximum,
             carried=carried,
-            closed=_CLOSED,
-            none=_NONE.format(window=WINDOW),
             window=WINDOW,
-            block=_BLOCK,
+            stretch=_STRETCH,
         )
     )
 
