@@ -12,10 +12,10 @@ from articlelake.functions.binding import let
 # --- fixed values ------------------------------------------------------------
 BATCH_PATTERN = r"\A\d{4}-\d{2}(_to_\d{4}-\d{2})?\z"
 ERRORS = {
-    "malformed": "is not of the form YYYY-MM or YYYY-MM_to_YYYY-MM",
-    "month": "has an out-of-range month",
-    "cross_year": "spans two years; one batch = one year, split the delivery",
-    "reversed": "has its start month after its end month",
+    "malformed": "names no month or range of months",
+    "month": "names a month that does not exist",
+    "cross_year": "reaches over the end of a year: deliver each year by itself",
+    "reversed": "ends before it starts",
 }
 # -----------------------------------------------------------------------------
 
@@ -124,13 +124,13 @@ def require_no_overlap(entries: DataFrame, batch: Batch) -> None:
     malformed = [r.batch_id for r in rows if r.error]
     if malformed:
         raise IntegrityError(
-            f"year {batch.year} holds names that are not batch ids ({malformed}): rename or "
-            "remove them, the non-overlap check cannot see what months they cover"
+            f"cannot tell the months of some deliveries of {batch.year}, their names are no "
+            f"batch ids: {malformed}"
         )
     if rows:
         raise IntegrityError(
-            f"Batch {batch.batch_id!r} overlaps existing batch(es) "
-            f"{[r.batch_id for r in rows]}: retire a batch everywhere before superseding it"
+            f"{batch.batch_id!r} shares months with {[r.batch_id for r in rows]}: retire those "
+            "first"
         )
 
 

@@ -23,10 +23,10 @@ def checked_content(content: Column) -> Column:
     published, so the corpus is read once.
     """
     return (
-        F.when(content.isNull(), F.raise_error(F.lit("content contains nulls")))
+        F.when(content.isNull(), F.raise_error(F.lit("null_content: an article has no content")))
         .when(
             content.contains("\n"),
-            F.raise_error(F.lit("content contains newlines; articles must be single-line")),
+            F.raise_error(F.lit("multiline_content: an article has more than one line")),
         )
         .otherwise(content)
     )
@@ -85,7 +85,7 @@ def chunk_articles(
     if enforce:
         spans = F.when(
             F.col("article_id").isNull() & (F.array_size(spans) > 1),
-            F.raise_error(F.lit("chunk_id values are not unique")),
+            F.raise_error(F.lit("unique_chunk_id: an article without id has several passages")),
         ).otherwise(spans)
     # exploding the expression and not a column of it: for a plain column the optimizer
     # adds a `size(..) > 0` filter below, which would chunk every article a second time

@@ -173,11 +173,11 @@ def attach_by_key(left: DataFrame, vectors: DataFrame, key: str) -> DataFrame:
 def checked(embedded: DataFrame, dimension: int | None) -> DataFrame:
     """The same rows, failing the task on a missing or wrongly sized embedding."""
     e = F.col("embedding")
-    guarded = F.when(e.isNull(), F.raise_error(F.lit("missing embeddings")))
+    guarded = F.when(e.isNull(), F.raise_error(F.lit("missing_embedding: a passage has no vector")))
     if dimension is not None:
         guarded = guarded.when(
             F.array_size(e) != dimension,
-            F.raise_error(F.lit(f"embeddings must have {dimension} dimensions")),
+            F.raise_error(F.lit(f"embedding_dimension: a vector has not {dimension} values")),
         )
     return embedded.withColumn("embedding", guarded.otherwise(e))
 

@@ -15,20 +15,20 @@ from articlelake.operators.clean import discover_topics, exclusion_mask, shape
 
 # --- fixed values: guards in the order in which they are reported ------------
 GUARDS = {
-    "missing_published_date": "articles with null published_date (unparseable date format?)",
-    "missing_title": "articles with blank or null title",
-    "duplicate_article_id": "duplicated article_id values",
-    "empty_topics": "articles with blank, null, or empty topics",
-    "duplicate_topics": "articles with duplicate topics",
-    "malformed_json": "articles with malformed sentiment JSON",
-    "topic_sentiment_mismatch": "articles with topic/sentiment mismatch",
-    "topic_reason_mismatch": "articles with topic/explanation mismatch",
-    "out_of_batch_range": "articles published outside the batch range",
-    "row_conservation": "raw rows neither excluded nor cleaned (unknown exclusion flags?)",
-    "null_content": "articles with null content",
-    "multiline_content": "articles with newlines in the content",
-    "flatten_row_count": "articles that flatten to other than one row per topic",
-    "unique_chunk_id": "duplicated chunk_id values",
+    "missing_published_date": "kept rows whose publication date could not be read",
+    "missing_title": "kept rows without a title",
+    "duplicate_article_id": "article ids shared by several kept rows",
+    "empty_topics": "kept rows without any topic",
+    "duplicate_topics": "kept rows naming a topic twice",
+    "malformed_json": "kept rows with undecodable score or reason JSON",
+    "topic_sentiment_mismatch": "kept rows whose scores do not match their topics",
+    "topic_reason_mismatch": "kept rows whose reasons do not match their topics",
+    "out_of_batch_range": "kept rows dated outside the months of the batch",
+    "row_conservation": "raw rows with undecidable exclusion flags",
+    "null_content": "articles without content",
+    "multiline_content": "articles of more than one line",
+    "flatten_row_count": "articles that do not flatten to one row per topic",
+    "unique_chunk_id": "article ids that would repeat chunk ids",
     "missing_embedding": "chunks without an embedding",
     "embedding_dimension": "embeddings of an unexpected dimension",
 }
@@ -275,7 +275,7 @@ def enforce(counts: dict[str, int], detail: dict[str, str] | None = None) -> Non
     failing = [g for g in GUARDS if counts.get(g)]
     if not failing:
         return
-    lines = [f"Found {counts[g]} {GUARDS[g]} [{g}]" for g in failing]
+    lines = [f"{g}: {counts[g]} {GUARDS[g]}" for g in failing]
     extra = (detail or {}).get(failing[0])
     if extra:
         lines.insert(1, extra)

@@ -86,8 +86,8 @@ def audited_base(raw: DataFrame, batch: Batch | None = None) -> DataFrame:
     if counts.get("out_of_batch_range"):
         outside = quality.out_of_range(base, *period).take(OFFENDERS_SHOWN)
         detail["out_of_batch_range"] = (
-            f"outside batch {batch.batch_id!r} range [{period[0]} .. {period[1]}]: split the "
-            f"delivery or fix its name. First rows: {[tuple(map(str, r)) for r in outside]}"
+            f"{batch.batch_id!r} covers {period[0]} to {period[1]}, but has for example "
+            f"{[tuple(map(str, r)) for r in outside]}"
         )
     quality.enforce(counts, detail)
     return base
@@ -175,7 +175,7 @@ def _require_uniform(chunks: DataFrame, saved: DataFrame, label: str) -> None:
     lengths = in_use.agg(F.min("dimension").alias("low"), F.max("dimension").alias("high")).first()
     if lengths.low is None or lengths.low != lengths.high:
         raise IntegrityError(
-            f"embeddings have inconsistent dimensions: {lengths.low} to {lengths.high}"
+            f"embedding_dimension: lengths run from {lengths.low} to {lengths.high}"
         )
 
 
@@ -275,7 +275,7 @@ def run_batch(
     delivered = batches.manifest(lakes.raw_batches(spark, lake, batch.year))
     wanted = spark.createDataFrame([(batch_id,)], "batch_id string")
     if not batches.presence(wanted, delivered).first().listed:
-        raise IntegrityError(f"{lake.raw(batch)} not found among the deliveries of {batch.year}")
+        raise IntegrityError(f"no delivery {batch_id!r} in {lake.raw_folder(batch.year)}")
     batches.require_no_overlap(delivered, batch)
 
     rows = {}
@@ -332,7 +332,7 @@ def land_batch(
     batches.require_no_overlap(delivered, batch)
     present = lakes.inventory(spark, lake, batch)
     if present["raw"] and not overwrite:
-        raise IntegrityError(f"{lake.raw(batch)} already exists: pass overwrite to replace it")
+        raise IntegrityError(f"{batch_id!r} was delivered before: pass overwrite to replace it")
     write_raw_csv(raw, lake.raw(batch))
     lakes.remove(spark, folder)
     return [s for s, there in present.items() if there and s != "raw"]
@@ -352,7 +352,7 @@ def retire_batch(
     }
     present = {name: lakes.exists(spark, path) for name, path in targets.items()}
     if not any(present.values()):
-        raise IntegrityError(f"nothing to retire: batch {batch_id!r} exists nowhere in the lake")
+        raise IntegrityError(f"the lake holds nothing of {batch_id!r} to retire")
     if confirm:
         for name, there in present.items():
             if there:

@@ -44,8 +44,8 @@ def test_manifest(spark):
 
 @pytest.mark.parametrize(
     "bad, message",
-    [("2026-6", "not of the form"), ("2026-13", "out-of-range month"),
-     ("2025-12_to_2026-02", "one batch = one year"), ("2026-05_to_2026-01", "start month after")],
+    [("2026-6", "no month or range"), ("2026-13", "does not exist"),
+     ("2025-12_to_2026-02", "end of a year"), ("2026-05_to_2026-01", "ends before")],
 )
 def test_resolve_names_the_error(spark, bad, message):
     with pytest.raises(ValueError, match=message):
@@ -62,7 +62,7 @@ def test_conflicts(spark):
     batches.require_no_overlap(entries(spark, []), batch)
     with pytest.raises(IntegrityError, match="2026-06.*2026-07"):
         batches.require_no_overlap(entries(spark, ["2026-07", "2026-06"]), batch)
-    with pytest.raises(IntegrityError, match="not batch ids.*articles_2026"):
+    with pytest.raises(IntegrityError, match="no batch ids.*articles_2026"):
         batches.require_no_overlap(entries(spark, ["articles_2026", "2026-07"]), batch)
 
 

@@ -136,7 +136,7 @@ def test_numbering_in_narrow_ranges_agrees_with_one_window(spark):
     assert {(r.k, r.o, r.p): r.chunk_index for r in got} == expected
 
 
-@pytest.mark.parametrize("content, message", [(None, "nulls"), ("a\nb", "newlines")])
+@pytest.mark.parametrize("content, message", [(None, "null_content"), ("a\nb", "multiline_content")])
 def test_enforced_content(spark, content, message):
     base = base_frame(spark, [("a", content)])
     with pytest.raises(Exception, match=message):
@@ -147,7 +147,7 @@ def test_enforced_ids(spark):
     one, two = base_frame(spark, [(None, "A b.")]), base_frame(spark, [(None, "A b c. D e f.")])
     sizes = {"target": 3, "maximum": 4, "overlap": 0, "enforce": True}
     assert chunk.chunk_articles(one, **sizes).count() == 1
-    with pytest.raises(Exception, match="not unique"):
+    with pytest.raises(Exception, match="unique_chunk_id"):
         chunk.chunk_articles(two, **sizes).collect()
 
 

@@ -76,9 +76,9 @@ def test_guards_fail_in_order_and_name_all(raw_frame):
     with pytest.raises(IntegrityError) as e:
         audited_base(raw)
     lines = str(e.value).splitlines()
-    assert lines[0].startswith("Found 1 articles with null published_date")
-    assert [line.split("[")[-1] for line in lines] == [
-        "missing_published_date]", "missing_title]", "duplicate_article_id]", "empty_topics]"
+    assert lines[0].startswith("missing_published_date: 1 ")
+    assert [line.split(":")[0] for line in lines] == [
+        "missing_published_date", "missing_title", "duplicate_article_id", "empty_topics"
     ]
 
 
