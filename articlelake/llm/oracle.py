@@ -2,6 +2,45 @@
 
 from __future__ import annotations
 
+_NEIGHBOURS = """
+WITH valid AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_reduce(list_prepend(CAST(0 AS DOUBLE), list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), lambda a, b: a + b) AS score
+    FROM valid q JOIN valid c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+),
+ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+_TOP_K = """
+WITH valid AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+    FROM valid q JOIN valid c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+),
+ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_block_neighbours": _NEIGHBOURS, "op7_term_at_a_time": _TOP_K}

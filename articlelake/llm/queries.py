@@ -3,11 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from articlelake.llm import packing, repair
+from articlelake.llm import neighbours, packing, repair, topk
 from articlelake.llm.frames import table
 
 
+def op2_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op7_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products of every hundredth vector."""
+    weights = topk.scaled(F.col("embedding"), 1024)
+    return topk.top_k(table(spark, sf_dir, "embeddings"), weights, F.col("vec_id") % 100 == 0, 10)
+
+
 def op8_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents read back from Re-Pair files."""
     decoded = repair.write_and_read(table(spark, sf_dir, "documents"))
@@ -21,6 +33,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_block_neighbours": op2_block_neighbours,
+    "op7_term_at_a_time": op7_term_at_a_time,
     "op8_repair_tokens": op8_repair_tokens,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
