@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import neighbours, packing, repair, topk
+from articlelake.llm import near_dedup, neighbours, packing, repair, topk
 from articlelake.llm.frames import table
 
 
@@ -26,6 +26,11 @@ def op8_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with a similarity of 0.85 on five-word shingles."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     placed = packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -36,5 +41,6 @@ QUERIES = {
     "op2_block_neighbours": op2_block_neighbours,
     "op7_term_at_a_time": op7_term_at_a_time,
     "op8_repair_tokens": op8_repair_tokens,
+    "op9_lsh_forest": op9_lsh_forest,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
