@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import near_dedup, neighbours, packing, repair, topk
+from articlelake.llm import near_dedup, neighbours, packing, repair, suffix_dedup, topk
 from articlelake.llm.frames import table
 
 
@@ -14,6 +14,12 @@ def op2_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without strings of 50 bytes of earlier ones."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.digest(suffix_dedup.repeated_bytes(documents))
+
+
 def op7_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest integer inner products of every hundredth vector."""
     weights = topk.scaled(F.col("embedding"), 1024)
@@ -39,6 +45,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_block_neighbours": op2_block_neighbours,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op7_term_at_a_time": op7_term_at_a_time,
     "op8_repair_tokens": op8_repair_tokens,
     "op9_lsh_forest": op9_lsh_forest,
