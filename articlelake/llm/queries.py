@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import near_dedup, neighbours, packing, repair, suffix_dedup, topk
-from articlelake.llm.frames import table
+from articlelake.llm import language, near_dedup, neighbours, packing, quality_gam, repair, suffix_dedup, topk
+from articlelake.llm.frames import table, texts
+
+
+def held_out() -> Column:
+    """Whether a row is held out from learning: crc32 of the doc_id as text leaves 1 by 3."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+def teaches() -> Column:
+    return F.coalesce(~held_out(), F.lit(False))
 
 
 def op2_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +29,21 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.repeated_bytes(documents))
 
 
+def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    documents = table(spark, sf_dir, "documents")
+    model = language.learn(documents.where(teaches()))
+    found = language.predict(texts(documents), model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op6_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from two thirds of the labels."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    found = quality_gam.scores(table(spark, sf_dir, "documents"), labels, teaches())
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op7_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest integer inner products of every hundredth vector."""
     weights = topk.scaled(F.col("embedding"), 1024)
@@ -46,6 +70,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_block_neighbours": op2_block_neighbours,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_language_mixture": op4_language_mixture,
+    "op6_quality_gam": op6_quality_gam,
     "op7_term_at_a_time": op7_term_at_a_time,
     "op8_repair_tokens": op8_repair_tokens,
     "op9_lsh_forest": op9_lsh_forest,
