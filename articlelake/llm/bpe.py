@@ -19,13 +19,12 @@ import numpy as np
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _CUT = re.compile(rf"(?<=[!-~{_LETTER}]) (?=[!-~{_LETTER}])")
 _PLAIN = re.compile(rf"[ \n!-~{_LETTER}]*")
-_LOOSE = re.compile(r"^ |  | \n|\n | $")
 
 # --- fixed values (the tokenizer's own word pattern, over the characters above) ---
 _WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[0-9]+| ?[^\s0-9{_LETTER}]+|\s+(?!\S)|\s+")
 # ----------------------------------------------------------------------------------
 
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 400_000
 
 
 def default_path() -> str:
@@ -42,7 +41,7 @@ def _visible() -> dict[int, str]:
     return {c: "".join(chr(stands[b]) for b in chr(c).encode()) for c in range(256)}
 
 
-class _Memo(dict):
+class Memo(dict):
     """Keeps the last `entries` results, up to twice as many for a while."""
 
     def __init__(self, make, entries: int):
@@ -73,8 +72,8 @@ class ByteBpe:
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._visible = _visible()
-        self._words = _Memo(self._word, memo_entries).__getitem__
-        self._parts = _Memo(self._part, memo_entries).__getitem__
+        self._words = Memo(self._word, memo_entries).__getitem__
+        self._parts = Memo(self._part, memo_entries).__getitem__
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text, as little-endian numbers of `dtype`."""
@@ -82,7 +81,7 @@ class ByteBpe:
             return b""
         if not _PLAIN.fullmatch(text) or any(t in text for t in self._added):
             return self._whole(text)
-        if _LOOSE.search(text):
+        if text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text:
             first, *rest = _CUT.split(text)
         else:
             first, *rest = text.split(" ")

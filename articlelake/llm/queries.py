@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import language, near_dedup, neighbours, packing, quality_gam, repair, suffix_dedup, topk
+from articlelake.llm import language, near_dedup, neighbours, packing, piece_codec, quality_gam, repair, suffix_dedup, token_counts, topk
 from articlelake.llm.frames import table, texts
 
 
@@ -18,6 +18,11 @@ def teaches() -> Column:
     return F.coalesce(~held_out(), F.lit(False))
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document and the score of its best segmentation."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op2_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every twentieth vector."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
@@ -37,6 +42,13 @@ def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, decoded again."""
+    decoded = piece_codec.decode(piece_codec.encode(table(spark, sf_dir, "documents")))
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return decoded.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"), same.alias("same"))
+
+
 def op6_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from two thirds of the labels."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
@@ -68,9 +80,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_block_neighbours": op2_block_neighbours,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_language_mixture": op4_language_mixture,
+    "op5_piece_codec": op5_piece_codec,
     "op6_quality_gam": op6_quality_gam,
     "op7_term_at_a_time": op7_term_at_a_time,
     "op8_repair_tokens": op8_repair_tokens,
