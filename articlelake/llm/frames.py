@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,18 @@ def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     )
 
 
+def filtered(docs: DataFrame, make_judge: Callable[[], Callable[[pa.Array], np.ndarray]], text_column: str = "text") -> DataFrame:
+    """Rows whose text the judge of the task keeps; all columns pass through, nothing is shuffled."""
+    at = docs.columns.index(text_column)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keeps = make_judge()
+        for batch in slices(batches):
+            yield batch.filter(pa.array(keeps(batch.column(at)), pa.bool_()))
+
+    return docs.mapInArrow(judge, docs.schema)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

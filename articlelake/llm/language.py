@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from articlelake.llm.frames import rows, slices, text_bytes
+from articlelake.llm.frames import filtered, rows, slices, text_bytes
 
 GRAMS = 1 << 16
 ROUNDS = 10
@@ -164,7 +164,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, _BYTES_AT_ONCE):
             share, _ = model.mixtures(*text_bytes(batch.column("text")))
-            known = np.array([_has_letter(t) for t in batch.column("text").to_pylist()]) & bool(model.langs)
+            known = np.array([_has_letter(t) for t in batch.column("text").to_pylist()], dtype=bool) & bool(model.langs)
             best = share.argmax(axis=1) if model.langs else np.zeros(len(share), dtype=np.int64)
             yield rows(
                 schema,
@@ -175,3 +175,17 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     return docs.mapInArrow(name, "doc_id long, lang_pred string, score double, languages array<struct<lang: string, share: double>>")
+
+
+def accepted(docs: DataFrame, model: Model, text_column: str = "text", least: float = 0.5) -> DataFrame:
+    """Rows with one language of a proportion of `least` or more, with all their columns; `und` goes."""
+
+    def make():
+        def keeps(column: pa.Array) -> np.ndarray:
+            share, _ = model.mixtures(*text_bytes(column))
+            known = np.array([_has_letter(t) for t in column.to_pylist()], dtype=bool)
+            return known & (share.max(axis=1, initial=0) >= least)
+
+        return keeps
+
+    return filtered(docs, make, text_column)

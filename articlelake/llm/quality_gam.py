@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from articlelake.llm import shingles
-from articlelake.llm.frames import rows, slices, stored, text_bytes, texts
+from articlelake.llm.frames import filtered, rows, slices, stored, text_bytes, texts
 
 SAMPLE_ROWS = 50_000
 BINS = 64
@@ -269,9 +269,14 @@ def sample(held: DataFrame, labels: DataFrame, sample_rows: int) -> tuple[np.nda
     return x, found["label"].to_numpy().astype(np.float64)
 
 
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+    """Fit on the labelled rows among `texts`; `labels` has doc_id and label."""
+    return fit(*sample(with_features(docs), labels, sample_rows))
+
+
 def scores(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str = "doc_id", text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, score and predicted of every row; `labels` (doc_id, label) teach where `learn` holds for a doc_id."""
-    held = stored(with_features(texts(docs, id_column, text_column)), "quality-features")
+    held = stored(with_features(texts(docs, id_column, text_column)), "quality-features")  # for the sample and the scores
     model = fit(*sample(held.where(learn), labels, sample_rows))
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32())])
 
@@ -282,3 +287,12 @@ def scores(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str = "
             yield rows(schema, doc_id=batch.column("doc_id"), score=found, predicted=(found >= 0.5).astype(np.int32))
 
     return held.mapInArrow(score, "doc_id long, score double, predicted int")
+
+
+def accepted(docs: DataFrame, model: Model, text_column: str = "text", least: float = 0.5) -> DataFrame:
+    """Rows whose score is `least` or more, with all their columns."""
+
+    def make():
+        return lambda column: model.score(features(*text_bytes(column))) >= least
+
+    return filtered(docs, make, text_column)

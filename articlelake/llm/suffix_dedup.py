@@ -312,9 +312,10 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
     """The rows of `docs` with `text_column` replaced by what is left, and what was removed.
 
     Adds `kept` (binary: the remaining bytes), `n_bytes`, `n_removed` and `spans` (begin and
-    end of each removed run, in bytes). The text is what `kept` decodes to; a cut inside a
+    end of each removed run, in bytes), in the place of columns of these names. The text is what `kept` decodes to; a cut inside a
     character leaves out the rest of that character.
     """
+    docs = docs.drop(*{"kept", "n_bytes", "n_removed", "spans"} - {id_column, text_column})
     if docs.schema[id_column].dataType != T.LongType():
         docs = docs.withColumn(id_column, F.col(id_column).cast("long"))
     others = [c for c in docs.columns if c != text_column]
