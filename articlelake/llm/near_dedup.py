@@ -8,15 +8,16 @@ go on:
 1. Neighbours in each sorted order, which share the longest prefixes, are candidates.
    Candidates are confirmed on the full sets, and confirmed links give components. A region
    of thousands of near copies becomes one component here, with as many pairs as nodes.
-2. In a region that still holds several components, every pair of nodes of different
-   components is compared by signature, in blocks, and confirmed on the full sets. So no
-   link between nodes of a region is lost. A region in which more than `CROWDED` nodes lie
-   outside its largest component is deepened: its nodes are dealt anew by longer prefixes,
-   which tell unrelated texts with common passages apart.
+2. Regions that still hold several components are put together to clusters where they share
+   nodes. In a cluster, the sets of the nodes outside the largest component meet those of
+   all nodes of other components, block by block, and only links come out. So no link
+   between nodes of a region is lost. A cluster in which more than `CROWDED` nodes lie
+   outside its largest component is deepened: its regions are told apart by longer prefixes,
+   which unrelated texts with common passages don't share.
 
 A pair of similarity s shares a region of some tree unless all of `TREES` trees part it, with
-probability (1 - s**DEPTH)**TREES: 2e-8 at 0.85, 3e-6 at 0.8. A signature that rules a pair
-out does so by seven standard deviations.
+probability (1 - s**DEPTH)**TREES: 2e-8 at 0.85, 3e-6 at 0.8. In step 1 a signature rules a
+pair out by five standard deviations; in step 2 none is ruled out.
 
 Null and empty texts, and texts without words, have an empty set and are linked with
 nothing. A row without doc_id takes no part: its component is null, and it is kept. Rows
@@ -40,7 +41,7 @@ PERCENT = 80
 TREES = 24
 DEPTH = 4
 VALUES = TREES * DEPTH
-CROWDED = 2048
+CROWDED = 16384
 BLOCK = 512
 _ROLLS = [(np.arange(VALUES) + DEPTH * t) % VALUES for t in range(TREES)]
 
@@ -110,7 +111,7 @@ def _regions(signature: np.ndarray, depth: int) -> np.ndarray:
 def _least(percent: int) -> float:
     """Agreement of signatures below which a pair is ruled out."""
     s = percent / 100
-    return s - 7 * (s * (1 - s) / VALUES) ** 0.5
+    return s - 5 * (s * (1 - s) / VALUES) ** 0.5
 
 
 def neighbours(members: DataFrame, percent: int) -> DataFrame:
@@ -150,10 +151,9 @@ def _node(first: str, second: str) -> Column:
     return F.struct(F.col(first).alias("fp1"), F.col(second).alias("fp2"))
 
 
-def full_sets(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """The shingle set of each node of the pairs, from the text of its first document."""
-    wanted = pairs.select(F.col("a1").alias("fp1"), F.col("a2").alias("fp2")).union(pairs.select("b1", "b2")).distinct()
-    wanted = wanted.join(nodes.select(*_KEY, "first_id"), _KEY)
+def full_sets(docs: DataFrame, members: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """The shingle set of each node that shares a region, from the text of its first document."""
+    wanted = members.select(*_KEY).distinct().join(nodes.select(*_KEY, "first_id"), _KEY)
     schema = pa.schema([("fp1", pa.int64()), ("fp2", pa.int64()), ("shingles", pa.binary())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,29 +219,35 @@ def _followed(names: DataFrame, joined: DataFrame) -> DataFrame:
     return names.join(onward, "to", "left").select("node", F.coalesce("further", "to").alias("to"))
 
 
-def across_components(members: DataFrame, named: DataFrame, percent: int) -> Iterator[DataFrame]:
-    """Pairs of nodes of one region and different components that may be similar.
+def across_components(members: DataFrame, named: DataFrame, sets: DataFrame, percent: int) -> Iterator[DataFrame]:
+    """Links between nodes that share a region and lie in different components.
 
-    Yields once a depth: crowded regions come back at the next with longer prefixes. In a
-    region, the nodes outside the largest component meet every node of it, block by block.
+    Yields once a depth: crowded clusters come back at the next with longer prefixes.
     """
     own = _node("fp1", "fp2")
     pending = members.join(named, _KEY, "left").withColumn("component", F.coalesce("component", own))
-    least, depth = _least(percent), DEPTH
+    depth = DEPTH
     while True:
-        sizes = pending.groupBy("region", "component").count()
-        regions = sizes.groupBy("region").agg(
-            F.sum("count").alias("n"), F.max(F.struct("count", "component")).alias("largest"), F.count("*").alias("parts")
-        )
-        regions = stored(regions.where("parts > 1").select("region", "n", F.col("largest.component").alias("main"), (F.col("n") - F.col("largest.count")).alias("others")), "regions")
+        parts = pending.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        several = stored(pending.join(parts.where("low != high").select("region"), "region"), "regions")
+        if several.isEmpty():
+            return
+        tied = several.select(F.col("fp1").alias("a1"), F.col("fp2").alias("a2"), F.col("region").alias("b1"), F.col("tree").cast("long").alias("b2"))
+        clusters = components(tied).withColumnRenamed("component", "cluster")
+        inside = stored(several.select(*_KEY, "component").distinct().join(clusters, _KEY), "clusters")
+        sizes = inside.groupBy("cluster", "component").count()
+        sizes = sizes.groupBy("cluster").agg(F.sum("count").alias("n"), F.max(F.struct("count", "component")).alias("largest"))
+        sizes = sizes.select("cluster", "n", F.col("largest.component").alias("main"), (F.col("n") - F.col("largest.count")).alias("others"))
+        sizes = stored(sizes, "clusters")
         deeper = depth < VALUES
-        now = regions.where(F.col("others") <= CROWDED) if deeper else regions
-        yield _tiles(pending.join(now, "region"), percent, least)
-        crowded = regions.where(F.col("others") > CROWDED)
+        now = sizes.where(F.col("others") <= CROWDED) if deeper else sizes
+        yield _tiles(inside.join(now, "cluster").join(sets, _KEY), percent)
+        crowded = sizes.where(F.col("others") > CROWDED)
         if not deeper or crowded.isEmpty():
             return
         depth = min(VALUES, 2 * depth)
-        pending = stored(_deepened(pending.join(crowded.select("region"), "region"), depth), "crowded")
+        again = inside.join(crowded.select("cluster"), "cluster").select(*_KEY)
+        pending = stored(_deepened(several.join(again, _KEY, "left_semi"), depth), "crowded")
 
 
 def _deepened(members: DataFrame, depth: int) -> DataFrame:
@@ -256,34 +262,41 @@ def _deepened(members: DataFrame, depth: int) -> DataFrame:
     return members.mapInArrow(deepen, members.schema)
 
 
-def _tiles(members: DataFrame, percent: int, least: float) -> DataFrame:
-    """Candidates between the nodes outside the main component and all others, by blocks of both."""
+def _tiles(members: DataFrame, percent: int) -> DataFrame:
+    """Links from the nodes outside the main component of each cluster, by blocks of both sides."""
     row = F.xxhash64("fp2", "fp1")
-    outside = F.col("component") != F.col("main")
     blocks = lambda count: F.ceil(count / BLOCK).cast("int")
     across, down = blocks(F.col("others")), blocks(F.col("n"))
     every = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
     # columns of their own on both sides, which come from the same table
-    held = [F.col(c).alias(c) for c in ("region", *_KEY, "signature", "n_shingles")] + [F.xxhash64("component").alias("component")]
-    left = members.where(outside).select(*held, F.pmod(row, across).cast("int").alias("i"), every(down).alias("j"))
-    right = members.select(*held, F.pmod(row, down).cast("int").alias("j"), every(across).alias("i"))
+    held = [F.xxhash64("cluster").alias("cluster"), *(F.col(c).alias(c) for c in (*_KEY, "shingles")), F.xxhash64("component").alias("component")]
+    left = members.where("component != main").select(*held, F.pmod(row, across).cast("int").alias("i"), every(down).alias("j"))
+    right = members.select(*held, (F.col("component") == F.col("main")).alias("in_main"), F.pmod(row, down).cast("int").alias("j"), every(across).alias("i"))
 
     def tile(a: pa.Table, b: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], []]
+        out: list[tuple] = []
         if a.num_rows and b.num_rows:
-            sig_a, sig_b = (_matrix(t["signature"].combine_chunks()) for t in (a, b))
-            size_a, size_b = (t["n_shingles"].to_numpy() for t in (a, b))
+            sets_a, sets_b = ([np.frombuffer(x, dtype=np.uint64) for x in t["shingles"].to_pylist()] for t in (a, b))
             part_a, part_b = (t["component"].to_numpy() for t in (a, b))
-            keys_a, keys_b = ([t[k].to_numpy() for k in _KEY] for t in (a, b))
-            for i in range(len(sig_a)):
-                fits = (part_b != part_a[i]) & (100 * np.minimum(size_a[i], size_b) >= percent * np.maximum(size_a[i], size_b))
-                at = np.flatnonzero(fits)
-                at = at[(sig_b[at] == sig_a[i]).mean(axis=1) >= least]
-                for c, values in zip(out, (*(np.repeat(k[i], len(at)) for k in keys_a), *(k[at] for k in keys_b))):
-                    c.append(values)
-        return pa.table(dict(zip(_PAIRS.names, (np.concatenate(c) if c else np.zeros(0, np.int64) for c in out))), schema=_PAIRS)
-
-    group = ["region", "i", "j"]
+            keys_a, keys_b = (list(zip(*(t[k].to_pylist() for k in _KEY))) for t in (a, b))
+            in_main, size_b = np.array(b["in_main"].to_pylist()), np.array([len(x) for x in sets_b])
+            known, number = np.unique(np.concatenate(sets_b), return_inverse=True)
+            begins = np.cumsum(size_b) - size_b
+            for own, part, key in zip(sets_a, part_a, keys_a):
+                # of two nodes outside the main component, the smaller key looks for the other
+                wanted = (part_b != part) & (in_main | np.array([key < k for k in keys_b]))
+                wanted &= 100 * np.minimum(size_b, len(own)) >= percent * np.maximum(size_b, len(own))
+                if not wanted.any():
+                    continue
+                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                holds = np.zeros(len(known), dtype=np.int32)
+                holds[at[known[at] == own]] = 1
+                common = np.add.reduceat(holds[number], begins)
+                for i in np.flatnonzero(wanted & (100 * common >= percent * (size_b + len(own) - common))).tolist():
+                    out.append((*key, *keys_b[i]))
+        return pa.table(dict(zip(_PAIRS.names, map(list, zip(*out)) if out else [[]] * 4)), schema=_PAIRS)
+
+    group = ["cluster", "i", "j"]
     return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(tile, _PAIRS_SQL)
 
 
@@ -300,19 +313,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH,
     members = planted.join(shared, "region").join(nodes.select(*_KEY, "signature", "n_shingles"), _KEY)
     members = stored(members, "regions")
 
+    sets = stored(full_sets(docs, members, nodes, width), "sets")
     pairs = stored(_in_order(neighbours(members, percent)), "pairs")
-    sets = stored(full_sets(docs, pairs, nodes, width), "sets")
     links = stored(confirmed(pairs, sets, percent), "links")
-    first = stored(components(links), "components")
-    for more in across_components(members, first, percent):
-        more = stored(_in_order(more).join(pairs, _PAIRS.names, "left_anti"), "pairs")
-        if more.isEmpty():
-            continue
-        pairs = stored(pairs.union(more), "pairs")
-        more_sets = stored(full_sets(docs, more, nodes, width), "sets")
-        links = stored(links.union(confirmed(more, more_sets, percent)), "links")
-        first = None
-    found = stored(components(links), "components") if first is None else first
+    found = first = stored(components(links), "components")
+    for more in across_components(members, first, sets, percent):
+        more = stored(more, "links")
+        if not more.isEmpty():
+            links = links.union(more)
+            found = None
+    found = stored(components(links), "components") if found is None else found
 
     least = found.join(nodes, _KEY).groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_node = nodes.select(*_KEY, "first_id").join(found.join(least, "component").select(*_KEY, "component_id"), _KEY, "left")
