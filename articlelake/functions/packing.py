@@ -5,6 +5,8 @@ the run before it. So the state is a window start and a token total, and the res
 array of `{first, last, tokens}` (1-based, inclusive). No shuffle and no Python.
 """
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,18 +15,23 @@ from articlelake.functions.binding import let
 WINDOW = "struct<first:int,last:int,tokens:int>"
 
 
-def check_sizes(target: int, maximum: int, overlap: int) -> None:
-    """Reject impossible sizes while the plan is built."""
-    if target <= 0:
-        raise ValueError("target tokens must be above zero")
-    if maximum <= 0:
-        raise ValueError("maximum tokens must be above zero")
-    if target > maximum:
-        raise ValueError("target tokens must not exceed maximum tokens")
-    if overlap < 0:
-        raise ValueError("overlap tokens must not be negative")
-    if overlap >= maximum:
-        raise ValueError("overlap tokens must be below maximum tokens")
+@dataclass(frozen=True)
+class Sizes:
+    """Window sizes: 0 < target <= maximum and 0 <= overlap < maximum, checked as they are made."""
+
+    target: int
+    maximum: int
+    overlap: int
+
+    def __post_init__(self):
+        rules = {
+            "0 < target": self.target > 0,
+            "target <= maximum": self.target <= self.maximum,
+            "0 <= overlap": self.overlap >= 0,
+            "overlap < maximum": self.overlap < self.maximum,
+        }
+        if broken := [rule for rule, holds in rules.items() if not holds]:
+            raise ValueError(f"{self}: not {', not '.join(broken)}")
 
 
 # units, tokens: the suffix taken so far; fits: whether the budget has held for all of it
@@ -72,17 +79,17 @@ element_at(transform(array({sizes}), sizes ->
 _STRETCH = 256
 
 
-def windows(sizes: str, target: int, maximum: int, overlap: int) -> Column:
+def windows(lengths: str, sizes: Sizes) -> Column:
     """Windows over an array of unit sizes, given as SQL; an empty array has none.
 
     The array is bound once, as a lambda would evaluate it again for every unit.
     """
-    carried = _CARRIED.format(overlap=overlap) if overlap else _NOTHING_CARRIED
+    carried = _CARRIED.format(overlap=sizes.overlap) if sizes.overlap else _NOTHING_CARRIED
     return F.expr(
         _WINDOWS.format(
-            sizes=sizes,
-            target=target,
-            maximum=maximum,
+            sizes=lengths,
+            target=sizes.target,
+            maximum=sizes.maximum,
             carried=carried,
             window=WINDOW,
             stretch=_STRETCH,

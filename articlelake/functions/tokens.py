@@ -1,13 +1,12 @@
 """Token counting and hard splitting of oversized sentences.
 
-A tokenizer turns an array of sentences into an array of `{text, tokens}` units, none
-of them longer than the cap before re-counting. Words are counted in the JVM; a BPE
-vocabulary is a per-row library, so it sits behind one Arrow UDF.
+A tokenizer turns an array of sentences into an array of `{text, tokens}` units, none of
+them longer than the cap. Words are counted in the JVM. Callers with a vocabulary of their
+own bring an object with the same method.
 """
 
-from collections.abc import Callable, Iterator
+from typing import Protocol
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +15,11 @@ from articlelake.functions.binding import let
 UNIT = "struct<text:string,tokens:int>"
 
 
+class Tokenizer(Protocol):
+    def units(self, sentences: Column, max_tokens: int) -> Column:
+        """`UNIT`s of a column of sentences."""
+
+
 class WordTokenizer:
     """One token per space-separated word; expects whitespace to be collapsed."""
 
@@ -47,62 +51,4 @@ class WordTokenizer:
         return F.flatten(F.transform(sentences, split))
 
 
-def model_encoding(model: str):
-    """A factory for the BPE encoding of an embedding model; the file must be cached."""
-
-    def make():
-        import tiktoken
-
-        try:
-            return tiktoken.encoding_for_model(model)
-        except KeyError:
-            return tiktoken.get_encoding("cl100k_base")
-
-    return make
-
-
-class BpeTokenizer:
-    """Tokens of a BPE encoding, built once per task by `make_encoding`.
-
-    Text that spells a special token is an error, as the encoder has it, unless
-    `special_as_text` is set.
-    """
-
-    def __init__(self, make_encoding: Callable, special_as_text: bool = False):
-        self.make_encoding = make_encoding
-        self.special_as_text = special_as_text
-
-    def units(self, sentences: Column, max_tokens: int) -> Column:
-        make_encoding = self.make_encoding
-        refused = () if self.special_as_text else "all"
-
-        @F.pandas_udf(f"array<{UNIT}>")
-        def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            encoding = make_encoding()
-
-            def encode(text):
-                return encoding.encode(text, disallowed_special=refused)
-
-            def pieces(text):
-                ids = encode(text)
-                if len(ids) <= max_tokens:
-                    return [(text, len(ids))]
-                cuts = (ids[i : i + max_tokens] for i in range(0, len(ids), max_tokens))
-                texts = (encoding.decode(cut).strip() for cut in cuts)
-                return [(t, len(encode(t))) for t in texts if t]
-
-            for batch in batches:
-                yield batch.map(
-                    lambda row: None
-                    if row is None
-                    else [
-                        {"text": text, "tokens": tokens}
-                        for sentence in row
-                        for text, tokens in pieces(sentence)
-                    ]
-                )
-
-        return split(sentences)
-
-
 WORDS = WordTokenizer()

@@ -3,13 +3,25 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from articlelake.functions.binding import let
+
 SCORES = "map<string,double>"
 REASONS = "map<string,string>"
 
 
 def decode(text: Column, map_type: str) -> Column:
-    """A JSON object as a map; NULL text is the empty object, bad text is NULL."""
-    return F.from_json(F.coalesce(text, F.lit("{}")), map_type)
+    """A JSON object as a map; NULL text is the empty object, bad text is NULL.
+
+    The reader stops at the end of a value, whatever follows. So the text is read as the
+    first of two elements: only one whole value leaves the closing one in its place.
+    """
+    enclosed = F.concat(F.lit("["), F.coalesce(text, F.lit("{}")), F.lit(',{"":1}]'))
+    return let(
+        F.from_json(enclosed, f"array<{map_type}>"),
+        lambda both: F.when(
+            (F.array_size(both) == 2) & F.map_contains_key(F.get(both, 1), F.lit("")), F.get(both, 0)
+        ),
+    )
 
 
 def present_keys(decoded: Column) -> Column:

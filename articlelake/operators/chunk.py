@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from articlelake.functions import packing, text
-from articlelake.functions.tokens import WORDS
+from articlelake.functions.packing import Sizes
+from articlelake.functions.tokens import WORDS, Tokenizer
 from articlelake.schemas import (
     CHUNK_COLUMNS,
     MAX_CHUNK_TOKENS,
@@ -15,6 +16,9 @@ from articlelake.schemas import (
     with_lineage,
 )
 
+DEFAULT_SIZES = Sizes(TARGET_CHUNK_TOKENS, MAX_CHUNK_TOKENS, OVERLAP_TOKENS)
+RANGE_WIDTH = 1 << 16
+
 
 def checked_content(content: Column) -> Column:
     """The content itself, failing the task on NULL or on a line feed.
@@ -35,27 +39,23 @@ def checked_content(content: Column) -> Column:
 def with_windows(
     df: DataFrame,
     content: Column,
-    tokenizer=WORDS,
-    target: int = TARGET_CHUNK_TOKENS,
-    maximum: int = MAX_CHUNK_TOKENS,
-    overlap: int = OVERLAP_TOKENS,
+    tokenizer: Tokenizer = WORDS,
+    sizes: Sizes = DEFAULT_SIZES,
 ) -> DataFrame:
     """Adds `units` and the `windows` packed from them. Row-local: no shuffle."""
-    packing.check_sizes(target, maximum, overlap)
     return df.withColumn(
-        "units", tokenizer.units(text.sentences(content), maximum)
-    ).withColumn("windows", packing.windows("units.tokens", target, maximum, overlap))
+        "units", tokenizer.units(text.sentences(content), sizes.maximum)
+    ).withColumn("windows", packing.windows("units.tokens", sizes))
 
 
 def chunk_articles(
     base: DataFrame,
-    tokenizer=WORDS,
-    target: int = TARGET_CHUNK_TOKENS,
-    maximum: int = MAX_CHUNK_TOKENS,
-    overlap: int = OVERLAP_TOKENS,
+    tokenizer: Tokenizer = WORDS,
+    sizes: Sizes = DEFAULT_SIZES,
     enforce: bool = False,
     order_by: str | None = None,
     stage: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    width: int = RANGE_WIDTH,
 ) -> DataFrame:
     """One row per passage.
 
@@ -77,9 +77,7 @@ def chunk_articles(
         base.withColumn("topics", F.col("topics.topic")),
         checked_content(content) if enforce else content,
         tokenizer,
-        target,
-        maximum,
-        overlap,
+        sizes,
     )
     spans = F.col("windows")
     if enforce:
@@ -99,7 +97,7 @@ def chunk_articles(
     if order_by is None:
         rows = rows.withColumn("chunk_index", F.col("position").cast("bigint"))
     else:
-        rows = number_across_rows(stage(rows), "article_id", order_by, "position")
+        rows = number_across_rows(stage(rows), "article_id", order_by, "position", width)
     return (
         rows.withColumn("chunk_id", text.chunk_key(F.col("article_id"), F.col("chunk_index")))
         .withColumn(
@@ -111,7 +109,7 @@ def chunk_articles(
 
 
 def number_across_rows(
-    rows: DataFrame, key: str, order_by: str, position: str, width: int = 1 << 16
+    rows: DataFrame, key: str, order_by: str, position: str, width: int = RANGE_WIDTH
 ) -> DataFrame:
     """Adds `chunk_index`: a row number from 0 per key, in (order_by, position) order.
 

@@ -1,17 +1,17 @@
 """Batched model inference over a table of texts, resumable from saved vectors."""
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from articlelake.functions import text
 from articlelake.schemas import (
     EMBED_BATCH_SIZE,
     EMBED_CHECKPOINT_EVERY,
-    EMBED_FIRST_WAIT_SECONDS,
-    EMBED_MAX_ATTEMPTS,
+    EMBED_WAITS_SECONDS,
 )
 
 KEYS = ["chunk_id", "text_hash"]
@@ -50,8 +50,9 @@ def embed_rows(
     model: str,
     batch_size: int = EMBED_BATCH_SIZE,
     requests_per_minute: float | None = None,
-    max_attempts: int = EMBED_MAX_ATTEMPTS,
-    first_wait: float = EMBED_FIRST_WAIT_SECONDS,
+    parallel: int = 1,
+    dimension: int | None = None,
+    waits: Sequence[float] = EMBED_WAITS_SECONDS,
     wait_first: bool = False,
     sleep: Callable[[float], None] = time.sleep,
     clock: Callable[[], float] = time.monotonic,
@@ -59,14 +60,13 @@ def embed_rows(
     """Vectors for (chunk_id, text_hash, retrieval_text) rows, in their partitions.
 
     `connect()` makes one client per task, which maps a list of texts to their vectors.
-    A request that fails is repeated after 5, 10, 20, 40 seconds; the last failure is
-    raised. A request limit is shared out over the partitions, all of which may run at
-    once: each starts requests that many times further apart. `wait_first` keeps that
-    distance to requests made just before.
+    A request that fails is made again after each of `waits`; a failure after the last is
+    raised. A response is checked before it is handed on: as many vectors as texts, all of
+    `dimension` values if one is asked for. A request limit is shared out over `parallel`
+    partitions, as many as the rows may have: each starts requests that many times further
+    apart. `wait_first` keeps that distance to requests made just before.
     """
-    interval = 0.0
-    if requests_per_minute:
-        interval = 60.0 * pending.rdd.getNumPartitions() / requests_per_minute
+    interval = 60.0 * parallel / requests_per_minute if requests_per_minute else 0.0
     emit_every = EMBED_CHECKPOINT_EVERY * batch_size
     columns = VECTOR_COLUMNS
 
@@ -82,19 +82,22 @@ def embed_rows(
         if held is not None and len(held):
             yield held
 
-    def attempt(embed, texts):
-        wait = first_wait
-        for left in range(max_attempts - 1, -1, -1):
+    def respond(embed, texts):
+        schedule = iter(waits)
+        vectors = None
+        while vectors is None:
             try:
                 vectors = list(embed(texts))
-                break
             except Exception:
-                if not left:
+                wait = next(schedule, None)
+                if wait is None:
                     raise
                 sleep(wait)
-                wait *= 2
         if len(vectors) != len(texts):
             raise ValueError(f"{len(vectors)} vectors for {len(texts)} texts")
+        wrong = [len(v) for v in vectors if dimension is not None and len(v) != dimension]
+        if wrong:
+            raise ValueError(f"embedding_dimension: {wrong[0]} values instead of {dimension}")
         return vectors
 
     def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,7 +110,7 @@ def embed_rows(
                 if early > 0:
                     sleep(early)
             started = clock()
-            vectors = attempt(embed, batch["retrieval_text"].tolist())
+            vectors = respond(embed, batch["retrieval_text"].tolist())
             out.append(
                 pd.DataFrame(
                     {
@@ -135,34 +138,42 @@ def to_embed(chunks: DataFrame) -> DataFrame:
     )
 
 
-def pending(chunks: DataFrame, vectors: DataFrame, model: str) -> DataFrame:
-    """Rows of `to_embed` that have no saved vector of this model yet."""
-    done = vectors.where(F.col("model") == model).select(KEYS)
-    return to_embed(chunks).join(done, KEYS, "left_anti")
+def usable(vectors: DataFrame, model: str, dimension: int | None = None) -> DataFrame:
+    """Saved vectors of the model, and of the length asked for."""
+    own = vectors.where(F.col("model") == model)
+    return own if dimension is None else own.where(F.col("dimension") == dimension)
 
 
-def repeated(vectors: DataFrame, model: str) -> DataFrame:
-    """Keys with more than one saved vector of the model; reads no vectors."""
-    keys = vectors.where(F.col("model") == model).groupBy(KEYS).count()
-    return keys.where(F.col("count") > 1)
+def pending(
+    chunks: DataFrame, vectors: DataFrame, model: str, dimension: int | None = None
+) -> DataFrame:
+    """Rows of `to_embed` that have no usable saved vector yet."""
+    done = usable(vectors, model, dimension).select(KEYS)
+    return to_embed(chunks).join(done, KEYS, "left_anti")
 
 
 def attach(
-    chunks: DataFrame, vectors: DataFrame, model: str, deduplicate: bool = True
+    chunks: DataFrame, vectors: DataFrame, model: str, dimension: int | None = None
 ) -> DataFrame:
     """The chunks with their `embedding`, NULL where none was saved.
 
-    Two runs may both have saved a vector. Reducing them to one per key sorts all of
-    them before the exchange, so callers that know there are none can leave it out.
+    Two runs may both have saved a vector; one of them is taken. The text of a chunk goes
+    through the join once: `retrieval_text` holds it a second time, so it is left out where
+    it can be built again, and must then hash to what it was.
     """
-    saved = vectors.where(F.col("model") == model).select(*KEYS, "embedding")
-    if deduplicate:
-        saved = saved.groupBy(KEYS).agg(F.first("embedding").alias("embedding"))
-    return (
-        chunks.withColumn("text_hash", text_hash(F.col("retrieval_text")))
-        .join(saved, KEYS, "left")
-        .select(*chunks.columns, "embedding")
-    )
+    saved = usable(vectors, model, dimension).groupBy(KEYS)
+    saved = saved.agg(F.first("embedding").alias("embedding"))
+    hashed = chunks.withColumn("text_hash", text_hash(F.col("retrieval_text")))
+    parts = ["title", "topics", "content_chunk"]
+    rebuilds = set(parts) <= set(chunks.columns)
+    joined = (hashed.drop("retrieval_text") if rebuilds else hashed).join(saved, KEYS, "left")
+    if rebuilds:
+        built = text.retrieval_text(*map(F.col, parts))
+        kept = F.when(text_hash(built) == F.col("text_hash"), built).otherwise(
+            F.raise_error(F.lit("retrieval_text: a passage is not made of its own columns"))
+        )
+        joined = joined.withColumn("retrieval_text", kept)
+    return joined.select(*chunks.columns, "embedding")
 
 
 def attach_by_key(left: DataFrame, vectors: DataFrame, key: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Jobs: each reads tables, audits them and publishes one stage.
 
 Audits run before the write, over the slim columns they need; content checks ride along
-with the write. Writes replace their target only when they commit, so a failing job
-publishes nothing.
+with the write. Single-path jobs write beside their target and take its place when all is
+done, lake jobs replace one partition as they commit. So a failing job publishes nothing
+and removes nothing but what it wrote itself.
 """
 
 import math
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -13,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlelake.errors import IntegrityError
-from articlelake.functions import packing
-from articlelake.functions.tokens import WORDS
+from articlelake.functions.packing import Sizes
+from articlelake.functions.tokens import Tokenizer
 from articlelake.operators import batches, embed, quality
 from articlelake.operators.batches import Batch
 from articlelake.operators.chunk import chunk_articles
 from articlelake.operators.clean import clean_articles
 from articlelake.operators.flatten import flatten_articles
-from articlelake.runtime import run_folder, spread
+from articlelake.runtime import spread
 from articlelake.schemas import (
     BASE_COLUMNS,
     CHUNK_COLUMNS,
@@ -33,32 +35,30 @@ from articlelake.schemas import (
     TARGET_CHUNK_TOKENS,
 )
 from articlelake.sources import lake as lakes
-from articlelake.sources.csv import read_raw_csv, write_raw_csv
+from articlelake.sources.csv import read_raw_csv
 from articlelake.sources.lake import Lake
 
 OFFENDERS_SHOWN = 20
-MAX_WAVES = 50
 
 
 @dataclass(frozen=True)
 class Chunking:
-    tokenizer: object = WORDS
-    target: int = TARGET_CHUNK_TOKENS
-    maximum: int = MAX_CHUNK_TOKENS
-    overlap: int = OVERLAP_TOKENS
+    """The sizes count what the tokenizer counts, so it has no default: 350 words are more
+    than 350 tokens of most models."""
 
-    def __post_init__(self):
-        packing.check_sizes(self.target, self.maximum, self.overlap)
+    tokenizer: Tokenizer
+    sizes: Sizes = Sizes(TARGET_CHUNK_TOKENS, MAX_CHUNK_TOKENS, OVERLAP_TOKENS)
 
     def apply(self, base: DataFrame) -> DataFrame:
-        return chunk_articles(
-            base, self.tokenizer, self.target, self.maximum, self.overlap, enforce=True
-        )
+        return chunk_articles(base, self.tokenizer, self.sizes, enforce=True)
 
 
 @dataclass(frozen=True)
 class Embedding:
-    """A model behind `connect()`, which makes a client mapping texts to vectors."""
+    """A model behind `connect()`, which makes a client mapping texts to vectors.
+
+    Vectors are saved every `save_every` requests of each of the `parallel` tasks.
+    """
 
     connect: Callable
     model: str
@@ -66,13 +66,9 @@ class Embedding:
     batch_size: int = EMBED_BATCH_SIZE
     requests_per_minute: float | None = EMBED_REQUESTS_PER_MINUTE
     parallel: int = 1
+    save_every: int = EMBED_CHECKPOINT_EVERY
     options: dict = field(default_factory=dict)
 
-    @property
-    def label(self) -> str:
-        """Vectors of another model or length are not taken up again."""
-        return f"{self.model}/{self.dimension or 'default'}"
-
 
 # --- stage logic over DataFrames ----------------------------------------------
 
@@ -105,75 +101,70 @@ def audited_chunks(base: DataFrame, chunking: Chunking) -> DataFrame:
     return chunking.apply(spread(base, "article_id"))
 
 
-def staged(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
-    """The rows written to and read from a fresh shared folder, and that folder."""
-    folder = run_folder(df.sparkSession, purpose)
+def staged(df: DataFrame, folder: str) -> DataFrame:
+    """The rows written to and read from a folder."""
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def embed_all(
     spark: SparkSession, chunks: DataFrame, vectors: str, embedding: Embedding
 ) -> DataFrame:
-    """A stored chunk table with embeddings; vectors are saved in waves, and resumed.
+    """A chunk table with embeddings; vectors are saved in waves, and resumed.
 
-    A wave embeds as many files as may run at once and appends their vectors, so a lost
-    run repeats one wave at most. The files are those of the chunk table, or of what a
-    resumed run found pending. A table with too few files for waves of a checkpoint
-    interval is cut into more; a large one is used as it lies, and not shuffled.
+    What has no usable vector yet is written once, dealt by a hash of its key into waves
+    of one save interval, so a lost run repeats one wave whatever the size of the table.
     """
     paced = embedding.requests_per_minute is not None
     parallel = embedding.parallel
     if not paced:
         parallel = max(parallel, spark.sparkContext.defaultParallelism)
-    folders = []
-    todo = embed.to_embed(chunks)
-    if lakes.exists(spark, vectors):
-        pending = embed.pending(chunks, read_vectors(spark, vectors), embedding.label)
-        todo, folder = staged(pending, "pending")
-        folders.append(folder)
-    intervals = math.ceil(todo.count() / (embedding.batch_size * EMBED_CHECKPOINT_EVERY))
-    files = min(intervals, MAX_WAVES * parallel)
-    if len(todo.inputFiles()) < files:
-        todo, folder = staged(todo.repartition(files, *embed.KEYS), "waves")
-        folders.append(folder)
-    names = sorted(todo.inputFiles()) if intervals else []
-    for start in range(0, len(names), parallel):
-        part = spark.read.parquet(*names[start : start + parallel])
-        wave = part if "text_hash" in part.columns else embed.to_embed(part)
-        if paced:
-            wave = wave.coalesce(parallel)
-        embed.embed_rows(
-            wave,
-            embedding.connect,
-            embedding.label,
-            embedding.batch_size,
-            embedding.requests_per_minute,
-            wait_first=start > 0,
-            **embedding.options,
-        ).write.mode("append").parquet(vectors)
-    for folder in folders:
-        lakes.remove(spark, folder)
+    model, dimension = embedding.model, embedding.dimension
+    todo = embed.pending(chunks, read_vectors(spark, vectors), model, dimension)
+    waves = math.ceil(todo.count() / (embedding.batch_size * embedding.save_every * parallel))
+    with lakes.scratch(spark, "pending") as folder:
+        if waves:
+            wave = F.pmod(F.xxhash64(*embed.KEYS), F.lit(waves)).alias("wave")
+            dealt = todo.select("*", wave).repartition("wave")
+            dealt.write.partitionBy("wave").parquet(folder)
+        started = False
+        for n in range(waves):
+            if not lakes.exists(spark, f"{folder}/wave={n}"):
+                continue
+            part = spark.read.schema(todo.schema).parquet(f"{folder}/wave={n}")
+            embed.embed_rows(
+                part.repartition(parallel, *embed.KEYS),
+                embedding.connect,
+                model,
+                embedding.batch_size,
+                embedding.requests_per_minute,
+                parallel,
+                dimension,
+                wait_first=started,
+                **embedding.options,
+            ).write.mode("append").parquet(vectors)
+            started = True
 
     saved = read_vectors(spark, vectors)
-    if embedding.dimension is None:
-        _require_uniform(chunks, saved, embedding.label)
-    repeated = not embed.repeated(saved, embedding.label).isEmpty()
-    attached = embed.attach(chunks, saved, embedding.label, deduplicate=repeated)
-    return embed.checked(attached, embedding.dimension)
+    if dimension is None:
+        _require_uniform(chunks, saved, model)
+    return embed.checked(embed.attach(chunks, saved, model, dimension), dimension)
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """Vectors saved so far, none where nothing was."""
+    if not lakes.exists(spark, path):
+        return spark.createDataFrame([], embed.VECTOR_SCHEMA)
     return spark.read.schema(embed.VECTOR_SCHEMA).parquet(path)
 
 
-def _require_uniform(chunks: DataFrame, saved: DataFrame, label: str) -> None:
+def _require_uniform(chunks: DataFrame, saved: DataFrame, model: str) -> None:
     """One length over the vectors in use; only keys and lengths are read."""
-    in_use = saved.where(F.col("model") == label).join(
+    in_use = embed.usable(saved, model).join(
         embed.to_embed(chunks).select(embed.KEYS), embed.KEYS, "left_semi"
     )
     lengths = in_use.agg(F.min("dimension").alias("low"), F.max("dimension").alias("high")).first()
-    if lengths.low is None or lengths.low != lengths.high:
+    if lengths.low != lengths.high:
         raise IntegrityError(
             f"embedding_dimension: lengths run from {lengths.low} to {lengths.high}"
         )
@@ -184,19 +175,17 @@ def _require_uniform(chunks: DataFrame, saved: DataFrame, label: str) -> None:
 
 def clean_job(spark: SparkSession, csv: str, output: str, batch_id: str | None = None) -> None:
     batch = batches.resolve(spark, batch_id) if batch_id else None
-    raw, folder = staged(read_raw_csv(spark, csv), "raw")
-    audited_base(raw, batch).write.mode("overwrite").parquet(output)
-    lakes.remove(spark, folder)
+    with lakes.scratch(spark, "raw") as folder:
+        raw = staged(read_raw_csv(spark, csv), folder)
+        lakes.publish(audited_base(raw, batch), output)
 
 
 def flatten_job(spark: SparkSession, base: str, output: str) -> None:
-    audited_flat(spark.read.parquet(base)).write.mode("overwrite").parquet(output)
+    lakes.publish(audited_flat(spark.read.parquet(base)), output)
 
 
-def chunk_job(
-    spark: SparkSession, base: str, output: str, chunking: Chunking = Chunking()
-) -> None:
-    audited_chunks(spark.read.parquet(base), chunking).write.mode("overwrite").parquet(output)
+def chunk_job(spark: SparkSession, base: str, output: str, chunking: Chunking) -> None:
+    lakes.publish(audited_chunks(spark.read.parquet(base), chunking), output)
 
 
 def embed_job(
@@ -206,16 +195,17 @@ def embed_job(
     embedding: Embedding,
     limit: int | None = None,
 ) -> None:
-    """Embed a chunk table, or its first `limit` passages into an output of their own."""
-    table, target, folder = spark.read.parquet(chunks), output, None
-    if limit is not None:
-        table, folder = staged(embed.sample(table, limit), "sample")
-        target = sample_path(output)
-    vectors = f"{target}.checkpoint"
-    embed_all(spark, table, vectors, embedding).write.mode("overwrite").parquet(target)
+    """Embed a chunk table, or its first `limit` passages into an output of their own.
+
+    The vectors saved on the way stay beside the output until it is published.
+    """
+    table, target = spark.read.parquet(chunks), output
+    with lakes.scratch(spark, "sample") as folder:
+        if limit is not None:
+            table, target = staged(embed.sample(table, limit), folder), sample_path(output)
+        vectors = f"{target}.checkpoint"
+        lakes.publish(embed_all(spark, table, vectors, embedding), target)
     lakes.remove(spark, vectors)
-    if folder:
-        lakes.remove(spark, folder)
 
 
 def sample_path(output: str) -> str:
@@ -228,7 +218,7 @@ def run_all(
     spark: SparkSession,
     csv: str,
     folder: str,
-    chunking: Chunking = Chunking(),
+    chunking: Chunking,
     embedding: Embedding | None = None,
 ) -> dict[str, str]:
     """All stages from one CSV into one folder; without an embedding it stops at chunks."""
@@ -260,7 +250,7 @@ def run_batch(
     spark: SparkSession,
     lake: Lake,
     batch_id: str,
-    chunking: Chunking = Chunking(),
+    chunking: Chunking,
     embedding: Embedding | None = None,
     dry_run: bool = False,
 ) -> dict[str, int]:
@@ -316,25 +306,29 @@ def land_batch(
     validate: bool = True,
     dry_run: bool = False,
 ) -> list[str]:
-    """Bring a delivery into the lake; returns the stages it makes stale.
+    """Bring the files of a delivery into the lake as they are; returns the stages it makes stale.
 
     Its rows must pass every cleaning guard, nothing is kept of that trial. An existing
-    delivery of the same id needs `overwrite`.
+    delivery of the same id needs `overwrite`, and goes when the new one is complete.
     """
     batch = batches.resolve(spark, batch_id)
-    raw, folder = staged(read_raw_csv(spark, csv), "delivery")
-    if validate:
-        audited_base(raw, batch)
+    with lakes.scratch(spark, "delivery") as folder:
+        raw = staged(read_raw_csv(spark, csv), folder)
+        if validate:
+            audited_base(raw, batch)
     if dry_run:
-        lakes.remove(spark, folder)
         return []
     delivered = batches.manifest(lakes.raw_batches(spark, lake, batch.year))
     batches.require_no_overlap(delivered, batch)
     present = lakes.inventory(spark, lake, batch)
     if present["raw"] and not overwrite:
         raise IntegrityError(f"{batch_id!r} was delivered before: pass overwrite to replace it")
-    write_raw_csv(raw, lake.raw(batch))
-    lakes.remove(spark, folder)
+    arriving = f"{lake.staging('arriving')}/{uuid.uuid4().hex}"
+    try:
+        lakes.copy_files(spark, csv, arriving)
+        lakes.swap_in(spark, arriving, lake.raw(batch))
+    finally:
+        lakes.remove(spark, arriving)
     return [s for s, there in present.items() if there and s != "raw"]
 
 

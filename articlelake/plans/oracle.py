@@ -144,7 +144,7 @@ FAULTY = f"""WITH {raw(True, 'sound')}, faulty AS (
     CASE doc_id % 50 WHEN 1 THEN '   ' WHEN 2 THEN NULL WHEN 14 THEN 'Same story' ELSE title END AS title,
     CASE doc_id % 50 WHEN 3 THEN '2022-02-30 10:00:00' WHEN 14 THEN '8/8/2022 3:05' ELSE published_date END AS published_date,
     CASE doc_id % 50 WHEN 4 THEN '  ' WHEN 5 THEN NULL WHEN 6 THEN 'BTO|BTO' WHEN 7 THEN 'BTO|' WHEN 12 THEN 'BTO' ELSE topics END AS topics,
-    CASE doc_id % 50 WHEN 8 THEN '{{bad' WHEN 9 THEN NULL WHEN 10 THEN '{{"BTO": null}}' WHEN 12 THEN '{{"BTO": 1, "Rental": 2}}' ELSE sentiment_by_topic END AS scores,
+    CASE doc_id % 50 WHEN 8 THEN '{{bad' WHEN 9 THEN NULL WHEN 10 THEN '{{"BTO": null}}' WHEN 12 THEN '{{"BTO": 1, "Rental": 2}}' WHEN 17 THEN '{{"BTO": 0.5}} trailing' WHEN 18 THEN '{{"BTO": 1}}{{"Rental": 2}}' ELSE sentiment_by_topic END AS scores,
     CASE doc_id % 50 WHEN 11 THEN rtrim(sentiment_reason_by_topic, '}}') || ', "Other": "x"}}' WHEN 12 THEN '{{"BTO": "a"}}' ELSE sentiment_reason_by_topic END AS reasons,
     CASE doc_id % 50 WHEN 13 THEN NULL ELSE exclude_from_housing_analysis END AS exclude_from_housing_analysis,
     CASE doc_id % 50 WHEN 15 THEN NULL WHEN 16 THEN content || chr(10) || 'next' ELSE content END AS content
@@ -216,9 +216,10 @@ def oracle_sql() -> dict[str, str]:
     doc_units = units("documents", "doc_id", "text", 50)
     embedded = f"""{article_chunks(*default)},
 texts AS (SELECT {CHUNK_SELECT} FROM chunks JOIN base ON k = article_id)
-SELECT chunk_id, CAST(i AS BIGINT) AS position,
+SELECT {{more}}chunk_id, CAST(i AS BIGINT) AS position,
   (CAST('0x' || substr(md5(retrieval_text), 2 * i + 1, 2) AS INTEGER) - 128) / 128.0::DOUBLE AS value
 FROM texts, range(8) r(i)"""
+    embedded, resumed = (embedded.replace("{more}", m) for m in ("", "article_id, md5(retrieval_text) AS text_md5, "))
     return {
         "raw_articles_view": f"WITH {raw(False)} SELECT * EXCLUDE (doc_id) REPLACE (CAST(exclude_from_housing_analysis AS VARCHAR) AS exclude_from_housing_analysis) FROM raw",
         "csv_export_roundtrip": f"WITH {raw(False)} SELECT * EXCLUDE (doc_id) REPLACE (CAST(exclude_from_housing_analysis AS VARCHAR) AS exclude_from_housing_analysis) FROM raw",
@@ -288,10 +289,10 @@ FROM art JOIN tot USING (k)"""
         "json_map_decode": """SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k,
   CAST(len(json_keys(props)) AS BIGINT) AS keys FROM events""",
         "embed_local": embedded,
-        "embed_resumed": embedded,
+        "embed_resumed": resumed,
         "embed_sample": f"""{article_chunks(*default)} SELECT article_id || ':chunk_' || w AS chunk_id, CAST(w AS BIGINT) AS chunk_index
 FROM chunks JOIN base ON k = article_id ORDER BY article_id, w LIMIT 25""",
-        "embed_resume_pending": """SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)""",
+        "embed_resume_pending": f"""{article_chunks(*default)} SELECT k || ':chunk_' || w AS chunk_id FROM chunks WHERE k >= 'Doc 5'""",
         "embed_attach_validate": """SELECT count(*) AS chunks, count(*) FILTER (embedding IS NULL) AS missing_embedding,
   CAST(min(len(embedding)) AS BIGINT) AS min_dimension, CAST(max(len(embedding)) AS BIGINT) AS max_dimension,
   count(*) FILTER (len(embedding) <> 64) AS wrong_dimension, min(len(embedding)) = max(len(embedding)) AS uniform
@@ -308,6 +309,15 @@ FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS batch_id FROM orders)"""
         "stale_outputs": f"""{KEPT} SELECT DISTINCT month_id AS batch_id, stage FROM base, (VALUES ('base'), ('flattened')) v(stage)
 WHERE stage = 'base' OR quarter_year IN ('2022Q1', '2022Q2')""",
         "batch_run": f"""{KEPT} SELECT {FLAT_COLUMNS}, '2022-01_to_2022-12' AS batch_id FROM flat""",
+        "batch_run_embeddings": embedded,
+        "batch_conflicts": f"""WITH {MANIFEST}, span AS (SELECT min(year(o_orderdate)) AS y FROM orders)
+SELECT batch_id FROM manifest, span WHERE error IS NOT NULL OR start_date <= make_date(y, 6, 30) AND end_date >= make_date(y, 2, 1)
+  AND batch_id <> y || '-02_to_' || y || '-06'""",
+        "landed_delivery": f"""{KEPT} SELECT url, 'by ' || url AS author, upper(CAST(exclude_from_housing_analysis AS VARCHAR)) AS flag FROM raw""",
+        "run_all_stages": f"""{article_chunks(*default)}, n AS (SELECT count(*) AS c FROM chunks)
+SELECT 'base' AS stage, count(*) AS rows FROM base UNION ALL SELECT 'flattened', count(*) FROM flat
+UNION ALL SELECT 'chunks', c FROM n UNION ALL SELECT 'embeddings', c FROM n""",
+        "failed_rerun": f"""{article_chunks(*default)} SELECT k || ':chunk_' || w AS chunk_id, md5(chunk) AS chunk_md5 FROM chunks""",
         "stage_compaction": f"""{KEPT} SELECT {FLAT_COLUMNS}, month_id AS batch_id FROM flat""",
         "cross_batch_duplicates": """SELECT article_id, count(DISTINCT batch_id) AS batches FROM (
   SELECT source || ' | ' || lang || ' | ' || (n_chars // 50) AS article_id,

@@ -1,14 +1,17 @@
 """The registered queries: every operator over whole tables."""
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articlelake.functions import text, topics
+from articlelake.functions.packing import Sizes
 from articlelake.functions.tokens import WORDS
 from articlelake.operators import batches, embed, quality
 from articlelake.operators.chunk import (
+    DEFAULT_SIZES,
     chunk_articles,
     chunk_statistics,
     content_length_statistics,
@@ -20,12 +23,12 @@ from articlelake.plans import jobs
 from articlelake.runtime import run_folder, spread
 from articlelake.schemas import BASE_COLUMNS, FLAT_COLUMNS
 from articlelake.sources import lake as lakes
-from articlelake.sources.csv import read_raw_csv, write_raw_csv
+from articlelake.sources.csv import DIALECT, read_raw_csv, write_raw_csv
 from articlelake.sources.lake import Lake
 from articlelake.sources.testdata import as_raw, faulty_articles, raw_articles, table
 
 # small sizes, so that long splits, overlap and both flush rules all occur
-SMALL = {"target": 35, "maximum": 50, "overlap": 8}
+SMALL = Sizes(target=35, maximum=50, overlap=8)
 WHOLE_YEAR = "2022-01_to_2022-12"
 
 
@@ -43,6 +46,10 @@ def _base(spark: SparkSession, sf: str, with_text: bool = False) -> DataFrame:
     return clean_articles(_kept(spark, sf, with_text))
 
 
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    return jobs.staged(df, run_folder(df.sparkSession, purpose))
+
+
 def _monthly(df: DataFrame) -> DataFrame:
     return df.withColumn("batch_id", F.date_format("published_date", "yyyy-MM"))
 
@@ -166,7 +173,7 @@ def long_unit_split(spark, sf):
 
 
 def document_windows(spark, sf):
-    windowed = with_windows(_documents(spark, sf), F.col("text"), **SMALL)
+    windowed = with_windows(_documents(spark, sf), F.col("text"), sizes=SMALL)
     # an expression and not the column, which would be filtered on below its own making
     spans = F.filter("windows", lambda w: w.first.isNotNull())
     return windowed.select("doc_id", F.posexplode(spans).alias("chunk_index", "w")).select(
@@ -178,13 +185,13 @@ def document_windows(spark, sf):
     )
 
 
-def _chunks(spark, sf, **sizes) -> DataFrame:
-    chunks = chunk_articles(_base(spark, sf, with_text=True), **sizes)
+def _chunks(spark, sf, sizes=DEFAULT_SIZES) -> DataFrame:
+    chunks = chunk_articles(_base(spark, sf, with_text=True), sizes=sizes)
     return _day(chunks).withColumn("topics", F.array_join("topics", ", "))
 
 
 def rag_chunks_words(spark, sf):
-    return _chunks(spark, sf, **SMALL)
+    return _chunks(spark, sf, SMALL)
 
 
 def rag_chunks_default(spark, sf):
@@ -204,7 +211,7 @@ def chunk_numbering(spark, sf):
     ).withColumns(constant)
     # the row's document rides along in the lineage column
     chunks = chunk_articles(
-        articles, order_by="doc_id", stage=lambda rows: jobs.staged(rows, "passages")[0], **SMALL
+        articles, sizes=SMALL, order_by="doc_id", stage=lambda rows: _stored(rows, "passages"), width=100
     )
     return chunks.select(
         "article_id",
@@ -215,11 +222,11 @@ def chunk_numbering(spark, sf):
 
 
 def chunk_windows_stats(spark, sf):
-    return chunk_statistics(with_windows(_documents(spark, sf), F.col("text"), **SMALL))
+    return chunk_statistics(with_windows(_documents(spark, sf), F.col("text"), sizes=SMALL))
 
 
 def unique_chunk_ids(spark, sf):
-    return quality.duplicate_chunk_ids(chunk_articles(_base(spark, sf, with_text=True), **SMALL))
+    return quality.duplicate_chunk_ids(chunk_articles(_base(spark, sf, with_text=True), sizes=SMALL))
 
 
 def content_length_stats(spark, sf):
@@ -234,11 +241,12 @@ def json_map_decode(spark, sf):
     )
 
 
-def _elements(embedded: DataFrame) -> DataFrame:
-    return embedded.select(
-        "chunk_id", F.posexplode("embedding").alias("position", "value")
-    ).select(
-        "chunk_id",
+def _elements(embedded: DataFrame, *more) -> DataFrame:
+    exploded = embedded.select(
+        "chunk_id", *more, F.posexplode("embedding").alias("position", "value")
+    )
+    return exploded.select(
+        *[c for c in exploded.columns if c not in ("position", "value")],
         F.col("position").cast("bigint").alias("position"),
         F.col("value").cast("double").alias("value"),
     )
@@ -250,20 +258,52 @@ def embed_local(spark, sf):
 
 
 def embed_resumed(spark, sf):
-    """Vectors of one half of the keys are already saved; the other half is embedded."""
-    chunks, _ = jobs.staged(chunk_articles(_base(spark, sf, with_text=True)), "chunks")
-    embedding = jobs.Embedding(
-        embed.hashed_vectors(8), "md5", dimension=8, requests_per_minute=None
-    )
+    """A run that is lost after some waves, then one that finishes.
+
+    Of the vectors saved before, those of another length are not taken up.
+    """
+    chunks = _stored(chunk_articles(_base(spark, sf, with_text=True)), "chunks")
     vectors = run_folder(spark, "vectors")
+    settings = {"model": "md5", "dimension": 8, "requests_per_minute": None}
+    wrong = embed.to_embed(chunks).where(F.col("text_hash") < "3")
+    embed.embed_rows(wrong, embed.hashed_vectors(7), "md5").write.parquet(vectors)
     earlier = embed.to_embed(chunks).where(F.col("text_hash") < "8")
-    embed.embed_rows(earlier, embedding.connect, embedding.label).write.parquet(vectors)
-    return _elements(jobs.embed_all(spark, chunks, vectors, embedding))
+    embed.embed_rows(earlier, _lost_after(8, "f"), "md5").write.mode("append").parquet(vectors)
+    try:
+        jobs.embed_all(spark, chunks, vectors, jobs.Embedding(_lost_after(8, "0"), options={"waits": ()}, **settings))
+    except Exception as error:
+        if "connection lost" not in str(error):
+            raise
+    whole = jobs.embed_all(spark, chunks, vectors, jobs.Embedding(embed.hashed_vectors(8), **settings))
+    return _elements(whole, "article_id", F.md5("retrieval_text").alias("text_md5"))
+
+
+def _lost_after(size: int, first: str):
+    """A client that fails on texts whose MD5 begins above a digit."""
+    make = embed.hashed_vectors(size)
+
+    def connect():
+        import hashlib
+
+        call = make()
+
+        def embed_texts(texts):
+            if any(hashlib.md5(t.encode()).hexdigest()[0] > first for t in texts):
+                raise RuntimeError("connection lost")
+            return call(texts)
+
+        return embed_texts
+
+    return connect
 
 
 def embed_sample(spark, sf):
-    chunks = chunk_articles(_base(spark, sf, with_text=True))
-    return embed.sample(chunks, 25).select("chunk_id", "chunk_index")
+    """What the embedding job writes for a sample."""
+    chunks, output = run_folder(spark, "chunks"), run_folder(spark, "embedded")
+    chunk_articles(_base(spark, sf, with_text=True)).write.parquet(chunks)
+    local = jobs.Embedding(embed.hashed_vectors(8), "md5", 8, requests_per_minute=None)
+    jobs.embed_job(spark, chunks, output, local, limit=25)
+    return spark.read.parquet(jobs.sample_path(output)).select("chunk_id", "chunk_index")
 
 
 def _vectors(spark, sf) -> DataFrame:
@@ -271,11 +311,12 @@ def _vectors(spark, sf) -> DataFrame:
 
 
 def embed_resume_pending(spark, sf):
-    return (
-        table(spark, sf, "documents")
-        .select("doc_id")
-        .join(_vectors(spark, sf).select("doc_id"), "doc_id", "left_anti")
+    """Passages without a usable vector, where vectors of some articles are saved."""
+    chunks = chunk_articles(_base(spark, sf, with_text=True))
+    saved = embed.to_embed(chunks.where("article_id < 'Doc 5'")).select(
+        *embed.KEYS, F.lit("md5").alias("model"), F.lit(8).alias("dimension")
     )
+    return embed.pending(chunks, saved, "md5", 8).select("chunk_id")
 
 
 def embed_attach_validate(spark, sf):
@@ -362,22 +403,82 @@ def stale_outputs(spark, sf):
     return lakes.stage_inventory(spark, lake, base.select("batch_id").distinct())
 
 
-def batch_run(spark, sf):
-    """The whole year delivered as CSV and processed as one batch."""
+def batch_conflicts(spark, sf):
+    """Delivered ids that share months with a batch of the year, but for its own."""
+    year = table(spark, sf, "orders").agg(F.min(F.year("o_orderdate"))).first()[0]
+    batch = batches.resolve(spark, f"{year}-02_to_{year}-06")
+    return batches.conflicts(batches.manifest(_candidate_ids(spark, sf)), batch).select("batch_id")
+
+
+WORDS_AS_TOKENS = jobs.Chunking(WORDS)
+
+
+def _landed(spark, sf) -> Lake:
     lake = Lake(run_folder(spark, "lake"))
     export = run_folder(spark, "export")
     write_raw_csv(_kept(spark, sf, with_text=True), export)
     jobs.land_batch(spark, lake, WHOLE_YEAR, export)
-    jobs.run_batch(spark, lake, WHOLE_YEAR)
+    return lake
+
+
+def batch_run(spark, sf):
+    """The whole year delivered as CSV and processed as one batch: its topics."""
+    lake = _landed(spark, sf)
+    jobs.run_batch(spark, lake, WHOLE_YEAR, WORDS_AS_TOKENS)
     return _day(lakes.read_stage(spark, lake.stage("flattened"), FLAT_COLUMNS))
 
 
+def batch_run_embeddings(spark, sf):
+    """The same batch through the embedding stage."""
+    lake = _landed(spark, sf)
+    local = jobs.Embedding(embed.hashed_vectors(8), "md5", 8, requests_per_minute=None)
+    jobs.run_batch(spark, lake, WHOLE_YEAR, WORDS_AS_TOKENS, local)
+    return _elements(spark.read.parquet(lake.stage("embeddings")))
+
+
+def landed_delivery(spark, sf):
+    """A landed delivery keeps columns that no job reads, and spellings as they came."""
+    lake = Lake(run_folder(spark, "lake"))
+    export = run_folder(spark, "export")
+    raw = _kept(spark, sf).withColumn("content", F.lit("One line."))
+    flags = F.upper(F.col("exclude_from_housing_analysis").cast("string"))
+    raw = raw.withColumns({"exclude_from_housing_analysis": flags, "author": F.concat(F.lit("by "), "url")})
+    raw.write.options(**DIALECT).csv(export)
+    jobs.land_batch(spark, lake, WHOLE_YEAR, export)
+    landed = spark.read.options(**DIALECT).csv(f"{lake.raw_folder(2022)}/{WHOLE_YEAR}.csv")
+    return landed.select("url", "author", F.col("exclude_from_housing_analysis").alias("flag"))
+
+
+def run_all_stages(spark, sf):
+    """All single-path jobs over one export: rows of each stage."""
+    export, out = run_folder(spark, "export"), run_folder(spark, "out")
+    write_raw_csv(_kept(spark, sf, with_text=True), export)
+    local = jobs.Embedding(embed.hashed_vectors(8), "md5", 8, requests_per_minute=None)
+    paths = jobs.run_all(spark, export, out, WORDS_AS_TOKENS, local)
+    counts = [spark.read.parquet(p).agg(F.lit(s).alias("stage"), F.count("*").alias("rows")) for s, p in paths.items()]
+    return reduce(DataFrame.union, counts)
+
+
+def failed_rerun(spark, sf):
+    """Chunks published by a good run, after one that fails its checks."""
+    base, broken, out = (run_folder(spark, p) for p in ("base", "base", "out"))
+    good = _base(spark, sf, with_text=True)
+    good.write.parquet(base)
+    good.withColumn("content", F.concat("content", F.lit("\nmore"))).write.parquet(broken)
+    jobs.chunk_job(spark, base, out, WORDS_AS_TOKENS)
+    try:
+        jobs.chunk_job(spark, broken, out, WORDS_AS_TOKENS)
+    except Exception as error:
+        if "multiline_content" not in str(error):
+            raise
+    return spark.read.parquet(out).select("chunk_id", F.md5("content_chunk").alias("chunk_md5"))
+
+
 def stage_compaction(spark, sf):
     lake = Lake(run_folder(spark, "lake"))
     lakes.write_partitions(_monthly(flatten_articles(_base(spark, sf))), lake.stage("flattened"))
-    compacted = run_folder(spark, "compacted")
-    lakes.compact(spark, lake.stage("flattened"), compacted)
-    return _day(lakes.read_stage(spark, compacted, FLAT_COLUMNS))
+    lakes.compact(spark, lake.stage("flattened"))
+    return _day(lakes.read_stage(spark, lake.stage("flattened"), FLAT_COLUMNS))
 
 
 def cross_batch_duplicates(spark, sf):
@@ -425,7 +526,12 @@ QUERIES = {
     "batch_lineage_roundtrip": batch_lineage_roundtrip,
     "batch_retire": batch_retire,
     "stale_outputs": stale_outputs,
+    "batch_conflicts": batch_conflicts,
     "batch_run": batch_run,
+    "batch_run_embeddings": batch_run_embeddings,
+    "landed_delivery": landed_delivery,
+    "run_all_stages": run_all_stages,
+    "failed_rerun": failed_rerun,
     "stage_compaction": stage_compaction,
     "cross_batch_duplicates": cross_batch_duplicates,
 }

@@ -7,6 +7,10 @@ from articlelake.schemas import RAW_COLUMNS
 
 DIALECT = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
+# Every row must have the columns of the header, and every file the same header. Pruned
+# columns would not be checked.
+STRICT = {"mode": "FAILFAST", "enforceSchema": False, "columnPruning": False}
+
 
 def flag(c: Column) -> Column:
     """`true` or `false` in any case; anything else is unknown."""
@@ -26,10 +30,12 @@ def has_spanning_records(spark: SparkSession, path: str) -> bool:
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw articles by column name, other columns ignored.
 
-    A CSV whose records may span lines cannot be split, so it is read that way only if
-    one does. All columns are read as text: a schema would bind by position.
+    Rows with more or fewer fields than the header are errors, as are files whose headers
+    differ. A CSV whose records may span lines cannot be split, so it is read that way only if
+    one does; each file is then one task's work, so large deliveries are better landed as
+    several files. All columns are read as text: a schema would bind by position.
     """
-    reader = spark.read.options(**DIALECT, multiLine=has_spanning_records(spark, path))
+    reader = spark.read.options(**DIALECT, **STRICT, multiLine=has_spanning_records(spark, path))
     columns = [
         flag(F.col(c)).alias(c) if c == "exclude_from_housing_analysis" else F.col(c)
         for c in RAW_COLUMNS

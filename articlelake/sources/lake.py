@@ -5,13 +5,20 @@
     <root>/staging/<stage>/year=2026/batch_id=2026-06/
 """
 
+import re
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from articlelake.operators.batches import Batch
+from articlelake.runtime import run_folder
 from articlelake.schemas import STAGES
 
 PARTITION_COLUMNS = ["year", "batch_id"]
@@ -28,9 +35,97 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete exactly this file or folder."""
+    """Delete exactly this file or folder; nothing there is no error, a refusal is."""
     files, target = _hadoop(spark, path)
-    files.delete(target, True)
+    if not files.delete(target, True) and files.exists(target):
+        raise OSError(f"{path} could not be deleted")
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    files, old = _hadoop(spark, source)
+    new = _hadoop(spark, target)[1]
+    files.mkdirs(new.getParent())
+    if not files.rename(old, new):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def swap_in(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a finished file or folder in the place of another, which goes only then.
+
+    Both lie in one file system, so this renames. If the second rename fails, the old
+    content is put back.
+    """
+    before = f"{target}.before-{uuid.uuid4().hex}"
+    replaces = exists(spark, target)
+    if replaces:
+        _rename(spark, target, before)
+    try:
+        _rename(spark, staged, target)
+    except Exception:
+        if replaces:
+            _rename(spark, before, target)
+        raise
+    if replaces:
+        remove(spark, before)
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A fresh path under the shared folder, removed however the block ends."""
+    folder = run_folder(spark, purpose)
+    try:
+        yield folder
+    finally:
+        remove(spark, folder)
+
+
+def publish(df: DataFrame, target: str, partition_by: list[str] | None = None) -> None:
+    """Write beside the target, with all checks that ride along, then take its place."""
+    spark, staged = df.sparkSession, f"{target}.staged-{uuid.uuid4().hex}"
+    try:
+        df.write.partitionBy(*partition_by or []).parquet(staged)
+        swap_in(spark, staged, target)
+    finally:
+        remove(spark, staged)
+
+
+def copy_files(spark: SparkSession, source: str, target: str) -> int:
+    """Copy the files of a path byte for byte into a folder; returns their number.
+
+    Tasks stream one file each through the file system that pyarrow finds for the path.
+    """
+    listed = spark.read.format("binaryFile").load(source).select("path", "length")
+    n, size = listed.agg(F.count("*"), F.sum("length")).first()
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                store, place = _store(path)
+                other, folder = _store(target)
+                other.create_dir(folder, recursive=True)
+                done = 0
+                with store.open_input_stream(place) as a, other.open_output_stream(
+                    f"{folder}/{place.rsplit('/', 1)[1]}"
+                ) as b:
+                    while part := a.read(8 << 20):
+                        done += b.write(part)
+                yield pa.RecordBatch.from_pydict({"copied": pa.array([done], pa.int64())})
+
+    copied = listed.select("path").repartition(max(1, n), "path").mapInArrow(copy, "copied long")
+    total = copied.agg(F.sum("copied")).first()[0]
+    if total != size:
+        raise OSError(f"{total} of {size} bytes of {source} were copied")
+    return n
+
+
+def _store(path: str):
+    """A pyarrow file system and the place in it of a path as Hadoop writes it."""
+    from pyarrow import fs
+
+    local = re.match(r"(?:file:/*)?(/.*)", path.replace("file:///", "/").replace("file:/", "/"))
+    if local:
+        return fs.LocalFileSystem(), local[1].rstrip("/")
+    return fs.FileSystem.from_uri(quote(path, safe=":/"))
 
 
 @dataclass(frozen=True)
@@ -112,7 +207,6 @@ def raw_batches(spark: SparkSession, lake: Lake, year: int) -> DataFrame:
     name = F.regexp_extract("path", rf"/raw/year={year}/([^/]*)\.csv(?:/[^/]*)?\z", 1)
     return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
         .load(folder)
         .select(F.coalesce(F.try_url_decode(name), name).alias("batch_id"))
@@ -145,8 +239,8 @@ def stage_inventory(spark: SparkSession, lake: Lake, batch_ids: DataFrame) -> Da
     return reduce(DataFrame.unionByName, found).join(batch_ids, "batch_id", "left_semi")
 
 
-def compact(spark: SparkSession, table: str, target: str) -> None:
-    """Rewrite a stage table into files of even size, next to the original.
+def compact(spark: SparkSession, table: str) -> None:
+    """Rewrite a stage table into files of even size and publish it in its own place.
 
     Rebalancing brings the rows of a batch together and splits a batch that is larger
     than the advisory partition size over several writers.
@@ -155,4 +249,4 @@ def compact(spark: SparkSession, table: str, target: str) -> None:
         f"SELECT /*+ REBALANCE({', '.join(PARTITION_COLUMNS)}) */ * FROM {{table}}",
         table=spark.read.parquet(table),
     )
-    balanced.write.mode("overwrite").partitionBy(PARTITION_COLUMNS).parquet(target)
+    publish(balanced, table, PARTITION_COLUMNS)

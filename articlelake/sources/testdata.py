@@ -98,7 +98,14 @@ def faulty_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
             "sentiment_by_topic": faults(
                 "sentiment_by_topic",
-                {8: "{bad", 9: None, 10: '{"BTO": null}', 12: '{"BTO": 1, "Rental": 2}'},
+                {
+                    8: "{bad",
+                    9: None,
+                    10: '{"BTO": null}',
+                    12: '{"BTO": 1, "Rental": 2}',
+                    17: '{"BTO": 0.5} trailing',
+                    18: '{"BTO": 1}{"Rental": 2}',
+                },
             ),
             "sentiment_reason_by_topic": faults(
                 "sentiment_reason_by_topic", {11: extra, 12: '{"BTO": "a"}'}

@@ -1,4 +1,4 @@
-"""Time the headline queries; prints one JSON line.
+"""Time all queries of the article jobs; prints one JSON line.
 
 `BENCH_SF_DIR` names the tables and `BENCH_CPUS` the cores. Every query runs once to warm
 up and is then timed to its last row, written to a sink that discards them.
@@ -14,30 +14,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from articlelake.plans.queries import QUERIES
 from articlelake.session import local_session
 
-HEADLINE = [
-    "exclusion_accounting",
-    "clean_base",
-    "topic_vocabulary",
-    "flat_topics",
-    "topic_quarter_rollup",
-    "guard_report",
-    "flatten_conservation",
-    "sentences",
-    "document_windows",
-    "rag_chunks_words",
-    "rag_chunks_default",
-    "chunk_windows_stats",
-    "unique_chunk_ids",
-    "content_length_stats",
-    "embed_local",
-    "embed_attach_validate",
-    "batch_manifest",
-    "batch_lineage_roundtrip",
-    "batch_run",
-    "cross_batch_duplicates",
-]
-
-
 def seconds(spark, name: str, sf_dir: str) -> float:
     start = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -48,7 +24,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(int(os.environ.get("BENCH_CPUS", "8")))
     times = {}
-    for name in sys.argv[1:] or HEADLINE:
+    for name in sys.argv[1:] or QUERIES:
         seconds(spark, name, sf_dir)
         times[name] = round(seconds(spark, name, sf_dir), 3)
     print(

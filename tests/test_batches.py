@@ -1,3 +1,6 @@
+import calendar
+from datetime import date
+
 import pytest
 
 from articlelake.errors import IntegrityError
@@ -8,62 +11,64 @@ def entries(spark, ids):
     return batches.manifest(spark.createDataFrame([(i,) for i in ids], "batch_id string"))
 
 
-VALID = {
-    "2026-06": (2026, "2026-06-01", "2026-06-30"),
-    "2026-01_to_2026-05": (2026, "2026-01-01", "2026-05-31"),
-    "2020-01_to_2020-12": (2020, "2020-01-01", "2020-12-31"),
-    "2024-02": (2024, "2024-02-01", "2024-02-29"),
-    "2025-02": (2025, "2025-02-01", "2025-02-28"),
-    "2025-03_to_2025-03": (2025, "2025-03-01", "2025-03-31"),
-}
-INVALID = {
-    "2026": "malformed",
-    "2026-6": "malformed",
-    "2026-06.csv": "malformed",
-    "2026-06_to_2026": "malformed",
-    "jan-2026": "malformed",
-    "": "malformed",
-    "2026-06\n": "malformed",
-    "2026-13": "month",
-    "2026-00": "month",
-    "2026-01_to_2026-13": "month",
-    "2025-12_to_2026-02": "cross_year",
-    "2026-05_to_2026-01": "reversed",
-}
+def single(year, month):
+    return f"{year:04d}-{month:02d}"
+
+
+def span(year, first, last):
+    return f"{single(year, first)}_to_{single(year, last)}"
+
+
+# every month pair of a leap year and of another, and both spellings of one month
+PAIRS = [(y, a, b) for y in (2019, 2028) for a in range(1, 13) for b in range(1, 13)]
+VALID = {span(y, a, b): (y, a, b) for y, a, b in PAIRS if a <= b}
+VALID |= {single(y, a): (y, a, a) for y, a, _ in PAIRS}
+INVALID = {span(y, a, b): "reversed" for y, a, b in PAIRS if a > b}
+INVALID |= {f"{single(y, a)}_to_{single(y + 1, b)}": "cross_year" for y, a, b in PAIRS[:40]}
+INVALID |= {bad: "month" for y in (2019, 2028) for m in (0, 13, 99) for bad in (single(y, m), span(y, 3, m), span(y, m, 12))}
+STEMS = [single(2028, 7), span(2028, 7, 9)]
+INVALID |= {bad: "malformed" for s in STEMS for bad in (s[:-1], s[1:], s + " ", " " + s, s + "\n", s + ".txt", s.replace("-", "/"), s.replace("0", "o"))}
+INVALID |= {"": "malformed", "2028": "malformed"}
 
 
 def test_manifest(spark):
     rows = {r.batch_id: r for r in entries(spark, list(VALID) + list(INVALID) * 2).collect()}
     assert len(rows) == len(VALID) + len(INVALID)
-    for i, (year, start, end) in VALID.items():
+    for i, (year, first, last) in VALID.items():
         r = rows[i]
-        assert (r.year, str(r.start_date), str(r.end_date), r.error) == (year, start, end, None)
+        days = (date(year, first, 1), date(year, last, calendar.monthrange(year, last)[1]))
+        assert (r.year, r.start_date, r.end_date, r.error) == (year, *days, None)
     for i, error in INVALID.items():
-        assert tuple(rows[i])[1:] == (None, None, None, error)
+        assert tuple(rows[i])[1:] == (None, None, None, error), i
 
 
-@pytest.mark.parametrize(
-    "bad, message",
-    [("2026-6", "no month or range"), ("2026-13", "does not exist"),
-     ("2025-12_to_2026-02", "end of a year"), ("2026-05_to_2026-01", "ends before")],
-)
-def test_resolve_names_the_error(spark, bad, message):
-    with pytest.raises(ValueError, match=message):
+MESSAGES = {"malformed": "no month or range", "month": "does not exist", "cross_year": "end of a year", "reversed": "ends before"}
+
+
+@pytest.mark.parametrize("error", MESSAGES)
+def test_resolve_names_the_error(spark, error):
+    bad = next(i for i, e in INVALID.items() if e == error)
+    with pytest.raises(ValueError, match=MESSAGES[error]):
         batches.resolve(spark, bad)
 
 
-def test_conflicts(spark):
-    batch = batches.resolve(spark, "2026-06_to_2026-08")
-    clashing = ["2026-01_to_2026-06", "2026-06_to_2026-12", "2026-01_to_2026-12", "2026-07", "2026-06"]
-    free = ["2026-06_to_2026-08", "2026-01_to_2026-05", "2026-09", "2025-07"]
-    found = batches.conflicts(entries(spark, clashing + free), batch).collect()
-    assert sorted(r.batch_id for r in found) == sorted(clashing)
-    batches.require_no_overlap(entries(spark, free), batch)
+@pytest.mark.parametrize("first, last", [(1, 1), (4, 9), (12, 12), (1, 12)])
+def test_conflicts(spark, first, last):
+    """Of all ids of two years, those that share a month with the batch and are not its own."""
+    own = span(2028, first, last) if first < last else single(2028, first)
+    shared = {i for i, (y, a, b) in VALID.items() if y == 2028 and a <= last and b >= first and i != own}
+    found = batches.conflicts(entries(spark, VALID), batches.resolve(spark, own)).collect()
+    assert {r.batch_id for r in found} == shared
+
+
+def test_guard_on_conflicts(spark):
+    batch = batches.resolve(spark, span(2028, 4, 9))
     batches.require_no_overlap(entries(spark, []), batch)
-    with pytest.raises(IntegrityError, match="2026-06.*2026-07"):
-        batches.require_no_overlap(entries(spark, ["2026-07", "2026-06"]), batch)
-    with pytest.raises(IntegrityError, match="no batch ids.*articles_2026"):
-        batches.require_no_overlap(entries(spark, ["articles_2026", "2026-07"]), batch)
+    batches.require_no_overlap(entries(spark, [batch.batch_id, single(2028, 3), single(2019, 5)]), batch)
+    with pytest.raises(IntegrityError, match=f"{single(2028, 5)}.*{single(2028, 8)}"):
+        batches.require_no_overlap(entries(spark, [single(2028, 8), single(2028, 5)]), batch)
+    with pytest.raises(IntegrityError, match="no batch ids.*folder_x"):
+        batches.require_no_overlap(entries(spark, ["folder_x", single(2028, 8)]), batch)
 
 
 def test_overlapping_pairs(spark):

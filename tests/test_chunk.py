@@ -4,11 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from articlelake.functions import packing, text
-from articlelake.functions.tokens import WORDS, BpeTokenizer
+from articlelake.functions.packing import Sizes
+from articlelake.functions.tokens import WORDS
 from articlelake.operators import chunk
 
-SIZES = {"target": 35, "maximum": 50, "overlap": 8}
-BAD_SIZES = [(0, 500, 75), (350, 0, 75), (600, 500, 75), (350, 500, -1), (350, 500, 500)]
+SIZES = Sizes(target=35, maximum=50, overlap=8)
 
 
 def spec_windows(sizes, target, maximum, overlap):
@@ -25,7 +25,7 @@ def spec_windows(sizes, target, maximum, overlap):
 
 def got_windows(spark, rows, target, maximum, overlap):
     df = spark.createDataFrame(list(enumerate(rows)), "i int, s array<int>")
-    out = df.select("i", packing.windows("s", target, maximum, overlap).alias("w")).collect()
+    out = df.select("i", packing.windows("s", Sizes(target, maximum, overlap)).alias("w")).collect()
     return {r.i: [tuple(w) for w in r.w] for r in out}
 
 
@@ -40,10 +40,20 @@ def test_windows_agree_with_their_definition(spark, sizes):
         assert got[i] == spec_windows(row, *sizes), row
 
 
-@pytest.mark.parametrize("sizes", BAD_SIZES)
-def test_bad_sizes_are_rejected_while_planning(sizes):
-    with pytest.raises(ValueError):
-        packing.check_sizes(*sizes)
+@pytest.mark.parametrize("target", range(-1, 5))
+@pytest.mark.parametrize("maximum", range(-1, 4))
+def test_sizes_are_checked_as_they_are_made(target, maximum):
+    for overlap in range(-2, 5):
+        if 0 < target <= maximum and 0 <= overlap < maximum:
+            assert Sizes(target, maximum, overlap).overlap == overlap
+        else:
+            with pytest.raises(ValueError, match="not "):
+                Sizes(target, maximum, overlap)
+
+
+def test_every_broken_rule_is_named():
+    with pytest.raises(ValueError, match="0 < target.*overlap < maximum"):
+        Sizes(0, 3, 3)
 
 
 def test_overlap_is_the_tail_that_fits(spark):
@@ -77,7 +87,7 @@ def base_frame(spark, rows):
 def test_chunk_table(spark):
     sentence = "This sentence has exactly seven small words."
     base = base_frame(spark, [("a", " ".join([sentence] * 40)), ("b", "Short."), ("c", " \t")])
-    rows = chunk.chunk_articles(base, **SIZES).orderBy("article_id", "chunk_index").collect()
+    rows = chunk.chunk_articles(base, sizes=SIZES).orderBy("article_id", "chunk_index").collect()
     assert rows[0].asDict().keys() == set(chunk.CHUNK_COLUMNS)
     a = [r for r in rows if r.article_id == "a"]
     assert [r.chunk_index for r in a] == list(range(len(a))) and len(a) > 1
@@ -96,7 +106,7 @@ def test_passages_cap_at_maximum_plus_overlap(spark):
     words = lambda n: "W" + "x " * (n - 1) + "e."
     content = " ".join(words(rng.randint(2, 130)) for _ in range(200))
     df = base_frame(spark, [("a", content)])
-    chunks = [r.content_chunk for r in chunk.chunk_articles(df, **SIZES).collect()]
+    chunks = [r.content_chunk for r in chunk.chunk_articles(df, sizes=SIZES).collect()]
     assert max(len(c.split()) for c in chunks) <= 58
     assert set(content.split()) == {w for c in chunks for w in c.split()}
 
@@ -113,7 +123,7 @@ def test_numbering_runs_on_across_rows_of_an_id(spark):
     order = F.regexp_extract("content", r"(\d+)", 1).cast("long")
     numbered = chunk.chunk_articles(
         base.withColumn("o", order).withColumn("batch_id", order.cast("string")),
-        target=2, maximum=4, overlap=0, order_by="o",
+        sizes=Sizes(2, 4, 0), order_by="o", width=9,
     )
     got = {}
     for r in numbered.collect():
@@ -145,60 +155,25 @@ def test_enforced_content(spark, content, message):
 
 def test_enforced_ids(spark):
     one, two = base_frame(spark, [(None, "A b.")]), base_frame(spark, [(None, "A b c. D e f.")])
-    sizes = {"target": 3, "maximum": 4, "overlap": 0, "enforce": True}
+    sizes = {"sizes": Sizes(3, 4, 0), "enforce": True}
     assert chunk.chunk_articles(one, **sizes).count() == 1
     with pytest.raises(Exception, match="unique_chunk_id"):
         chunk.chunk_articles(two, **sizes).collect()
 
 
-def tiny_factory():
-    """A BPE vocabulary that needs no file: bytes and a few merges."""
-
-    def make():
-        import tiktoken
-
-        ranks = {bytes([i]): i for i in range(256)}
-        for i, pair in enumerate([b"th", b"he", b"in", b"er", b"the", b" t"]):
-            ranks[pair] = 256 + i
-        return tiktoken.Encoding(
-            "tiny", pat_str=r"\s?\S+|\s+", mergeable_ranks=ranks, special_tokens={"<|end|>": 300}
-        )
-
-    return make
-
-
-def test_bpe_units_are_recounted_after_the_cut(spark):
-    content = "The weather in the north. " + "thethethe " * 20 + "Été là-bas."
-    df = spark.createDataFrame([(content,), (None,), ("",)], "c string")
-    units = BpeTokenizer(tiny_factory()).units(text.sentences(F.col("c")), 9)
-    rows = [r.u for r in df.select(units.alias("u")).collect()]
-    encoding = tiny_factory()()
-    expected = []
-    for sentence in df.select(text.sentences(F.col("c")).alias("s")).first().s:
-        ids = encoding.encode(sentence)
-        parts = [sentence] if len(ids) <= 9 else [
-            encoding.decode(ids[i : i + 9]).strip() for i in range(0, len(ids), 9)
-        ]
-        expected += [(p, len(encoding.encode(p))) for p in parts if p]
-    assert [tuple(u) for u in rows[0]] == expected and len(expected) > 5
-    assert rows[1] is None and rows[2] == []
-
+class Letters:
+    """A tokenizer of a caller's own: every character counts."""
 
-def test_bpe_special_text(spark):
-    df = spark.createDataFrame([("A <|end|> b.",)], "c string")
-    with pytest.raises(Exception, match="disallowed special token"):
-        df.select(BpeTokenizer(tiny_factory()).units(text.sentences(F.col("c")), 9)).collect()
-    tolerant = BpeTokenizer(tiny_factory(), special_as_text=True)
-    assert df.select(tolerant.units(text.sentences(F.col("c")), 99)).first()[0]
+    def units(self, sentences, max_tokens):
+        unit = lambda t: F.struct(t.alias("text"), F.length(t).alias("tokens"))
+        return F.transform(sentences, unit)
 
 
-def test_bpe_chunks_share_the_fold(spark):
+def test_a_tokenizer_of_ones_own_goes_through_the_same_fold(spark):
     base = base_frame(spark, [("a", "The weather in the north. " * 30)])
-    rows = chunk.chunk_articles(base, BpeTokenizer(tiny_factory()), 60, 90, 30).collect()
-    encoding = tiny_factory()()
+    rows = chunk.chunk_articles(base, Letters(), Sizes(60, 90, 30)).collect()
     unit = "The weather in the north."
-    size = len(encoding.encode(unit))
-    spans = spec_windows([size] * 30, 60, 90, 30)
+    spans = spec_windows([len(unit)] * 30, 60, 90, 30)
     assert [r.content_chunk for r in rows] == [" ".join([unit] * (b - a + 1)) for a, b, _ in spans]
 
 
@@ -207,7 +182,7 @@ def test_statistics(spark):
         [("A b c. D e f. G h i.",), ("A b.",), ("  ",), (None,)], "content string"
     )
     s = chunk.chunk_statistics(
-        chunk.with_windows(base, F.col("content"), target=3, maximum=6, overlap=3)
+        chunk.with_windows(base, F.col("content"), sizes=Sizes(target=3, maximum=6, overlap=3))
     ).first()
     # windows of the first article: [1], [1,2], [2,3]; of the second: [1]
     assert (s.articles, s.single_chunk_articles, s.median_tokens) == (2, 1, 5.5)

@@ -91,21 +91,21 @@ def test_vectors_come_in_whole_batches(spark):
     assert rows[0].text_hash == hashlib.sha256(b"text 0").hexdigest()
 
 
-def test_retry_waits_double(spark):
+@pytest.mark.parametrize("failures", range(5))
+@pytest.mark.parametrize("schedule", [(), (1.0,), (3.0, 1.0, 2.0)])
+def test_failed_requests_follow_the_schedule(spark, failures, schedule):
     folder, waits = log_folder(), log_folder()
     df = embed.to_embed(chunk_frame(spark, 3)).coalesce(1)
-    rows = embed.embed_rows(df, recording(folder, fail_first=4), "m", sleep=noting(waits)).collect()
-    assert len(rows) == 3 and waits_in(waits) == [5, 10, 20, 40]
-
-
-def test_last_failure_is_raised(spark):
-    folder, waits = log_folder(), log_folder()
-    df = embed.to_embed(chunk_frame(spark, 3)).coalesce(1)
-    with pytest.raises(Exception, match="busy"):
-        embed.embed_rows(
-            df, recording(folder, fail_always=True), "m", max_attempts=3, sleep=noting(waits)
-        ).collect()
-    assert waits_in(waits) == [5, 10] and len(requests_in(folder)) == 3
+    made = embed.embed_rows(
+        df, recording(folder, fail_first=failures), "m", waits=schedule, sleep=noting(waits)
+    )
+    if failures <= len(schedule):
+        assert len(made.collect()) == 3
+    else:
+        with pytest.raises(Exception, match="busy"):
+            made.collect()
+    assert waits_in(waits) == sorted(schedule[:failures])
+    assert len(requests_in(folder)) == min(failures, len(schedule)) + 1
 
 
 def test_vector_count_must_match(spark):
@@ -118,7 +118,7 @@ def test_request_limit_is_shared_by_partitions(spark):
     waits, folder = log_folder(), log_folder()
     df = embed.to_embed(chunk_frame(spark, 40)).repartition(2, "chunk_id")
     embed.embed_rows(
-        df, recording(folder), "m", batch_size=5, requests_per_minute=30,
+        df, recording(folder), "m", batch_size=5, requests_per_minute=30, parallel=2,
         sleep=noting(waits), clock=lambda: 0.0,
     ).collect()
     # 2 partitions at 30 a minute in all: 4 s apart in each; none before a first request
@@ -146,19 +146,19 @@ def settings(connect, **kw):
 
 
 def stored(spark, n):
-    return jobs.staged(chunk_frame(spark, n), "chunks")[0]
+    return jobs.staged(chunk_frame(spark, n), run_folder(spark, "chunks"))
 
 
 def test_resume_takes_up_saved_vectors(spark):
     folder, vectors = log_folder(), run_folder(spark, "vectors")
     chunks = stored(spark, 60)
     first = chunks.where("chunk_index < 40")
-    embed.embed_rows(embed.to_embed(first), recording(log_folder()), "m/4").write.parquet(vectors)
+    embed.embed_rows(embed.to_embed(first), recording(log_folder()), "m").write.parquet(vectors)
     # saved by another model, and for a text that has been edited since
-    other = embed.embed_rows(embed.to_embed(chunks), recording(log_folder()), "other/4")
+    other = embed.embed_rows(embed.to_embed(chunks), recording(log_folder()), "other")
     other.write.mode("append").parquet(vectors)
     edited = chunks.where("chunk_index = 59").withColumn("retrieval_text", F.lit("old text"))
-    embed.embed_rows(embed.to_embed(edited), recording(log_folder()), "m/4").write.mode("append").parquet(vectors)
+    embed.embed_rows(embed.to_embed(edited), recording(log_folder()), "m").write.mode("append").parquet(vectors)
     out = jobs.embed_all(spark, chunks, vectors, settings(recording(folder), batch_size=7)).collect()
     assert sorted(t for r in requests_in(folder) for t in r) == sorted(f"text {i}" for i in range(40, 60))
     assert {r.chunk_id: r.embedding for r in out} == {
@@ -175,8 +175,10 @@ def test_failed_run_keeps_earlier_waves(spark):
                 raise RuntimeError("down")
             return [[1.0] * 4 for _ in texts]
         return call
-    options = {"max_attempts": 1}
-    limited = settings(connect, batch_size=1, requests_per_minute=1e9, parallel=1, options=options)
+    options = {"waits": ()}
+    limited = settings(
+        connect, batch_size=1, requests_per_minute=1e9, parallel=1, save_every=25, options=options
+    )
     with pytest.raises(Exception, match="down"):
         jobs.embed_all(spark, chunks, vectors, limited)
     saved = jobs.read_vectors(spark, vectors).count() if lakes.exists(spark, vectors) else 0
@@ -189,33 +191,67 @@ def test_failed_run_keeps_earlier_waves(spark):
 def test_duplicate_saved_vectors_do_not_multiply_rows(spark):
     vectors, chunks = run_folder(spark, "vectors"), stored(spark, 10)
     for _ in range(2):
-        embed.embed_rows(embed.to_embed(chunks), recording(log_folder()), "m/4").write.mode("append").parquet(vectors)
+        embed.embed_rows(embed.to_embed(chunks), recording(log_folder()), "m").write.mode("append").parquet(vectors)
     assert jobs.embed_all(spark, chunks, vectors, settings(recording(log_folder()))).count() == 10
 
 
+@pytest.mark.parametrize("rows, every", [(60, 1), (300, 4), (300, 40)])
+def test_a_wave_is_a_save_interval_whatever_the_size(spark, rows, every, monkeypatch):
+    waves = []
+    inner = embed.embed_rows
+
+    def counting(pending, *args, **kw):
+        waves.append(pending.count())
+        return inner(pending, *args, **kw)
+
+    monkeypatch.setattr(jobs.embed, "embed_rows", counting)
+    chosen = settings(recording(log_folder()), batch_size=5, requests_per_minute=1e9, save_every=every)
+    assert jobs.embed_all(spark, stored(spark, rows), run_folder(spark, "v"), chosen).count() == rows
+    interval = 5 * every
+    assert sum(waves) == rows and max(waves) <= interval + 6 * interval**0.5
+
+
+def test_vectors_of_another_length_are_made_anew(spark):
+    chunks, vectors, folder = stored(spark, 30), run_folder(spark, "my vectors"), log_folder()
+    with pytest.raises(Exception, match="3 values instead of 4"):
+        jobs.embed_all(spark, chunks, vectors, settings(recording(log_folder(), 3), options={"waits": ()}))
+    embed.embed_rows(embed.to_embed(chunks), recording(log_folder(), 3), "m").write.mode("append").parquet(vectors)
+    out = jobs.embed_all(spark, chunks, vectors, settings(recording(folder)))
+    assert {len(r.embedding) for r in out.collect()} == {4}
+    assert sum(map(len, requests_in(folder))) == 30
+
+
 def test_dimensions(spark):
     chunks = stored(spark, 10)
-    with pytest.raises(Exception, match="has not 5 values"):
-        jobs.embed_all(
-            spark, chunks, run_folder(spark, "v"), settings(recording(log_folder()), dimension=5)
-        ).collect()
     uneven = lambda: lambda texts: [[1.0] * (2 + len(t) % 2) for t in texts]
-    mixed = chunks.unionByName(chunks.withColumn("retrieval_text", F.lit("xx")).withColumn("chunk_id", F.lit("z")))
+    texts = F.when(F.col("chunk_index") == 3, "xxx").otherwise("xx")
     with pytest.raises(IntegrityError, match="run from 2 to 3"):
         jobs.embed_all(
-            spark, jobs.staged(mixed.dropDuplicates(["chunk_id"]).withColumn(
-                "retrieval_text", F.when(F.col("chunk_id") == "z", "xxx").otherwise("xx")), "c")[0],
-            run_folder(spark, "v"), settings(uneven, dimension=None),
+            spark, chunks.withColumn("retrieval_text", texts), run_folder(spark, "v"),
+            settings(uneven, dimension=None),
         )
-    joined = embed.attach(chunks, jobs.read_vectors(spark, _saved(spark, chunks.limit(3))), "m/4")
+    joined = embed.attach(chunks, jobs.read_vectors(spark, _saved(spark, chunks.limit(3))), "m")
     assert joined.where("embedding is null").count() == 7
     with pytest.raises(Exception, match="missing_embedding"):
         embed.checked(joined, 4).collect()
 
 
+def test_nothing_to_embed(spark):
+    none = chunk_frame(spark, 1).limit(0)
+    assert jobs.embed_all(spark, none, run_folder(spark, "v"), settings(recording(log_folder()))).count() == 0
+
+
+def test_text_built_again_must_be_the_text_that_was_embedded(spark):
+    frame = chunk_frame(spark, 1).withColumns(
+        {"title": F.lit("T"), "topics": F.array(F.lit("A")), "content_chunk": F.lit("c")}
+    )
+    with pytest.raises(Exception, match="not made of its own columns"):
+        embed.attach(frame, jobs.read_vectors(spark, run_folder(spark, "v")), "m").collect()
+
+
 def _saved(spark, chunks):
     path = run_folder(spark, "v")
-    embed.embed_rows(embed.to_embed(chunks), recording(log_folder()), "m/4").write.parquet(path)
+    embed.embed_rows(embed.to_embed(chunks), recording(log_folder()), "m").write.parquet(path)
     return path
 
 
