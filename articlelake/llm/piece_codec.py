@@ -15,21 +15,19 @@ from __future__ import annotations
 from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from articlelake.llm.frames import rows, slices, texts
-from articlelake.llm.unigram import MARK, Pieces
+from articlelake.llm.unigram import MARK, Pieces, encoding
 
 
 def encode(docs: DataFrame, model: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, text, n_tokens, and `ids`, packed as 4-byte little-endian numbers."""
+    """doc_id, text, n_tokens, and `ids`, packed as 4-byte numbers."""
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
-        known = pieces.memo(lambda part: np.array(pieces.segment(part), dtype="<u4").tobytes())
+        pieces, known = encoding(model)
         for batch in slices(batches):
             ids = [b"".join(map(known, pieces.parts(t or ""))) for t in batch.column("text").to_pylist()]
             yield rows(schema, doc_id=batch.column("doc_id"), text=batch.column("text"), n_tokens=[len(i) // 4 for i in ids], ids=ids)
@@ -47,7 +45,7 @@ class Decoder:
         self._prefix = pieces.dummy_prefix
 
     def decode(self, ids: bytes) -> str:
-        held = b"".join(map(self._bytes.__getitem__, array("I", np.frombuffer(ids, "<u4").astype(np.uint32).tobytes())))
+        held = b"".join(map(self._bytes.__getitem__, array("I", ids)))
         if self._prefix and held.startswith(b" "):
             held = held[1:]
         return held.decode("utf-8", errors="replace")

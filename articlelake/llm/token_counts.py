@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from articlelake.llm.frames import rows, slices, texts
-from articlelake.llm.unigram import Pieces
+from articlelake.llm.unigram import counting
 
 
 def token_counts(docs: DataFrame, model: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -24,8 +24,7 @@ def token_counts(docs: DataFrame, model: str | None = None, id_column: str = "do
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("score", pa.float64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
-        known = pieces.memo(pieces.count)
+        pieces, known = counting(model)
         for batch in slices(batches):
             numbers, scores = [], []
             for text in batch.column("text").to_pylist():

@@ -16,7 +16,9 @@ marks and the parts are segmented once for all their occurrences.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 from articlelake.llm.bpe import MEMO_ENTRIES, Memo
 
@@ -137,5 +139,16 @@ class Pieces:
             place = start
         return [i for ids in reversed(out) for i in ids]
 
-    def memo(self, make: Callable[[str], object], entries: int = MEMO_ENTRIES) -> Callable[[str], object]:
-        return Memo(make, entries).__getitem__
+
+@lru_cache(maxsize=1)
+def counting(path: str | None = None) -> tuple[Pieces, Callable[[str], tuple[int, float]]]:
+    """The model and its counts of parts, one memo for all tasks of a Python worker."""
+    pieces = Pieces(path)
+    return pieces, Memo(pieces.count, MEMO_ENTRIES).__getitem__
+
+
+@lru_cache(maxsize=1)
+def encoding(path: str | None = None) -> tuple[Pieces, Callable[[str], bytes]]:
+    """The model and the packed ids of parts, one memo for all tasks of a Python worker."""
+    pieces = Pieces(path)
+    return pieces, Memo(lambda part: array("I", pieces.segment(part)).tobytes(), MEMO_ENTRIES).__getitem__
