@@ -43,8 +43,8 @@ from articlelake.runtime import run_folder
 LENGTH = 50
 ANCHOR = 16
 BLOCK_BYTES = 2 << 20
-SHARD_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20
+SHARD_BYTES = 1 << 20
+BUCKET_BYTES = 4 << 20
 _U = np.uint64
 _NONE = np.iinfo(np.int64).max
 
@@ -74,9 +74,11 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
     while span < 8:
         word = word[:-span] | (word[span:] << _U(8 * span))
         span *= 2
-    # an anchor is hashed by its first and its last eight bytes
+    # an anchor is hashed eight bytes at a time, the last eight wherever they begin
     n = len(data) - anchor + 1
-    hashes = mixed(word[:n] + mixed(word[anchor - 8 :] + _U(1)))
+    hashes = np.zeros(n, dtype=np.uint64)
+    for at in dict.fromkeys([*range(0, anchor - 8, 8), anchor - 8]):
+        hashes = mixed(hashes + word[at : at + n] + _U(1))
     order = (hashes & _U(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
     at = (_least_in(order, length - anchor + 1) & _U(0xFFFFFFFF)).astype(np.int64)
     # windows that run over the end of a document don't count
@@ -87,7 +89,8 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
         return none, none, none.astype(np.uint64), none
     own = at[first]
     begins = np.flatnonzero((np.diff(own, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
-    return first[begins], np.diff(begins, append=len(first)), hashes[own[begins]], doc[begins]
+    # least hashes are small numbers; mixed once more, they spread over all buckets
+    return first[begins], np.diff(begins, append=len(first)), mixed(~hashes[own[begins]]), doc[begins]
 
 
 # --- suffix arrays ------------------------------------------------------------------------
@@ -214,7 +217,8 @@ def least_owners(strings: list[bytes], owners: np.ndarray, length: int, shard_by
     merge(shards)
     out = []
     for shard in shards:
-        out += np.split(shard.least[shard.group], np.cumsum(shard.counts)[:-1])
+        least, ends = shard.least[shard.group], np.cumsum(shard.counts).tolist()
+        out += [least[a:b] for a, b in zip([0, *ends], ends)]
     return out
 
 
@@ -323,7 +327,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
     spark = docs.sparkSession
     blocks = _bucketed(_blocks(docs, text_column, block_bytes), shuffle_partitions(spark))
     total = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    buckets = max(4 * shuffle_partitions(spark), -(-total // bucket_bytes))
+    buckets = max(8 * shuffle_partitions(spark), -(-total // bucket_bytes))
 
     def anchors(batches):
         schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("several", pa.binary())])
