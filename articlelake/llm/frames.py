@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from articlelake.runtime import run_folder
 
-BYTES_PER_BATCH = 8 << 20
+BYTES_PER_BATCH = 2 << 20
 
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
@@ -42,7 +42,7 @@ def filtered(docs: DataFrame, make_judge: Callable[[], Callable[[pa.Array], np.n
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keeps = make_judge()
-        for batch in slices(batches):
+        for batch in slices(batches, BYTES_PER_BATCH // 2):
             yield batch.filter(pa.array(keeps(batch.column(at)), pa.bool_()))
 
     return docs.mapInArrow(judge, docs.schema)
