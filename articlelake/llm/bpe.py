@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from functools import lru_cache
 
 import numpy as np
 
@@ -24,7 +25,7 @@ _PLAIN = re.compile(rf"[ \n!-~{_LETTER}]*")
 _WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[0-9]+| ?[^\s0-9{_LETTER}]+|\s+(?!\S)|\s+")
 # ----------------------------------------------------------------------------------
 
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 300_000
 
 
 def default_path() -> str:
@@ -41,6 +42,12 @@ def _visible() -> dict[int, str]:
     return {c: "".join(chr(stands[b]) for b in chr(c).encode()) for c in range(256)}
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str | None = None) -> ByteBpe:
+    """One encoder a Python worker, whose memo serves all tasks that the worker runs."""
+    return ByteBpe(path)
+
+
 class Memo(dict):
     """Keeps the last `entries` results, up to twice as many for a while."""
 
@@ -60,7 +67,7 @@ class Memo(dict):
 
 
 class ByteBpe:
-    """Encoder of one task. `dtype` is the narrowest unsigned type that holds every id."""
+    """Encoder with its memo. `dtype` is the narrowest unsigned type that holds every id."""
 
     def __init__(self, path: str | None = None, memo_entries: int = MEMO_ENTRIES):
         from tokenizers import Tokenizer

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from articlelake.llm.bpe import ByteBpe
+from articlelake.llm.bpe import shared_encoder
 from articlelake.llm.frames import numbers, rows, slices, stored, task_number, texts
 
 CAPACITY = 2048
@@ -120,7 +120,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = ByteBpe(tokenizer), task_number()
+        encoder, part = shared_encoder(tokenizer), task_number()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = np.array([END_ID], dtype=encoder.dtype).tobytes()
         for batch in slices(batches):
