@@ -12,8 +12,10 @@ go on:
    nodes. In a cluster, the sets of the nodes outside the largest component meet those of
    all nodes of other components, block by block, and only links come out. So no link
    between nodes of a region is lost. A cluster in which more than `CROWDED` nodes lie
-   outside its largest component is deepened: its regions are told apart by longer prefixes,
-   which unrelated texts with common passages don't share.
+   outside its largest component is first regrouped by rare shingles: of two similar sets
+   the rarest (100 - percent) % share a shingle, whatever the order of rarity. Nodes that
+   share one stay together and are compared as above, so this loses no link either;
+   unrelated texts with common passages come apart.
 
 A pair of similarity s shares a region of some tree unless all of `TREES` trees part it, with
 probability (1 - s**DEPTH)**TREES: 2e-8 at 0.85, 3e-6 at 0.8. In step 1 a signature rules a
@@ -32,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from articlelake.llm import shingles
 from articlelake.llm.frames import numbers, rows, shuffle_partitions, slices, stored, text_bytes, texts
@@ -42,6 +45,7 @@ TREES = 24
 DEPTH = 4
 VALUES = TREES * DEPTH
 CROWDED = 16384
+RARITY_BITS = 18
 BLOCK = 512
 _ROLLS = [(np.arange(VALUES) + DEPTH * t) % VALUES for t in range(TREES)]
 
@@ -222,44 +226,79 @@ def _followed(names: DataFrame, joined: DataFrame) -> DataFrame:
 def across_components(members: DataFrame, named: DataFrame, sets: DataFrame, percent: int) -> Iterator[DataFrame]:
     """Links between nodes that share a region and lie in different components.
 
-    Yields once a depth: crowded clusters come back at the next with longer prefixes.
+    Yields twice at most: crowded clusters come back regrouped by rare shingles.
     """
     own = _node("fp1", "fp2")
-    pending = members.join(named, _KEY, "left").withColumn("component", F.coalesce("component", own))
-    depth = DEPTH
-    while True:
+    pending = members.select(*_KEY, "region").join(named, _KEY, "left").withColumn("component", F.coalesce("component", own))
+    for regrouped in (False, True):
         parts = pending.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         several = stored(pending.join(parts.where("low != high").select("region"), "region"), "regions")
         if several.isEmpty():
             return
-        tied = several.select(F.col("fp1").alias("a1"), F.col("fp2").alias("a2"), F.col("region").alias("b1"), F.col("tree").cast("long").alias("b2"))
+        tied = several.select(F.col("fp1").alias("a1"), F.col("fp2").alias("a2"), F.col("region").alias("b1"), F.lit(0).cast("long").alias("b2"))
         clusters = components(tied).withColumnRenamed("component", "cluster")
         inside = stored(several.select(*_KEY, "component").distinct().join(clusters, _KEY), "clusters")
         sizes = inside.groupBy("cluster", "component").count()
         sizes = sizes.groupBy("cluster").agg(F.sum("count").alias("n"), F.max(F.struct("count", "component")).alias("largest"))
         sizes = sizes.select("cluster", "n", F.col("largest.component").alias("main"), (F.col("n") - F.col("largest.count")).alias("others"))
         sizes = stored(sizes, "clusters")
-        deeper = depth < VALUES
-        now = sizes.where(F.col("others") <= CROWDED) if deeper else sizes
+        now = sizes if regrouped else sizes.where(F.col("others") <= CROWDED)
         yield _tiles(inside.join(now, "cluster").join(sets, _KEY), percent)
         crowded = sizes.where(F.col("others") > CROWDED)
-        if not deeper or crowded.isEmpty():
+        if regrouped or crowded.isEmpty():
             return
-        depth = min(VALUES, 2 * depth)
-        again = inside.join(crowded.select("cluster"), "cluster").select(*_KEY)
-        pending = stored(_deepened(several.join(again, _KEY, "left_semi"), depth), "crowded")
+        again = stored(inside.join(crowded.select("cluster"), "cluster").join(sets, _KEY), "crowded")
+        pending = stored(_by_rare_shingles(again, percent), "crowded")
 
 
-def _deepened(members: DataFrame, depth: int) -> DataFrame:
-    names = members.columns
+def _slots(shingle: np.ndarray) -> np.ndarray:
+    return (shingle >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
 
-    def deepen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _frequencies(nodes: DataFrame) -> np.ndarray:
+    """How many shingles of the sets fall in each slot of hashes, which ranks them by rarity."""
+    schema = pa.schema([("slot", pa.int32()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << RARITY_BITS, dtype=np.int64)
         for batch in batches:
-            tree = numbers(batch.column("tree"))
-            regions = _regions(_matrix(batch.column("signature")), depth)[np.arange(len(tree)), tree]
-            yield pa.RecordBatch.from_arrays([pa.array(regions) if n == "region" else batch.column(n) for n in names], names=names)
+            found = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), dtype=np.uint64)
+            total += np.bincount(_slots(found), minlength=len(total))
+        at = np.flatnonzero(total)
+        yield rows(schema, slot=at, n=total[at])
+
+    counted = nodes.select("shingles").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << RARITY_BITS, dtype=np.int64)
+    out[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    return out
+
 
-    return members.mapInArrow(deepen, members.schema)
+def _by_rare_shingles(nodes: DataFrame, percent: int) -> DataFrame:
+    """A row per node and shingle of its rarest; `region` is the shingle in its cluster.
+
+    Sets of a and b shingles that are similar share percent % of a and of b at least, so they
+    share one of the first a - percent % of a + 1 and b - percent % of b + 1 in any order of
+    all shingles. The order is by frequency, for these are the shortest lists.
+    """
+    frequency = _frequencies(nodes)
+    schema = pa.schema([("nth", pa.int64()), ("shingle", pa.int64())])
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            nth, held = [], []
+            for n, shingle in enumerate(batch.column("shingles").to_pylist()):
+                shingle = np.frombuffer(shingle, dtype=np.uint64)
+                first = len(shingle) - -(-percent * len(shingle) // 100) + 1
+                own = shingle[np.lexsort((shingle, frequency[_slots(shingle)]))[:first]]
+                nth.append(np.full(len(own), n))
+                held.append(own.view(np.int64))
+            at = rows(schema, nth=np.concatenate(nth), shingle=np.concatenate(held))
+            others = batch.select(names).take(at.column("nth"))
+            yield pa.RecordBatch.from_arrays([*others.columns, at.column("shingle")], names=[*names, "shingle"])
+
+    names = [*_KEY, "component", "cluster"]
+    fields = T.StructType([*nodes.select(*names).schema.fields, T.StructField("shingle", T.LongType())])
+    return nodes.select(*names, "shingles").mapInArrow(rarest, fields).select(*_KEY, F.xxhash64("cluster", "shingle").alias("region"), "component")
 
 
 def _tiles(members: DataFrame, percent: int) -> DataFrame:
