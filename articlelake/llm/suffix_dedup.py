@@ -10,11 +10,14 @@ smaller doc_id. All such strings are found, whatever shards their documents lie
    is filed under them repeats. Only hashes travel, once a block each.
 2. For the others, stretches of windows with one anchor are cut out, each distinct one once
    a block with the smallest doc_id that holds it, and dealt to buckets by anchor. However
-   many copies a passage has, it comes once from each block.
-3. A bucket is worked through in shards of bounded size. A shard's suffix array is built by
-   Larsson-Sadakane refinement, common prefixes by Kasai's pass, and suffixes that share
-   LENGTH bytes form groups with their smallest doc_id. Shards are merged by binary search
-   among their sorted strings.
+   many copies a passage has, it comes once from each block. An anchor with more than `HOT`
+   distinct stretches, counted by block, is not filed as one: its windows are dealt one by
+   one, by the hash of all their bytes, and equal ones meet as equal strings.
+3. A bucket is worked through in shards of bounded size, one after another. All stretches of
+   an anchor lie in one shard. Its suffix array is built by Larsson-Sadakane refinement,
+   common prefixes by Kasai's pass, and suffixes that share LENGTH bytes form groups with
+   their smallest doc_id. A shard that is too large nevertheless is worked through in parts,
+   merged by binary search among their sorted strings.
 4. Blocks get back, per stretch, the smallest doc_id of each window, mark the windows that
    an earlier document holds, and cut the covered bytes.
 
@@ -45,8 +48,10 @@ ANCHOR = 16
 BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20
+HOT = 8192
 _U = np.uint64
 _NONE = np.iinfo(np.int64).max
+_BASE = _U(0x9E3779B97F4A7C15)
 
 
 # --- windows and anchors of a block -------------------------------------------------------
@@ -281,20 +286,56 @@ class _Block:
         np.maximum.at(high, self._anchor, self.ids[self.doc])
         return low != high
 
-    def repeated(self, buckets: int, bits: list[dict]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-        """Stretches under repeated anchors: positions, number of the distinct string, strings, buckets of these."""
-        flags = np.zeros(len(self.anchors), dtype=bool)
+    def distinct(self) -> np.ndarray:
+        """Of each anchor, how many distinct stretches this block files under it."""
+        power = np.cumprod(np.full(len(self.data) + 1, _BASE, dtype=np.uint64))
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(self.data * power[:-1], dtype=np.uint64)])
+        ends = self.first + self.windows + self.length - 1
+        # moved to one place, equal strings have equal sums
+        hashes = (sums[ends] - sums[self.first]) * power[len(self.data) - self.first]
+        order = np.lexsort((hashes, self._anchor))
+        anchor, hashes = self._anchor[order], hashes[order]
+        new = np.append(True, (np.diff(anchor) != 0) | (hashes[1:] != hashes[:-1]))[: len(anchor)]
+        return np.bincount(anchor[new], minlength=len(self.anchors))
+
+    def repeated(self, buckets: int, bits: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+        """Stretches under repeated anchors, those under hot ones window by window.
+
+        First positions, windows, doc_ids and number of the distinct string of each; these
+        strings with their buckets and the part of the bucket. Hot windows have buckets of their own.
+        """
+        flags, hot = np.zeros(len(self.anchors), dtype=bool), np.zeros(len(self.anchors), dtype=bool)
         bounds = _bounds(self.anchors, buckets)
         for x in bits or []:
             begin, end = bounds[x["bucket"]], bounds[x["bucket"] + 1]
-            flags[begin:end] = np.unpackbits(np.frombuffer(x["bits"], dtype=np.uint8), count=end - begin).astype(bool)
-        at = np.flatnonzero(flags[self._anchor])
-        whole, numbered, number = self.data.tobytes(), {}, np.empty(len(at), dtype=np.int64)
-        for i, (a, b) in enumerate(zip(self.first[at].tolist(), (self.first + self.windows + self.length - 1)[at].tolist())):
+            for to, packed in ((flags, x["bits"]), (hot, x["hot"])):
+                to[begin:end] = np.unpackbits(np.frombuffer(packed, dtype=np.uint8), count=end - begin).astype(bool)
+        cold, split = (np.flatnonzero(f[self._anchor]) for f in (flags & ~hot, flags & hot))
+        n = self.windows[split]
+        single = np.repeat(self.first[split] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        first = np.concatenate([self.first[cold], single])
+        windows = np.concatenate([self.windows[cold], np.ones(len(single), dtype=np.int64)])
+        ids = self.ids[np.concatenate([self.doc[cold], np.repeat(self.doc[split], n)])]
+        hashes = np.concatenate([self.hashes[cold], _hashes(self.data, single, self.length)])
+        own = _bucket(hashes, buckets)
+        own[len(cold) :] += buckets
+        whole, numbered, number = self.data.tobytes(), {}, np.empty(len(first), dtype=np.int64)
+        for i, (a, b) in enumerate(zip(first.tolist(), (first + windows + self.length - 1).tolist())):
             number[i] = numbered.setdefault(whole[a:b], len(numbered))
-        bucket = np.zeros(len(numbered), dtype=np.int64)
-        bucket[number] = _bucket(self.hashes[at], buckets)
-        return at, number, list(numbered), bucket
+        bucket, part = np.zeros(len(numbered), dtype=np.int64), np.zeros(len(numbered), dtype=np.uint8)
+        bucket[number] = own
+        part[number] = (hashes & _U(255)).astype(np.uint8)
+        return first, windows, ids, number, list(numbered), bucket, part
+
+
+def _hashes(data: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the `length` bytes at each position."""
+    out = np.zeros(len(first), dtype=np.uint64)
+    if len(first):
+        view = np.lib.stride_tricks.sliding_window_view(data, 8)
+        for at in dict.fromkeys([*range(0, length - 8, 8), length - 8]):
+            out = mixed(out + np.ascontiguousarray(view[first + at]).view(np.uint64).ravel() + _U(1))
+    return out
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -312,7 +353,7 @@ def _each(batches: Iterator[pa.RecordBatch], id_field: int, length: int) -> Iter
             yield batch, nth, _Block(batch, nth, id_field, length)
 
 
-def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> DataFrame:
     """The rows of `docs` with `text_column` replaced by what is left, and what was removed.
 
     Adds `kept` (binary: the remaining bytes), `n_bytes`, `n_removed` and `spans` (begin and
@@ -330,9 +371,9 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
     buckets = max(8 * shuffle_partitions(spark), -(-total // bucket_bytes))
 
     def anchors(batches):
-        schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("several", pa.binary())])
+        schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("several", pa.binary()), ("counts", pa.binary())])
         for batch, nth, block in _each(batches, id_field, length):
-            bounds, several = _bounds(block.anchors, buckets), block.in_several()
+            bounds, several, counts = _bounds(block.anchors, buckets), block.in_several(), block.distinct()
             held = np.flatnonzero(np.diff(bounds))
             parts = [slice(bounds[b], bounds[b + 1]) for b in held]
             yield rows(
@@ -341,6 +382,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
                 bucket=held,
                 hashes=[block.anchors[p].tobytes() for p in parts],
                 several=[np.packbits(several[p]).tobytes() for p in parts],
+                counts=[np.minimum(counts[p], 65535).astype("<u2").tobytes() for p in parts],
             )
 
     def flagged(group: pa.Table) -> pa.Table:
@@ -349,20 +391,24 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
         _, at, count = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
         flag = count > 1
         flag[at[np.concatenate(several)]] = True
-        own = np.split(flag[at], np.cumsum([len(h) for h in held])[:-1])
-        out = pa.table({"block": group["block"], "bucket": group["bucket"], "bits": pa.array([np.packbits(x).tobytes() for x in own], pa.binary())})
+        counts = np.concatenate([np.frombuffer(x, dtype="<u2") for x in group["counts"].to_pylist()])
+        crowded = np.bincount(at, weights=counts) > hot
+        ends = np.cumsum([len(h) for h in held])[:-1]
+        own = np.split(flag[at], ends)
+        packed = {name: pa.array([np.packbits(x).tobytes() for x in np.split(f[at], ends)], pa.binary()) for name, f in (("bits", flag), ("hot", crowded))}
+        out = pa.table({"block": group["block"], "bucket": group["bucket"], **packed})
         return out.filter(pa.array([bool(x.any()) for x in own]))
 
-    bits = blocks.select("block", "data", "sizes", "rest").mapInArrow(anchors, "block long, bucket int, hashes binary, several binary")
-    bits = bits.groupBy("bucket").applyInArrow(flagged, "block long, bucket int, bits binary")
-    bits = stored(bits, "suffix-anchors").groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits"))
+    bits = blocks.select("block", "data", "sizes", "rest").mapInArrow(anchors, "block long, bucket int, hashes binary, several binary, counts binary")
+    bits = bits.groupBy("bucket").applyInArrow(flagged, "block long, bucket int, bits binary, hot binary")
+    bits = stored(bits, "suffix-anchors").groupBy("block").agg(F.collect_list(F.struct("bucket", "bits", "hot")).alias("bits"))
 
     def cut_out(batches):
-        schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("strings", pa.binary()), ("sizes", pa.binary()), ("owners", pa.binary())])
+        schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("strings", pa.binary()), ("sizes", pa.binary()), ("parts", pa.binary()), ("owners", pa.binary())])
         for batch, nth, block in _each(batches, id_field, length):
-            at, number, strings, bucket = block.repeated(buckets, batch.column("bits")[nth].as_py())
+            _, _, ids, number, strings, bucket, part = block.repeated(buckets, batch.column("bits")[nth].as_py())
             owners = np.full(len(strings), _NONE)
-            np.minimum.at(owners, number, block.ids[block.doc[at]])
+            np.minimum.at(owners, number, ids)
             out = {name: [] for name in schema.names}
             order = np.argsort(bucket, kind="stable")
             for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
@@ -371,24 +417,37 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
                 out["bucket"].append(int(bucket[own[0]]))
                 out["strings"].append(b"".join(parts))
                 out["sizes"].append(np.array([len(p) for p in parts], dtype="<u4").tobytes())
+                out["parts"].append(part[own].tobytes())
                 out["owners"].append(owners[own].astype("<i8").tobytes())
             yield rows(schema, **out)
 
     def owned(group: pa.Table) -> pa.Table:
-        numbered, number, owners = {}, [], []
-        for strings, sizes, own in zip(*(group[c].to_pylist() for c in ("strings", "sizes", "owners"))):
+        numbered, number, owners, parts = {}, [], [], []
+        for strings, sizes, part, own in zip(*(group[c].to_pylist() for c in ("strings", "sizes", "parts", "owners"))):
             ends = np.cumsum(np.frombuffer(sizes, dtype="<u4")).tolist()
             number.append([numbered.setdefault(strings[a:b], len(numbered)) for a, b in zip([0, *ends], ends)])
             owners.append(np.frombuffer(own, dtype="<i8"))
-        least = np.full(len(numbered), _NONE)
-        np.minimum.at(least, np.concatenate([np.array(n) for n in number]), np.concatenate(owners))
-        found = least_owners(list(numbered), least, length)
-        packed = [_runs(f) for f in found]
+            parts.append(np.frombuffer(part, dtype=np.uint8))
+        least, part = np.full(len(numbered), _NONE), np.zeros(len(numbered), dtype=np.int64)
+        every = np.concatenate([np.array(n) for n in number])
+        np.minimum.at(least, every, np.concatenate(owners))
+        part[every] = np.concatenate(parts)
+        strings = list(numbered)
+        if group["bucket"][0].as_py() >= buckets:  # hot windows: equal ones are one string already
+            packed = [_runs(least[i : i + 1]) for i in range(len(strings))]
+        else:
+            packed = [b""] * len(strings)
+            filled = np.cumsum(np.bincount(part, weights=[len(s) + 1 for s in strings]))
+            shard = (filled // SHARD_BYTES)[part]
+            order = np.argsort(shard, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+                for i, f in zip(own.tolist(), least_owners([strings[i] for i in own.tolist()], least[own], length)):
+                    packed[i] = _runs(f)
         out = [b"".join([packed[i] for i in own]) for own in number]
         return pa.table({"block": group["block"], "bucket": group["bucket"], "answers": pa.array(out, pa.binary())})
 
     dealt = blocks.join(bits, "block").select("data", "sizes", "rest", "block", "bits")
-    dealt = dealt.mapInArrow(cut_out, "block long, bucket int, strings binary, sizes binary, owners binary")
+    dealt = dealt.mapInArrow(cut_out, "block long, bucket int, strings binary, sizes binary, parts binary, owners binary")
     answers = stored(dealt.groupBy("bucket").applyInArrow(owned, "block long, bucket int, answers binary"), "suffix-answers")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "answers")).alias("answers"))
 
@@ -417,7 +476,7 @@ def _runs(least: np.ndarray) -> bytes:
 
 def _covered(block: _Block, buckets: int, bits: list[dict], answers: list[dict]) -> np.ndarray:
     """Which bytes of the block lie in a window that an earlier document holds."""
-    at, number, strings, bucket = block.repeated(buckets, bits)
+    first, _, ids, number, strings, bucket, _ = block.repeated(buckets, bits)
     change = np.zeros(len(block.data) + 1, dtype=np.int32)
     sent = {a["bucket"]: a["answers"] for a in answers or []}
     runs: list[tuple[np.ndarray, np.ndarray]] = [None] * len(strings)
@@ -430,8 +489,7 @@ def _covered(block: _Block, buckets: int, bits: list[dict], answers: list[dict])
             owners = np.frombuffer(answer, "<i8", count, place + 4 + 4 * count)
             place += 4 + 12 * count
             runs[i] = (ends, owners)
-    ids = block.ids[block.doc[at]]
-    for begin, n, doc_id in zip(block.first[at].tolist(), number.tolist(), ids.tolist()):
+    for begin, n, doc_id in zip(first.tolist(), number.tolist(), ids.tolist()):
         ends, owners = runs[n]
         last = 0
         for end, owner in zip(ends.tolist(), owners.tolist()):

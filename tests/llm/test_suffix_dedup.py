@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from articlelake.llm import suffix_dedup
@@ -33,6 +34,38 @@ def test_matches_brute_force(docs, planted_rows, length, block):
     assert sorted(map(tuple, suffix_dedup.digest(found).collect()), key=str) == brute_force(planted_rows, length)
 
 
+def test_a_hot_anchor_is_spread_over_tasks(spark, docs, planted_rows, monkeypatch):
+    """A phrase between other bytes in every document; the same rows in small parts and shards."""
+    rows = [(i, f"{prose(i, 12)} The same sixteen bytes, always {prose(700 + i % 40, 12)}") for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    made, real = [], suffix_dedup.stored
+
+    def spy(kept, purpose):
+        made.append((purpose, real(kept, purpose)))
+        return made[-1][1]
+
+    monkeypatch.setattr(suffix_dedup, "stored", spy)
+    found = suffix_dedup.repeated_bytes(frame, block_bytes=4000, hot=20)
+    assert sorted(map(tuple, suffix_dedup.digest(found).collect()), key=str) == brute_force(rows, 50)
+    answers = dict(made)["suffix-answers"].groupBy("bucket").count().collect()
+    assert len(answers) > 40
+    found = suffix_dedup.repeated_bytes(docs, length=20, block_bytes=2000, hot=1)
+    assert sorted(map(tuple, suffix_dedup.digest(found).collect()), key=str) == brute_force(planted_rows, 20)
+
+
+def test_distinct_stretches_are_counted():
+    texts = [prose(i % 3, 40).encode() for i in range(9)] + [b"a" * 200]
+    offsets = np.cumsum([0, *map(len, texts)])
+    first, windows, hashes, _ = suffix_dedup.stretches(np.frombuffer(b"".join(texts), dtype=np.uint8), offsets, 50)
+    whole, expected = b"".join(texts), {}
+    for a, n, h in zip(first.tolist(), windows.tolist(), hashes.tolist()):
+        expected.setdefault(h, set()).add(whole[a : a + n + 49])
+    sizes, rest = pa.array([np.diff(offsets).tolist()]), pa.array([[{"id": i} for i in range(len(texts))]])
+    batch = pa.RecordBatch.from_arrays([pa.array([whole]), sizes, rest], names=["data", "sizes", "rest"])
+    block = suffix_dedup._Block(batch, 0, 0, 50)
+    assert dict(zip(block.anchors.tolist(), block.distinct().tolist())) == {h: len(x) for h, x in expected.items()}
+
+
 def test_rows_keep_their_columns_and_text_follows(docs):
     found = suffix_dedup.repeated_bytes(docs)
     assert {"doc_id", "text", "lang", "source", "n_chars", "rank", "block"} <= set(found.columns)
