@@ -102,6 +102,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     first = np.searchsorted(line, inner)
     same = np.zeros(len(data), dtype=np.int64)
     same[1:] = (data[1:] == data[:-1]) & (_SYMBOL[data[1:]] == 1)
+    same[inner] = 0  # nothing comes before the first byte of a text
     size = sizes[full].astype(np.float64)
     share = counts[full] / size[:, None]
     letters = named["lower"] + named["upper"]
@@ -128,7 +129,9 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _repeated_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Share of words that are the word before once more."""
     hashes, ends = shingles.words(data, offsets)
-    same = np.append(0, np.cumsum(np.append(False, hashes[1:] == hashes[:-1])))
+    again = np.append(False, hashes[1:] == hashes[:-1])
+    again[ends[ends < len(hashes)]] = False  # the first word of a text
+    same = np.append(0, np.cumsum(again))
     words = np.diff(ends, prepend=0)
     return np.diff(same[ends], prepend=0) / np.maximum(words, 1)
 

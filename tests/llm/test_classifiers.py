@@ -1,10 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from articlelake.llm import language, quality_gam
-from articlelake.llm.frames import texts
+from articlelake.llm.frames import text_bytes, texts
 from articlelake.llm.queries import held_out, teaches
 from tests.llm.conftest import prose
 
@@ -63,6 +64,13 @@ def test_quality_held_out(spark):
     assert kept.columns == docs.columns and kept.where("doc_id < 240 AND doc_id % 4 = 0").count() <= 2
 
 
+def test_quality_features_are_of_the_text_alone():
+    rows = ["one", "one", "", "one two two", "two", "||", "|| x", "x", "\n", "\n|", "| |", None, "two two"]
+    whole = quality_gam.features(*text_bytes(pa.array(rows, pa.string())))
+    alone = [quality_gam.features(*text_bytes(pa.array([r], pa.string())))[0] for r in rows]
+    assert np.array_equal(whole, np.stack(alone))
+
+
 def test_quality_without_labels_or_with_one_kind(spark, docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, label int")
     assert {r["score"] for r in quality_gam.scores(docs, none, teaches()).collect()} == {0.5}
