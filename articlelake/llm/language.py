@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from articlelake.llm.frames import filtered, rows, slices, text_bytes
 
 GRAMS = 1 << 16
-ROUNDS = 10
+ROUNDS = 10_000  # a guard only
 PENALTY = 3.0
 UNKNOWN = "und"
 _LANGUAGES_HELD = 64
@@ -107,15 +107,22 @@ class Model:
 
 
 def _maximise(likely: np.ndarray, words: np.ndarray, first: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """EM: each word is divided among the languages, the proportions are the mean of that."""
+    """EM: each word is divided among the languages, the proportions are the mean of that.
+
+    A text is done when its own proportions have converged, whatever texts are beside it.
+    """
+    share, open_at = share.copy(), np.arange(len(share))
     for _ in range(ROUNDS):
-        part = likely * np.repeat(share, words, axis=0)
+        part = likely * np.repeat(share[open_at], words, axis=0)
         part /= part.sum(axis=1, keepdims=True)
         new = np.add.reduceat(part, first, axis=0) / words[:, None]
-        moved = np.abs(new - share).max(initial=0)
-        share = new
-        if moved < 1e-3:
+        going = np.abs(new - share[open_at]).max(axis=1, initial=0) >= 1e-3
+        share[open_at] = new
+        if not going.any():
             break
+        if not going.all():
+            likely, words, open_at = likely[np.repeat(going, words)], words[going], open_at[going]
+            first = np.cumsum(words) - words
     return share
 
 

@@ -32,6 +32,19 @@ def test_languages_held_out_and_mixtures(spark):
     assert set(shares) == {"aa", "cc"} and abs(shares["aa"] - 0.6) < 0.1 and named[5]["lang_pred"] == "aa"
 
 
+def test_proportions_converge_for_each_text_alone():
+    rng = np.random.default_rng(2)
+    words = np.array([3, 400, 50, 1, 900])
+    likely = rng.random((words.sum(), 3)) ** np.repeat([9, 0.3, 2, 1, 0.2], words)[:, None]
+    first, even = np.cumsum(words) - words, np.full((5, 3), 1 / 3)
+    whole = language._maximise(likely, words, first, even)
+    for i, (a, n) in enumerate(zip(first, words)):
+        own = likely[a : a + n]
+        assert np.array_equal(whole[i : i + 1], language._maximise(own, words[i : i + 1], np.zeros(1, dtype=np.int64), even[:1]))
+        part = own * whole[i]
+        assert np.abs((part / part.sum(axis=1, keepdims=True)).mean(axis=0) - whole[i]).max() < 1e-3
+
+
 def test_languages_without_teachers(spark, docs, no_docs):
     model = language.learn(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in language.predict(texts(docs), model).collect()} == {"und"}
