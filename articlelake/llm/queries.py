@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import language, near_dedup, neighbours, packing, piece_codec, quality_gam, repair, suffix_dedup, token_counts, topk
+from articlelake.llm import divergence, language, near_dedup, neighbours, packing, piece_codec, quality_gam, repair, suffix_dedup, token_counts, topk, vector_codes, window_packing
 from articlelake.llm.frames import table, texts
 
 
@@ -79,6 +79,22 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language and the terms each source is rich in."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of all vectors, with codebooks of 256 entries after 4 rounds."""
+    found, books = vector_codes.codes(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 tokens."""
+    return window_packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_block_neighbours": op2_block_neighbours,
@@ -90,4 +106,7 @@ QUERIES = {
     "op8_repair_tokens": op8_repair_tokens,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_window_packing": op13_window_packing,
 }
