@@ -1,9 +1,10 @@
 """Byte-level BPE ids of whole texts, by the tokenizers library, with a memo of words.
 
-Most of a corpus is words seen before. A space between two visible characters always
-begins a new word of the tokenizer's own pattern, so a text may be cut there and each
-part encoded alone; parts are looked up first. Special tokens hold no space, so they
-stay whole within a part.
+Most of a corpus is words seen before. A text of plain characters is cut by the
+tokenizer's own word pattern, and each word is looked up first. In other texts, a space
+between two visible characters always begins a new word, so they are cut there and only
+the parts that aren't plain go through the whole tokenizer. Special tokens hold no space,
+so they stay whole within a part.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ _PLAIN = re.compile(rf"[ \n!-~{_LETTER}]*")
 _WORDS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[0-9]+| ?[^\s0-9{_LETTER}]+|\s+(?!\S)|\s+")
 # ----------------------------------------------------------------------------------
 
-MEMO_ENTRIES = 300_000
+MEMO_BYTES = 40 << 20
+_LONGEST_KEY = 64
+_ENTRY = 250  # bytes that an entry takes besides the characters of its key
 
 
 def default_path() -> str:
@@ -49,19 +52,23 @@ def shared_encoder(path: str | None = None) -> ByteBpe:
 
 
 class Memo(dict):
-    """Keeps the last `entries` results, up to twice as many for a while."""
+    """Keeps the last results, about `size` bytes of them and up to twice as many; long keys are not kept."""
 
-    def __init__(self, make, entries: int):
+    def __init__(self, make, size: int):
         super().__init__()
-        self._make, self._entries, self._older = make, entries, {}
+        self._make, self._size, self._taken, self._older = make, size, 0, {}
 
     def __missing__(self, key):
         value = self._older.get(key)
         if value is None:
             value = self._make(key)
-        if len(self) >= self._entries:
+        if len(key) > _LONGEST_KEY:
+            return value
+        if self._taken >= self._size:
             self._older = dict(self)
             self.clear()
+            self._taken = 0
+        self._taken += _ENTRY + len(key)
         self[key] = value
         return value
 
@@ -69,7 +76,7 @@ class Memo(dict):
 class ByteBpe:
     """Encoder with its memo. `dtype` is the narrowest unsigned type that holds every id."""
 
-    def __init__(self, path: str | None = None, memo_entries: int = MEMO_ENTRIES):
+    def __init__(self, path: str | None = None, memo_bytes: int = MEMO_BYTES):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path or default_path())
@@ -79,24 +86,15 @@ class ByteBpe:
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._visible = _visible()
-        self._words = Memo(self._word, memo_entries).__getitem__
-        self._parts = Memo(self._part, memo_entries).__getitem__
+        self._words = Memo(self._word, memo_bytes).__getitem__
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text, as little-endian numbers of `dtype`."""
         if not text:
             return b""
-        if not _PLAIN.fullmatch(text) or any(t in text for t in self._added):
-            return self._whole(text)
-        if text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text:
-            first, *rest = _CUT.split(text)
-        else:
-            first, *rest = text.split(" ")
-        return b"".join(map(self._words, _WORDS.findall(first))) + b"".join(map(self._parts, rest))
-
-    def _part(self, part: str) -> bytes:
-        """Ids of a plain part with the space before it."""
-        return b"".join(map(self._words, _WORDS.findall(" " + part)))
+        if _PLAIN.fullmatch(text) and not any(t in text for t in self._added):
+            return b"".join(map(self._words, _WORDS.findall(text)))
+        return self._whole(text)
 
     def _word(self, word: str) -> bytes:
         return self._pack([t.id for t in self._model.tokenize(word.translate(self._visible))])
@@ -105,10 +103,10 @@ class ByteBpe:
         """Ids of any text: the parts between safe cuts, each by the whole tokenizer where it isn't plain."""
         out = []
         for n, part in enumerate(_CUT.split(text)):
+            part = " " + part if n else part
             if _PLAIN.fullmatch(part) and not any(t in part for t in self._added):
-                out.append(self._parts(part) if n else b"".join(map(self._words, _WORDS.findall(part))))
+                out.append(b"".join(map(self._words, _WORDS.findall(part))))
             else:
-                part = " " + part if n else part
                 out.append(self._pack(self._tokenizer.encode(part, add_special_tokens=False).ids))
         return b"".join(out)
 

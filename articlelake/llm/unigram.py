@@ -20,7 +20,7 @@ from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-from articlelake.llm.bpe import MEMO_ENTRIES, Memo
+from articlelake.llm.bpe import Memo
 
 # --- fixed values (of the SentencePiece model format and its unigram encoder) ---
 MARK = "▁"
@@ -140,15 +140,18 @@ class Pieces:
         return [i for ids in reversed(out) for i in ids]
 
 
+MEMO_BYTES = 64 << 20
+
+
 @lru_cache(maxsize=1)
 def counting(path: str | None = None) -> tuple[Pieces, Callable[[str], tuple[int, float]]]:
     """The model and its counts of parts, one memo for all tasks of a Python worker."""
     pieces = Pieces(path)
-    return pieces, Memo(pieces.count, MEMO_ENTRIES).__getitem__
+    return pieces, Memo(pieces.count, MEMO_BYTES).__getitem__
 
 
 @lru_cache(maxsize=1)
 def encoding(path: str | None = None) -> tuple[Pieces, Callable[[str], bytes]]:
     """The model and the packed ids of parts, one memo for all tasks of a Python worker."""
     pieces = Pieces(path)
-    return pieces, Memo(lambda part: array("I", pieces.segment(part)).tobytes(), MEMO_ENTRIES).__getitem__
+    return pieces, Memo(lambda part: array("I", pieces.segment(part)).tobytes(), MEMO_BYTES).__getitem__

@@ -26,7 +26,7 @@ def crc(ids):
 
 
 def test_memo_changes_no_id(byte_bpe, planted_rows):
-    encoder = ByteBpe(memo_entries=50)
+    encoder = ByteBpe(memo_bytes=50 * 250)
     for text in ODD + [t for _, t in planted_rows]:
         assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == ids_of(byte_bpe, text)
 
