@@ -313,6 +313,8 @@ WHERE stage = 'base' OR quarter_year IN ('2022Q1', '2022Q2')""",
         "batch_conflicts": f"""WITH {MANIFEST}, span AS (SELECT min(year(o_orderdate)) AS y FROM orders)
 SELECT batch_id FROM manifest, span WHERE error IS NOT NULL OR start_date <= make_date(y, 6, 30) AND end_date >= make_date(y, 2, 1)
   AND batch_id <> y || '-02_to_' || y || '-06'""",
+        "incremental_ingest": f"""{KEPT} SELECT {FLAT_COLUMNS},
+  CASE WHEN month_id <= '2022-06' THEN '2022-01_to_2022-06' ELSE '2022-07_to_2022-12' END AS batch_id FROM flat""",
         "landed_delivery": f"""{KEPT} SELECT url, 'by ' || url AS author, upper(CAST(exclude_from_housing_analysis AS VARCHAR)) AS flag FROM raw""",
         "run_all_stages": f"""{article_chunks(*default)}, n AS (SELECT count(*) AS c FROM chunks)
 SELECT 'base' AS stage, count(*) AS rows FROM base UNION ALL SELECT 'flattened', count(*) FROM flat
