@@ -321,6 +321,13 @@ SELECT 'base' AS stage, count(*) AS rows FROM base UNION ALL SELECT 'flattened',
 UNION ALL SELECT 'chunks', c FROM n UNION ALL SELECT 'embeddings', c FROM n""",
         "failed_rerun": f"""{article_chunks(*default)} SELECT k || ':chunk_' || w AS chunk_id, md5(chunk) AS chunk_md5 FROM chunks""",
         "stage_compaction": f"""{KEPT} SELECT {FLAT_COLUMNS}, month_id AS batch_id FROM flat""",
+        "compaction_choice": f"""{KEPT} SELECT month_id AS batch_id, count(*) AS rows,
+  month_id IN ('2022-04', '2022-05') AS rewritten, CAST(1 AS BIGINT) AS files_after FROM flat GROUP BY month_id""",
+        "stale_stages": f"""{KEPT}, months AS (SELECT DISTINCT month_id AS batch_id FROM base),
+ends AS (SELECT max(batch_id) AS newest FROM months)
+SELECT batch_id, stage, CASE WHEN batch_id = newest OR stage = 'embeddings' OR stage = 'chunks' AND batch_id >= '2022-10' THEN 'missing'
+  WHEN batch_id = '2022-06' THEN 'stale' ELSE 'fresh' END AS status
+FROM months, ends, (VALUES ('base'), ('flattened'), ('chunks'), ('embeddings')) v(stage)""",
         "cross_batch_duplicates": """SELECT article_id, count(DISTINCT batch_id) AS batches FROM (
   SELECT source || ' | ' || lang || ' | ' || (n_chars // 50) AS article_id,
     strftime(DATE '2022-01-01' + CAST(doc_id % 365 AS INTEGER), '%Y-%m') AS batch_id FROM documents)

@@ -511,6 +511,45 @@ def stage_compaction(spark, sf):
     return _day(lakes.read_stage(spark, lake.stage("flattened"), FLAT_COLUMNS))
 
 
+def compaction_choice(spark, sf):
+    """Two months lie in many files; what compaction does with each month, and its rows after."""
+    table_path = Lake(run_folder(spark, "lake")).stage("flattened")
+    flat = _stored(_monthly(flatten_articles(_base(spark, sf))), "flat")
+    scattered = flat.where(F.col("batch_id").isin("2022-04", "2022-05"))
+    for part in range(4):
+        own = scattered.where(F.pmod(F.xxhash64("article_topic_key"), F.lit(4)) == part)
+        own.coalesce(1).write.mode("append").partitionBy(*lakes.PARTITION_COLUMNS).parquet(table_path)
+    others = flat.join(scattered.select("batch_id").distinct(), "batch_id", "left_anti")
+    others.repartition("batch_id").write.mode("append").partitionBy(*lakes.PARTITION_COLUMNS).parquet(table_path)
+    done = [(c.batch_id, c.rewritten, c.files_after) for c in lakes.compact(spark, table_path)]
+    report = spark.createDataFrame(done, "batch_id string, rewritten boolean, files_after long")
+    rows = lakes.read_stage(spark, table_path, FLAT_COLUMNS).groupBy("batch_id").agg(F.count("*").alias("rows"))
+    found = rows.join(report, "batch_id", "left")
+    return found.select("batch_id", "rows", F.coalesce("rewritten", F.lit(False)).alias("rewritten"), F.coalesce("files_after", F.lit(1)).alias("files_after"))
+
+
+def stale_stages(spark, sf):
+    """What has to be run again: June was delivered again, the chunks end with the third quarter, December came last."""
+    lake = Lake(run_folder(spark, "lake"))
+    base = _stored(_monthly(_base(spark, sf)), "base")
+    months = sorted(r.batch_id for r in base.select("batch_id").distinct().collect())
+
+    def deliver(batch_id: str) -> None:
+        own = base.where(F.col("batch_id") == batch_id).select("url")
+        own.write.mode("overwrite").options(**DIALECT).csv(f"{lake.raw_folder(2022)}/{batch_id}.csv")
+
+    for batch_id in months[:-1]:
+        deliver(batch_id)
+    early = base.where(F.col("batch_id") < months[-1])
+    lakes.write_partitions(early, lake.stage("base"))
+    lakes.write_partitions(flatten_articles(early), lake.stage("flattened"))
+    slim = base.where(F.col("quarter_year") < "2022Q4").select("article_id", "year", "batch_id")
+    lakes.write_partitions(slim, lake.stage("chunks"))
+    deliver("2022-06")
+    deliver(months[-1])
+    return lakes.stage_ages(spark, lake)
+
+
 def cross_batch_duplicates(spark, sf):
     day = F.date_add(F.lit("2022-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
     fifties = F.floor(F.col("n_chars") / 50).cast("string")
@@ -564,5 +603,7 @@ QUERIES = {
     "run_all_stages": run_all_stages,
     "failed_rerun": failed_rerun,
     "stage_compaction": stage_compaction,
+    "compaction_choice": compaction_choice,
+    "stale_stages": stale_stages,
     "cross_batch_duplicates": cross_batch_duplicates,
 }

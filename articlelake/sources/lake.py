@@ -8,6 +8,7 @@
 import re
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
@@ -22,6 +23,7 @@ from articlelake.runtime import run_folder
 from articlelake.schemas import STAGES
 
 PARTITION_COLUMNS = ["year", "batch_id"]
+TARGET_FILE_BYTES = 256 << 20
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -239,14 +241,146 @@ def stage_inventory(spark: SparkSession, lake: Lake, batch_ids: DataFrame) -> Da
     return reduce(DataFrame.unionByName, found).join(batch_ids, "batch_id", "left_semi")
 
 
-def compact(spark: SparkSession, table: str) -> None:
-    """Rewrite a stage table into files of even size and publish it in its own place.
+def partition_files(spark: SparkSession, table: str) -> DataFrame:
+    """(year, batch_id, path, bytes, modified) of every data file of a stage table, from listing alone."""
+    listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.parquet").load(table)
+    plain = F.coalesce(F.try_url_decode("path"), F.col("path"))
+    place = r"/year=(\d+)/batch_id=([^/]+)/[^/]+\z"
+    return listed.select(
+        F.regexp_extract(plain, place, 1).cast("int").alias("year"),
+        F.regexp_extract(plain, place, 2).alias("batch_id"),
+        "path",
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("modified"),
+    )
+
+
+def compaction_plan(files: DataFrame, target_bytes: int = TARGET_FILE_BYTES, worth: int = 2) -> DataFrame:
+    """Partitions with their files, bytes, the files they need, and whether they are worth rewriting.
+
+    A partition needs as many files as its bytes fill. It is rewritten where it has `worth`
+    times as many, so one that was compacted, or written well, is not touched again.
+    """
+    needed = F.greatest(F.lit(1), F.ceil(F.sum("bytes") / target_bytes)).cast("long")
+    return (
+        files.groupBy("year", "batch_id")
+        .agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), needed.alias("needed"))
+        .withColumn("chosen", F.col("files") >= worth * F.col("needed"))
+    )
 
-    Rebalancing brings the rows of a batch together and splits a batch that is larger
-    than the advisory partition size over several writers.
+
+@dataclass(frozen=True)
+class Compacted:
+    year: int
+    batch_id: str
+    files_before: int
+    files_after: int
+    rewritten: bool  # False where a run published the batch anew meanwhile, which stays
+
+
+def stage_ages(spark: SparkSession, lake: Lake) -> DataFrame:
+    """(batch_id, stage, status) of every delivered batch: `fresh`, `stale` or `missing`.
+
+    A stage is stale where one of its files is older than the newest file it is made from:
+    the delivery for `base`, and `base` or `chunks` for those made from them. What is made
+    from a stale stage is stale too. Times come from the listing; nothing is read.
     """
-    balanced = spark.sql(
-        f"SELECT /*+ REBALANCE({', '.join(PARTITION_COLUMNS)}) */ * FROM {{table}}",
-        table=spark.read.parquet(table),
+    raw = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv")
+    plain = F.coalesce(F.try_url_decode("path"), F.col("path"))
+    delivered = (
+        raw.load(f"{lake.root}/raw")
+        .select(F.regexp_extract(plain, r"/year=\d+/([^/]*)\.csv(?:/[^/]*)?\z", 1).alias("batch_id"), "modificationTime")
+        .where(F.col("batch_id") != "")
+        .groupBy("batch_id")
+        .agg(F.max("modificationTime").alias("delivered"))
+    )
+    found = delivered
+    for stage in STAGES:
+        if exists(spark, lake.stage(stage)):
+            times = partition_files(spark, lake.stage(stage)).groupBy("batch_id")
+            times = times.agg(F.min("modified").alias(f"{stage}_first"), F.max("modified").alias(f"{stage}_last"))
+            found = found.join(times, "batch_id", "left")
+        else:
+            nothing = F.lit(None).cast("timestamp")
+            found = found.withColumns({f"{stage}_first": nothing, f"{stage}_last": nothing})
+    stale = {"base": F.col("base_first") < F.col("delivered")}
+    for stage, source in (("flattened", "base"), ("chunks", "base"), ("embeddings", "chunks")):
+        stale[stage] = F.coalesce(stale[source], F.lit(True)) | (F.col(f"{stage}_first") < F.col(f"{source}_last"))
+    status = {
+        s: F.when(F.col(f"{s}_first").isNull(), "missing").when(stale[s], "stale").otherwise("fresh") for s in STAGES
+    }
+    return found.select(
+        "batch_id", F.explode(F.create_map(*(x for s in STAGES for x in (F.lit(s), status[s])))).alias("stage", "status")
     )
-    publish(balanced, table, PARTITION_COLUMNS)
+
+
+def compact(
+    spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYTES, worth: int = 2, at_once: int = 4
+) -> list[Compacted]:
+    """Rewrite the partitions of a stage table that have many more files than they need.
+
+    Files are chosen by their sizes from listing; no other partition is read, written or
+    moved. Spark packs the small files of a partition into reads of `target_bytes`, and
+    each read becomes one file: rows keep their order and nothing is shuffled. A rewritten
+    partition takes the place of the files it was made of, and of no others: if a batch was
+    published meanwhile, its new files stay. `at_once` partitions are under way together;
+    a lost run has compacted some partitions and left the others as they were.
+    """
+    chosen = compaction_plan(partition_files(spark, table), target_bytes, worth).where("chosen")
+    rows = chosen.orderBy(F.desc("bytes")).collect()  # batches, of which a year has 78 at most
+    if not rows:
+        return []
+    packing = {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "1",
+    }
+    with _settings(spark, packing), ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda r: _compact_partition(spark, table, r["year"], r["batch_id"]), rows))
+
+
+def _compact_partition(spark: SparkSession, table: str, year: int, batch_id: str) -> Compacted:
+    target = f"{table}/year={year}/batch_id={batch_id}"
+    staged = f"{table}.compacting-{uuid.uuid4().hex}"
+    moved = f"{table}.compacted-{uuid.uuid4().hex}"
+    try:
+        before = _data_files(spark, target)
+        spark.read.parquet(target).write.parquet(staged)
+        same = before == _data_files(spark, target)
+        if same:
+            _rename(spark, target, moved)
+            try:
+                same = before == _data_files(spark, moved)  # what was moved is what was read
+                _rename(spark, staged if same else moved, target)
+            except Exception:
+                if not exists(spark, target):
+                    _rename(spark, moved, target)
+                raise
+        return Compacted(year, batch_id, len(before), len(_data_files(spark, target)), same)
+    finally:
+        remove(spark, staged)
+        if exists(spark, target):
+            remove(spark, moved)
+
+
+def _data_files(spark: SparkSession, folder: str) -> set[tuple[str, int, int]]:
+    """Name, size and time of the data files directly in a folder."""
+    files, target = _hadoop(spark, folder)
+    return {
+        (f.getPath().getName(), f.getLen(), f.getModificationTime())
+        for f in files.listStatus(target)
+        if not f.getPath().getName().startswith(("_", "."))
+    }
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the length of a block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
