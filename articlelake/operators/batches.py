@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from articlelake.errors import IntegrityError
 from articlelake.functions.binding import let
+from articlelake.operators import keysets
 
 # --- fixed values ------------------------------------------------------------
 BATCH_PATTERN = r"\A\d{4}-\d{2}(_to_\d{4}-\d{2})?\z"
@@ -145,6 +146,26 @@ def presence(wanted: DataFrame, existing: DataFrame) -> DataFrame:
     )
 
 
+def key_index(articles: DataFrame) -> DataFrame:
+    """What an index keeps of the articles of its batches: each id once per batch, with its hash."""
+    return articles.select("article_id", "year", "batch_id").distinct().withColumn("key_hash", F.xxhash64("article_id"))
+
+
+def repeated_in(articles: DataFrame, index: DataFrame) -> DataFrame:
+    """(article_id, batches): ids of a new batch found in others, with the number of batches that hold them.
+
+    `index` has the `key_index` rows of other batches. It is scanned in place: a Bloom filter
+    of the new ids picks the rows that may match, and only those are joined. A batch of more
+    ids than a filter takes is joined with the index as it is.
+    """
+    ids = articles.select("article_id").where(F.col("article_id").isNotNull()).distinct()
+    count, keys = ids.count(), ["article_id"]
+    if keysets.fits(count):
+        index = index.where(keysets.build(ids, keys, 0, count).passes(keys))
+    found = index.select("article_id", "batch_id").join(ids, "article_id", "left_semi")
+    return found.distinct().groupBy("article_id").agg((F.count("*") + 1).alias("batches"))
+
+
 def cross_batch_duplicates(articles: DataFrame) -> DataFrame:
     """Article ids found in more than one batch."""
     return (

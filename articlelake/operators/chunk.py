@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from articlelake.functions import packing, text
 from articlelake.functions.packing import Sizes
-from articlelake.functions.tokens import WORDS, Tokenizer
+from articlelake.functions.tokens import Tokenizer
+from articlelake.runtime import stored
 from articlelake.schemas import (
     CHUNK_COLUMNS,
     MAX_CHUNK_TOKENS,
@@ -17,7 +18,6 @@ from articlelake.schemas import (
 )
 
 DEFAULT_SIZES = Sizes(TARGET_CHUNK_TOKENS, MAX_CHUNK_TOKENS, OVERLAP_TOKENS)
-RANGE_WIDTH = 1 << 16
 
 
 def checked_content(content: Column) -> Column:
@@ -39,7 +39,7 @@ def checked_content(content: Column) -> Column:
 def with_windows(
     df: DataFrame,
     content: Column,
-    tokenizer: Tokenizer = WORDS,
+    tokenizer: Tokenizer,
     sizes: Sizes = DEFAULT_SIZES,
 ) -> DataFrame:
     """Adds `units` and the `windows` packed from them. Row-local: no shuffle."""
@@ -50,20 +50,20 @@ def with_windows(
 
 def chunk_articles(
     base: DataFrame,
-    tokenizer: Tokenizer = WORDS,
+    tokenizer: Tokenizer,
     sizes: Sizes = DEFAULT_SIZES,
     enforce: bool = False,
     order_by: str | None = None,
-    stage: Callable[[DataFrame], DataFrame] = lambda rows: rows,
-    width: int = RANGE_WIDTH,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """One row per passage.
+    """One row per passage. The sizes count what the tokenizer counts, so it has no default.
 
     Passages are numbered by position within their row, which needs no shuffle and is
     the numbering per article as long as article ids are unique. `order_by` names an
-    integer column giving the row order where they are not: numbering then runs on
-    across the rows of an id. It reads the passages twice, so `stage` may write them to
-    a table and hand that back.
+    column giving the row order where they are not: numbering then runs on across the
+    rows of an id. The passages are read several times for that, so they are written to a
+    table first, in the shared folder or wherever `stage` puts it.
 
     `enforce` fails the job on content the chunker does not take, and on passages that
     would share the NULL id of an article without one.
@@ -97,7 +97,8 @@ def chunk_articles(
     if order_by is None:
         rows = rows.withColumn("chunk_index", F.col("position").cast("bigint"))
     else:
-        rows = number_across_rows(stage(rows), "article_id", order_by, "position", width)
+        stage = stage or (lambda passages: stored(passages, "passages"))
+        rows = number_across_rows(stage(rows), "article_id", order_by, "position", stage, ranges)
     return (
         rows.withColumn("chunk_id", text.chunk_key(F.col("article_id"), F.col("chunk_index")))
         .withColumn(
@@ -109,29 +110,47 @@ def chunk_articles(
 
 
 def number_across_rows(
-    rows: DataFrame, key: str, order_by: str, position: str, width: int = RANGE_WIDTH
+    rows: DataFrame,
+    key: str,
+    order_by: str,
+    position: str,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Adds `chunk_index`: a row number from 0 per key, in (order_by, position) order.
 
-    One key may hold a large part of the table, so it is numbered in ranges of `width`
-    order values: a window per (key, range), plus the row count of the ranges before.
+    Only (key, order, count) rows are sorted, so no text is. One key may hold a large part
+    of the table, and order values may be as sparse as hashes or times, so those rows are
+    cut into ranges of about equal numbers of them, whatever their values: running sums
+    within a range, plus the sums of the ranges before. Rows then find the number that
+    their group starts with by a hash join, and add their position. Where several rows have
+    the same order, their passages are numbered by position, in any order at the same one.
     """
-    ranged = rows.withColumn("_range", F.floor(F.col(order_by) / F.lit(width)))
+    stage = stage or (lambda slim: stored(slim, "numbering"))
+    spark = rows.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.groupBy(F.col(key).alias("_key"), F.col(order_by).alias("_order")).agg(
+        F.count("*").alias("_rows"), (F.count_distinct(position) < F.count("*")).alias("_tied")
+    )
+    ranged = counts.repartitionByRange(ranges, "_key", "_order").withColumn("_range", F.spark_partition_id())
+    ranged = stage(ranged)  # ranges are chosen from samples: they must not be chosen twice
+    running = Window.partitionBy("_key", "_range").orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_of").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        ranged.groupBy(key, "_range")
-        .agg(F.count("*").alias("_rows"))
-        .select(key, "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    within = Window.partitionBy(key, "_range").orderBy(order_by, position)
-    numbered = ranged.withColumn("_row", F.row_number().over(within)).alias("r")
-    same = F.col(f"r.{key}").eqNullSafe(F.col(f"o.{key}")) & (
-        F.col("r._range") == F.col("o._range")
-    )
-    return numbered.join(offsets.alias("o"), same).select(
-        "r.*", (F.col("o._offset") + F.col("r._row") - 1).cast("bigint").alias("chunk_index")
+        ranged.groupBy(F.col("_key").alias("_of"), F.col("_range").alias("_in"))
+        .agg(F.sum("_rows").alias("_held"))
+        .withColumn("_offset", F.coalesce(F.sum("_held").over(earlier), F.lit(0)))
+    )
+    within = ranged.withColumn("_start", F.coalesce(F.sum("_rows").over(running), F.lit(0)))
+    starts = within.join(before, F.col("_key").eqNullSafe(F.col("_of")) & (F.col("_range") == F.col("_in")))
+    starts = starts.select("_key", "_order", "_tied", (F.col("_offset") + F.col("_start")).alias("_first"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(order_by).eqNullSafe(F.col("_order"))
+    placed = rows.join(starts.hint("shuffle_hash"), same)
+    alone = placed.where(~F.col("_tied")).withColumn("_row", F.col(position))
+    among = Window.partitionBy("_key", "_order").orderBy(position)
+    tied = placed.where("_tied").withColumn("_row", F.row_number().over(among) - 1)
+    return alone.unionByName(tied).select(
+        *rows.columns, (F.col("_first") + F.col("_row")).cast("bigint").alias("chunk_index")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from articlelake.functions import text
+from articlelake.operators import keysets, pacing
 from articlelake.schemas import (
     EMBED_BATCH_SIZE,
     EMBED_CHECKPOINT_EVERY,
@@ -15,6 +16,7 @@ from articlelake.schemas import (
 )
 
 KEYS = ["chunk_id", "text_hash"]
+_PARTS = ["title", "topics", "content_chunk"]
 VECTOR_COLUMNS = ["chunk_id", "text_hash", "model", "dimension", "embedding"]
 VECTOR_SCHEMA = (
     "chunk_id string, text_hash string, model string, dimension int, embedding array<float>"
@@ -26,24 +28,6 @@ def text_hash(c: Column) -> Column:
     return F.sha2(c, 256)
 
 
-def hashed_vectors(size: int):
-    """A deterministic stand-in for a model: bytes of the text's MD5, scaled to [-1, 1).
-
-    Returns a factory, as a real client would be: it is called once per task.
-    """
-
-    def connect():
-        import hashlib
-
-        def embed(texts):
-            digests = (hashlib.md5(t.encode("utf-8")).digest() for t in texts)
-            return [[(d[i % 16] - 128) / 128 for i in range(size)] for d in digests]
-
-        return embed
-
-    return connect
-
-
 def embed_rows(
     pending: DataFrame,
     connect: Callable[[], Callable[[list[str]], list[list[float]]]],
@@ -56,17 +40,20 @@ def embed_rows(
     wait_first: bool = False,
     sleep: Callable[[float], None] = time.sleep,
     clock: Callable[[], float] = time.monotonic,
+    tokens_per_minute: float | None = None,
+    count_tokens: Callable[[str], int] = pacing.words,
 ) -> DataFrame:
     """Vectors for (chunk_id, text_hash, retrieval_text) rows, in their partitions.
 
     `connect()` makes one client per task, which maps a list of texts to their vectors.
     A request that fails is made again after each of `waits`; a failure after the last is
     raised. A response is checked before it is handed on: as many vectors as texts, all of
-    `dimension` values if one is asked for. A request limit is shared out over `parallel`
-    partitions, as many as the rows may have: each starts requests that many times further
-    apart. `wait_first` keeps that distance to requests made just before.
+    `dimension` values if one is asked for. Limits on requests and on tokens are shared out
+    over `parallel` partitions, as many as the rows may have: each starts requests that many
+    times further apart, and waits for its share of the tokens. `wait_first` keeps the
+    distance to requests made just before. Requests that are made again are not paced.
     """
-    interval = 60.0 * parallel / requests_per_minute if requests_per_minute else 0.0
+    pace = pacing.Pace(requests_per_minute, tokens_per_minute, parallel, count_tokens)
     emit_every = EMBED_CHECKPOINT_EVERY * batch_size
     columns = VECTOR_COLUMNS
 
@@ -102,15 +89,12 @@ def embed_rows(
 
     def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         embed = connect()
-        started = clock() if wait_first else None
+        limiter = pace.limiter(clock, sleep, wait_first)
         out = []
         for batch in requests(rows):
-            if interval and started is not None:
-                early = interval - (clock() - started)
-                if early > 0:
-                    sleep(early)
-            started = clock()
-            vectors = respond(embed, batch["retrieval_text"].tolist())
+            texts = batch["retrieval_text"].tolist()
+            limiter.start(texts)
+            vectors = respond(embed, texts)
             out.append(
                 pd.DataFrame(
                     {
@@ -145,11 +129,36 @@ def usable(vectors: DataFrame, model: str, dimension: int | None = None) -> Data
 
 
 def pending(
-    chunks: DataFrame, vectors: DataFrame, model: str, dimension: int | None = None
+    chunks: DataFrame,
+    vectors: DataFrame,
+    model: str,
+    dimension: int | None = None,
+    stage: Callable[[DataFrame], DataFrame] = lambda keys: keys,
 ) -> DataFrame:
-    """Rows of `to_embed` that have no usable saved vector yet."""
+    """Rows of `to_embed` that have no usable saved vector yet.
+
+    Keys decide, and the texts stay where they are: no exchange carries one. `stage` may
+    write the keys to a table and hand that back, as they are read several times.
+    """
     done = usable(vectors, model, dimension).select(KEYS)
-    return to_embed(chunks).join(done, KEYS, "left_anti")
+    return keysets.without(to_embed(chunks), done, KEYS, stage)
+
+
+def hashed(chunks: DataFrame) -> DataFrame:
+    """The chunks with the hash of their `retrieval_text`, and without it where it can be built again."""
+    with_hash = chunks.withColumn("text_hash", text_hash(F.col("retrieval_text")))
+    return with_hash.drop("retrieval_text") if set(_PARTS) <= set(chunks.columns) else with_hash
+
+
+def restored(rows: DataFrame) -> DataFrame:
+    """`hashed` rows with their `retrieval_text`, which must hash to what it was."""
+    if "retrieval_text" in rows.columns:
+        return rows
+    built = text.retrieval_text(*map(F.col, _PARTS))
+    kept = F.when(text_hash(built) == F.col("text_hash"), built).otherwise(
+        F.raise_error(F.lit("retrieval_text: a passage is not made of its own columns"))
+    )
+    return rows.withColumn("retrieval_text", kept)
 
 
 def attach(
@@ -161,19 +170,16 @@ def attach(
     through the join once: `retrieval_text` holds it a second time, so it is left out where
     it can be built again, and must then hash to what it was.
     """
+    return attach_hashed(hashed(chunks), vectors, model, dimension).select(*chunks.columns, "embedding")
+
+
+def attach_hashed(
+    rows: DataFrame, vectors: DataFrame, model: str, dimension: int | None = None
+) -> DataFrame:
+    """`hashed` rows with `retrieval_text` and `embedding`. Rows bucketed by `KEYS` are not shuffled."""
     saved = usable(vectors, model, dimension).groupBy(KEYS)
     saved = saved.agg(F.first("embedding").alias("embedding"))
-    hashed = chunks.withColumn("text_hash", text_hash(F.col("retrieval_text")))
-    parts = ["title", "topics", "content_chunk"]
-    rebuilds = set(parts) <= set(chunks.columns)
-    joined = (hashed.drop("retrieval_text") if rebuilds else hashed).join(saved, KEYS, "left")
-    if rebuilds:
-        built = text.retrieval_text(*map(F.col, parts))
-        kept = F.when(text_hash(built) == F.col("text_hash"), built).otherwise(
-            F.raise_error(F.lit("retrieval_text: a passage is not made of its own columns"))
-        )
-        joined = joined.withColumn("retrieval_text", kept)
-    return joined.select(*chunks.columns, "embedding")
+    return restored(rows.join(saved, KEYS, "left"))
 
 
 def attach_by_key(left: DataFrame, vectors: DataFrame, key: str) -> DataFrame:

@@ -17,18 +17,19 @@ from pyspark.sql import functions as F
 from articlelake.errors import IntegrityError
 from articlelake.functions.packing import Sizes
 from articlelake.functions.tokens import Tokenizer
-from articlelake.operators import batches, embed, quality
+from articlelake.operators import batches, embed, pacing, quality
 from articlelake.operators.batches import Batch
 from articlelake.operators.chunk import chunk_articles
 from articlelake.operators.clean import clean_articles
 from articlelake.operators.flatten import flatten_articles
-from articlelake.runtime import spread
+from articlelake.runtime import run_folder, spread
 from articlelake.schemas import (
     BASE_COLUMNS,
     CHUNK_COLUMNS,
     EMBED_BATCH_SIZE,
     EMBED_CHECKPOINT_EVERY,
     EMBED_REQUESTS_PER_MINUTE,
+    EMBED_TOKENS_PER_MINUTE,
     MAX_CHUNK_TOKENS,
     OVERLAP_TOKENS,
     RAW_COLUMNS,
@@ -39,6 +40,7 @@ from articlelake.sources.csv import read_raw_csv
 from articlelake.sources.lake import Lake
 
 OFFENDERS_SHOWN = 20
+INDEX = "article_ids"
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,9 @@ class Chunking:
 class Embedding:
     """A model behind `connect()`, which makes a client mapping texts to vectors.
 
-    Vectors are saved every `save_every` requests of each of the `parallel` tasks.
+    Vectors are saved every `save_every` requests of each of the `parallel` tasks. Both
+    limits hold for all tasks together, the one on tokens where requests are limited;
+    `count_tokens` should be the model's own count.
     """
 
     connect: Callable
@@ -67,6 +71,8 @@ class Embedding:
     requests_per_minute: float | None = EMBED_REQUESTS_PER_MINUTE
     parallel: int = 1
     save_every: int = EMBED_CHECKPOINT_EVERY
+    tokens_per_minute: float | None = EMBED_TOKENS_PER_MINUTE
+    count_tokens: Callable[[str], int] = pacing.words
     options: dict = field(default_factory=dict)
 
 
@@ -108,32 +114,43 @@ def staged(df: DataFrame, folder: str) -> DataFrame:
 
 
 def embed_all(
-    spark: SparkSession, chunks: DataFrame, vectors: str, embedding: Embedding
+    spark: SparkSession,
+    chunks: DataFrame,
+    vectors: str,
+    embedding: Embedding,
+    folder: str | None = None,
 ) -> DataFrame:
     """A chunk table with embeddings; vectors are saved in waves, and resumed.
 
-    What has no usable vector yet is written once, dealt by a hash of its key into waves
-    of one save interval, so a lost run repeats one wave whatever the size of the table.
+    The chunks are laid out once by their keys, in buckets: what is pending is then found
+    and vectors are attached without moving a text again. What has no usable vector yet is
+    dealt by a hash of its key into waves of one save interval, so a lost run repeats one
+    wave whatever the size of the table. The layout lies in `folder`, which the caller
+    removes when the rows have been read.
     """
     paced = embedding.requests_per_minute is not None
     parallel = embedding.parallel
     if not paced:
         parallel = max(parallel, spark.sparkContext.defaultParallelism)
     model, dimension = embedding.model, embedding.dimension
-    todo = embed.pending(chunks, read_vectors(spark, vectors), model, dimension)
-    waves = math.ceil(todo.count() / (embedding.batch_size * embedding.save_every * parallel))
-    with lakes.scratch(spark, "pending") as folder:
+    rows = laid_out(embed.hashed(chunks), embed.KEYS, folder or run_folder(spark, "laid-out"))
+    done = embed.usable(read_vectors(spark, vectors), model, dimension).select(embed.KEYS)
+    missing = rows.join(done, embed.KEYS, "left_anti")
+    todo = embed.restored(missing).select("chunk_id", "text_hash", "retrieval_text")
+    n = missing.select(embed.KEYS).count()
+    waves = math.ceil(n / (embedding.batch_size * embedding.save_every * parallel))
+    with lakes.scratch(spark, "pending") as scratch:
         if waves:
-            wave = F.pmod(F.xxhash64(*embed.KEYS), F.lit(waves)).alias("wave")
-            dealt = todo.select("*", wave).repartition("wave")
-            dealt.write.partitionBy("wave").parquet(folder)
+            deal = {"wave": (F.lit(0), waves), "slot": (F.lit(1), parallel)}
+            dealt = todo.withColumns({c: F.pmod(F.xxhash64(s, *embed.KEYS), F.lit(k)) for c, (s, k) in deal.items()})
+            dealt.repartition("wave", "slot").write.partitionBy("wave", "slot").parquet(scratch)
         started = False
         for n in range(waves):
-            if not lakes.exists(spark, f"{folder}/wave={n}"):
+            if not lakes.exists(spark, f"{scratch}/wave={n}"):
                 continue
-            part = spark.read.schema(todo.schema).parquet(f"{folder}/wave={n}")
+            part = spark.read.schema(todo.schema).parquet(f"{scratch}/wave={n}/*")
             embed.embed_rows(
-                part.repartition(parallel, *embed.KEYS),
+                part.coalesce(parallel),
                 embedding.connect,
                 model,
                 embedding.batch_size,
@@ -141,14 +158,32 @@ def embed_all(
                 parallel,
                 dimension,
                 wait_first=started,
+                tokens_per_minute=embedding.tokens_per_minute if paced else None,
+                count_tokens=embedding.count_tokens,
                 **embedding.options,
             ).write.mode("append").parquet(vectors)
             started = True
 
     saved = read_vectors(spark, vectors)
     if dimension is None:
-        _require_uniform(chunks, saved, model)
-    return embed.checked(embed.attach(chunks, saved, model, dimension), dimension)
+        _require_uniform(rows, saved, model)
+    attached = embed.attach_hashed(rows, saved, model, dimension)
+    return embed.checked(attached.select(*chunks.columns, "embedding"), dimension)
+
+
+def laid_out(rows: DataFrame, keys: list[str], folder: str) -> DataFrame:
+    """The rows written once in buckets of their keys: joins and groups on those find them as they lie.
+
+    The catalog is told of the buckets only while the table is opened.
+    """
+    spark, name = rows.sparkSession, f"laid_out_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
+    try:
+        dealt.option("path", folder).saveAsTable(name)
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
@@ -158,11 +193,9 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(embed.VECTOR_SCHEMA).parquet(path)
 
 
-def _require_uniform(chunks: DataFrame, saved: DataFrame, model: str) -> None:
+def _require_uniform(rows: DataFrame, saved: DataFrame, model: str) -> None:
     """One length over the vectors in use; only keys and lengths are read."""
-    in_use = embed.usable(saved, model).join(
-        embed.to_embed(chunks).select(embed.KEYS), embed.KEYS, "left_semi"
-    )
+    in_use = embed.usable(saved, model).join(rows.select(embed.KEYS), embed.KEYS, "left_semi")
     lengths = in_use.agg(F.min("dimension").alias("low"), F.max("dimension").alias("high")).first()
     if lengths.low != lengths.high:
         raise IntegrityError(
@@ -204,7 +237,8 @@ def embed_job(
         if limit is not None:
             table, target = staged(embed.sample(table, limit), folder), sample_path(output)
         vectors = f"{target}.checkpoint"
-        lakes.publish(embed_all(spark, table, vectors, embedding), target)
+        with lakes.scratch(spark, "laid-out") as layout:
+            lakes.publish(embed_all(spark, table, vectors, embedding, layout), target)
     lakes.remove(spark, vectors)
 
 
@@ -291,8 +325,9 @@ def run_batch(
         return rows | {"embeddings": 0}
     chunks = lakes.read_batch(spark, lake.stage("chunks"), batch, CHUNK_COLUMNS)
     vectors = lakes.partition_of(lake.staging("vectors"), batch)
-    embedded = embed_all(spark, chunks, vectors, embedding)
-    rows["embeddings"] = lakes.replace_batch(embedded, lake.stage("embeddings"), batch)
+    with lakes.scratch(spark, "laid-out") as layout:
+        embedded = embed_all(spark, chunks, vectors, embedding, layout)
+        rows["embeddings"] = lakes.replace_batch(embedded, lake.stage("embeddings"), batch)
     lakes.remove(spark, vectors)
     return rows
 
@@ -332,6 +367,27 @@ def land_batch(
     return [s for s, there in present.items() if there and s != "raw"]
 
 
+def index_batch(spark: SparkSession, lake: Lake, batch_id: str) -> int:
+    """Keep the article ids of a processed batch in the index, in place of what it held of the batch."""
+    batch = batches.resolve(spark, batch_id)
+    base = lakes.read_batch(spark, lake.stage("base"), batch, ["article_id", "year"])
+    return lakes.replace_batch(batches.key_index(base), lake.staging(INDEX), batch)
+
+
+def repeated_articles(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
+    """Articles of a processed batch that other indexed batches hold too: (article_id, batches).
+
+    Reads the ids of this batch and the index, and no other article.
+    """
+    batch = batches.resolve(spark, batch_id)
+    base = lakes.read_batch(spark, lake.stage("base"), batch, ["article_id"])
+    table = lake.staging(INDEX)
+    if not lakes.exists(spark, table):
+        return base.select("article_id", F.lit(0).cast("bigint").alias("batches")).limit(0)
+    index = lakes.read_stage(spark, table, ["article_id"])
+    return batches.repeated_in(base, index.where(F.col("batch_id") != batch_id))
+
+
 def retire_batch(
     spark: SparkSession, lake: Lake, batch_id: str, confirm: bool = False
 ) -> dict[str, bool]:
@@ -342,7 +398,7 @@ def retire_batch(
     batch = batches.resolve(spark, batch_id)
     targets = lake.targets(batch) | {
         f"staging/{table}": lakes.partition_of(lake.staging(table), batch)
-        for table in ("raw", "vectors")
+        for table in ("raw", "vectors", INDEX)
     }
     present = {name: lakes.exists(spark, path) for name, path in targets.items()}
     if not any(present.values()):

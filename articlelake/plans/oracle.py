@@ -223,6 +223,8 @@ FROM texts, range(8) r(i)"""
     return {
         "raw_articles_view": f"WITH {raw(False)} SELECT * EXCLUDE (doc_id) REPLACE (CAST(exclude_from_housing_analysis AS VARCHAR) AS exclude_from_housing_analysis) FROM raw",
         "csv_export_roundtrip": f"WITH {raw(False)} SELECT * EXCLUDE (doc_id) REPLACE (CAST(exclude_from_housing_analysis AS VARCHAR) AS exclude_from_housing_analysis) FROM raw",
+        "spanning_csv": """SELECT 'https://example.test/' || doc_id AS url, '  Doc ' || doc_id || ' ' AS title,
+  md5(text) AS content_md5, CAST(length(text) AS INTEGER) AS characters FROM documents""",
         "exclusion_accounting": f"""WITH {raw(False)} SELECT count(*) AS raw_rows,
   CAST(count(*) FILTER ({MASK}) AS BIGINT) AS excluded_rows,
   CAST(count(*) FILTER (NOT {MASK}) AS BIGINT) AS base_rows,
@@ -269,6 +271,11 @@ FROM wins x JOIN units y ON y.k = x.k AND y.i = a JOIN units z ON z.k = x.k AND
   CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id, w) - 1 AS BIGINT) AS chunk_index, md5(chunk) AS chunk_md5
 FROM chunks JOIN documents ON k = doc_id"""
         ),
+        "sparse_numbering": f"""WITH {doc_units}, found AS (
+  SELECT source, md5(coalesce(text, '')) AS digest FROM sents JOIN documents ON k = doc_id),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY digest) - 1 AS chunk_index FROM found)
+SELECT source, digest, CAST(chunk_index - min(chunk_index) OVER (PARTITION BY source, digest) AS BIGINT) AS position,
+  CAST(chunk_index AS BIGINT) AS chunk_index FROM numbered""",
         "chunk_windows_stats": recursive(
             f"""WITH {doc_units}, {windows(*small)}, sized AS (
   SELECT x.*, z.c - y.cb AS t, lag(b) OVER (PARTITION BY x.k ORDER BY w) AS pb
@@ -293,6 +300,27 @@ FROM art JOIN tot USING (k)"""
         "embed_sample": f"""{article_chunks(*default)} SELECT article_id || ':chunk_' || w AS chunk_id, CAST(w AS BIGINT) AS chunk_index
 FROM chunks JOIN base ON k = article_id ORDER BY article_id, w LIMIT 25""",
         "embed_resume_pending": f"""{article_chunks(*default)} SELECT k || ':chunk_' || w AS chunk_id FROM chunks WHERE k >= 'Doc 5'""",
+        "paced_requests": """WITH RECURSIVE texts AS (
+  SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 20 AS i, length(coalesce(text, '')) AS n FROM documents),
+requests AS MATERIALIZED (SELECT i, CAST(sum(n) AS BIGINT) AS tokens FROM texts GROUP BY i),
+walk AS (
+  SELECT i, tokens, 0.0::DOUBLE AS start, least(3000000.0::DOUBLE, 3000000.0) - tokens AS level FROM requests WHERE i = 0
+  UNION ALL
+  SELECT i, tokens, start, least(3000000.0::DOUBLE, filled + 50000.0::DOUBLE * (start - now)) - tokens FROM (
+    SELECT *, now + greatest(0.0::DOUBLE, 1.0::DOUBLE - (now - last), (least(tokens, 3000000.0::DOUBLE) - filled) / 50000.0::DOUBLE) AS start FROM (
+      SELECT r.i, r.tokens, w.start AS last, w.start + 0.25::DOUBLE AS now,
+        least(3000000.0::DOUBLE, w.level + 50000.0::DOUBLE * ((w.start + 0.25::DOUBLE) - w.start)) AS filled
+      FROM walk w JOIN requests r ON r.i = w.i + 1)))
+SELECT CAST(floor(start / 60) AS BIGINT) AS minute, count(*) AS starts, CAST(sum(tokens) AS BIGINT) AS tokens FROM walk GROUP BY 1""",
+        "retried_requests": """WITH texts AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 20 AS request FROM documents)
+SELECT CAST(request AS BIGINT) AS request, CAST(request % 5 + 1 AS BIGINT) AS attempts,
+  CAST(5 * (power(2, request % 5) - 1) AS BIGINT) AS waited, count(*) AS texts FROM texts GROUP BY request""",
+        "size_errors": """SELECT DISTINCT target, maximum, overlap, array_to_string(list_filter([
+  CASE WHEN NOT target > 0 THEN 'not 0 < target' END, CASE WHEN NOT target <= maximum THEN 'not target <= maximum' END,
+  CASE WHEN NOT overlap >= 0 THEN 'not 0 <= overlap' END, CASE WHEN NOT overlap < maximum THEN 'not overlap < maximum' END],
+  lambda x: x IS NOT NULL), ', ') AS broken
+FROM (SELECT CAST(l_quantity AS INTEGER) - 10 AS target, CAST(l_linenumber AS INTEGER) * 8 AS maximum,
+  CAST(l_linenumber AS INTEGER) * 5 - CAST(l_quantity AS INTEGER) AS overlap FROM lineitem)""",
         "embed_attach_validate": """SELECT count(*) AS chunks, count(*) FILTER (embedding IS NULL) AS missing_embedding,
   CAST(min(len(embedding)) AS BIGINT) AS min_dimension, CAST(max(len(embedding)) AS BIGINT) AS max_dimension,
   count(*) FILTER (len(embedding) <> 64) AS wrong_dimension, min(len(embedding)) = max(len(embedding)) AS uniform
@@ -328,6 +356,12 @@ ends AS (SELECT max(batch_id) AS newest FROM months)
 SELECT batch_id, stage, CASE WHEN batch_id = newest OR stage = 'embeddings' OR stage = 'chunks' AND batch_id >= '2022-10' THEN 'missing'
   WHEN batch_id = '2022-06' THEN 'stale' ELSE 'fresh' END AS status
 FROM months, ends, (VALUES ('base'), ('flattened'), ('chunks'), ('embeddings')) v(stage)""",
+        "repeated_in_batch": """WITH articles AS (
+  SELECT source || ' | ' || lang || ' | ' || (n_chars // 50) AS article_id,
+    strftime(DATE '2022-01-01' + CAST(doc_id % 365 AS INTEGER), '%Y-%m') AS batch_id FROM documents)
+SELECT article_id, count(DISTINCT batch_id) AS batches FROM articles
+WHERE article_id IN (SELECT article_id FROM articles WHERE batch_id = '2022-12')
+GROUP BY article_id HAVING count(DISTINCT batch_id) > 1""",
         "cross_batch_duplicates": """SELECT article_id, count(DISTINCT batch_id) AS batches FROM (
   SELECT source || ' | ' || lang || ' | ' || (n_chars // 50) AS article_id,
     strftime(DATE '2022-01-01' + CAST(doc_id % 365 AS INTEGER), '%Y-%m') AS batch_id FROM documents)

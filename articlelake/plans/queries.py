@@ -16,11 +16,13 @@ from articlelake.operators.chunk import (
     chunk_articles,
     chunk_statistics,
     content_length_statistics,
+    number_across_rows,
     with_windows,
 )
 from articlelake.operators.clean import clean_articles, sorted_topics
 from articlelake.operators.flatten import flatten_articles, topic_quarter_rollup
 from articlelake.plans import jobs
+from articlelake.plans.stand_in import Endpoint, hashed_vectors
 from articlelake.runtime import run_folder, spread
 from articlelake.schemas import BASE_COLUMNS, FLAT_COLUMNS
 from articlelake.sources import lake as lakes
@@ -76,6 +78,16 @@ def csv_export_roundtrip(spark, sf):
     return _flag_as_text(read_raw_csv(spark, path))
 
 
+def spanning_csv(spark, sf):
+    """An export whose texts keep their line ends, in one file that is read in small pieces."""
+    path = run_folder(spark, "export")
+    raw = as_raw(raw_articles(spark, sf)).drop("content")
+    urls = F.concat(F.lit("https://example.test/"), "doc_id")
+    texts = table(spark, sf, "documents").select(urls.alias("url"), F.col("text").alias("content"))
+    write_raw_csv(raw.join(texts, "url").coalesce(1), path)
+    return read_raw_csv(spark, path).select("url", "title", F.md5("content").alias("content_md5"), F.length("content").alias("characters"))
+
+
 def exclusion_accounting(spark, sf):
     return quality.exclusion_accounting(raw_articles(spark, sf))
 
@@ -175,7 +187,7 @@ def long_unit_split(spark, sf):
 
 
 def document_windows(spark, sf):
-    windowed = with_windows(_documents(spark, sf), F.col("text"), sizes=SMALL)
+    windowed = with_windows(_documents(spark, sf), F.col("text"), WORDS, SMALL)
     # an expression and not the column, which would be filtered on below its own making
     spans = F.filter("windows", lambda w: w.first.isNotNull())
     return windowed.select("doc_id", F.posexplode(spans).alias("chunk_index", "w")).select(
@@ -188,7 +200,7 @@ def document_windows(spark, sf):
 
 
 def _chunks(spark, sf, sizes=DEFAULT_SIZES) -> DataFrame:
-    chunks = chunk_articles(_base(spark, sf, with_text=True), sizes=sizes)
+    chunks = chunk_articles(_base(spark, sf, with_text=True), WORDS, sizes)
     return _day(chunks).withColumn("topics", F.array_join("topics", ", "))
 
 
@@ -213,7 +225,7 @@ def chunk_numbering(spark, sf):
     ).withColumns(constant)
     # the row's document rides along in the lineage column
     chunks = chunk_articles(
-        articles, sizes=SMALL, order_by="doc_id", stage=lambda rows: _stored(rows, "passages"), width=100
+        articles, WORDS, SMALL, order_by="doc_id", stage=lambda rows: _stored(rows, "passages"), ranges=7
     )
     return chunks.select(
         "article_id",
@@ -223,12 +235,21 @@ def chunk_numbering(spark, sf):
     )
 
 
+def sparse_numbering(spark, sf):
+    """Passages of each source numbered by the MD5 of the documents, of which equal texts share one."""
+    passages = _documents(spark, sf, "source").select(
+        "source", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), F.explode(text.sentences(F.col("text"))).alias("sentence")
+    ).groupBy("source", "digest").agg(F.count("*").alias("n"))
+    rows = passages.select("source", "digest", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("position"))
+    return number_across_rows(_stored(rows, "sentences"), "source", "digest", "position", ranges=5)
+
+
 def chunk_windows_stats(spark, sf):
-    return chunk_statistics(with_windows(_documents(spark, sf), F.col("text"), sizes=SMALL))
+    return chunk_statistics(with_windows(_documents(spark, sf), F.col("text"), WORDS, SMALL))
 
 
 def unique_chunk_ids(spark, sf):
-    return quality.duplicate_chunk_ids(chunk_articles(_base(spark, sf, with_text=True), sizes=SMALL))
+    return quality.duplicate_chunk_ids(chunk_articles(_base(spark, sf, with_text=True), WORDS, SMALL))
 
 
 def content_length_stats(spark, sf):
@@ -255,8 +276,8 @@ def _elements(embedded: DataFrame, *more) -> DataFrame:
 
 
 def embed_local(spark, sf):
-    chunks = embed.to_embed(chunk_articles(_base(spark, sf, with_text=True)))
-    return _elements(embed.embed_rows(chunks, embed.hashed_vectors(8), "md5"))
+    chunks = embed.to_embed(chunk_articles(_base(spark, sf, with_text=True), WORDS))
+    return _elements(embed.embed_rows(chunks, hashed_vectors(8), "md5"))
 
 
 def embed_resumed(spark, sf):
@@ -264,11 +285,11 @@ def embed_resumed(spark, sf):
 
     Of the vectors saved before, those of another length are not taken up.
     """
-    chunks = _stored(chunk_articles(_base(spark, sf, with_text=True)), "chunks")
+    chunks = _stored(chunk_articles(_base(spark, sf, with_text=True), WORDS), "chunks")
     vectors = run_folder(spark, "vectors")
     settings = {"model": "md5", "dimension": 8, "requests_per_minute": None}
     wrong = embed.to_embed(chunks).where(F.col("text_hash") < "3")
-    embed.embed_rows(wrong, embed.hashed_vectors(7), "md5").write.parquet(vectors)
+    embed.embed_rows(wrong, hashed_vectors(7), "md5").write.parquet(vectors)
     earlier = embed.to_embed(chunks).where(F.col("text_hash") < "8")
     embed.embed_rows(earlier, _lost_after(8, "f"), "md5").write.mode("append").parquet(vectors)
     try:
@@ -276,13 +297,13 @@ def embed_resumed(spark, sf):
     except Exception as error:
         if "connection lost" not in str(error):
             raise
-    whole = jobs.embed_all(spark, chunks, vectors, jobs.Embedding(embed.hashed_vectors(8), **settings))
+    whole = jobs.embed_all(spark, chunks, vectors, jobs.Embedding(hashed_vectors(8), **settings))
     return _elements(whole, "article_id", F.md5("retrieval_text").alias("text_md5"))
 
 
 def _lost_after(size: int, first: str):
     """A client that fails on texts whose MD5 begins above a digit."""
-    make = embed.hashed_vectors(size)
+    make = hashed_vectors(size)
 
     def connect():
         import hashlib
@@ -302,8 +323,8 @@ def _lost_after(size: int, first: str):
 def embed_sample(spark, sf):
     """What the embedding job writes for a sample."""
     chunks, output = run_folder(spark, "chunks"), run_folder(spark, "embedded")
-    chunk_articles(_base(spark, sf, with_text=True)).write.parquet(chunks)
-    local = jobs.Embedding(embed.hashed_vectors(8), "md5", 8, requests_per_minute=None)
+    chunk_articles(_base(spark, sf, with_text=True), WORDS).write.parquet(chunks)
+    local = jobs.Embedding(hashed_vectors(8), "md5", 8, requests_per_minute=None)
     jobs.embed_job(spark, chunks, output, local, limit=25)
     return spark.read.parquet(jobs.sample_path(output)).select("chunk_id", "chunk_index")
 
@@ -314,11 +335,54 @@ def _vectors(spark, sf) -> DataFrame:
 
 def embed_resume_pending(spark, sf):
     """Passages without a usable vector, where vectors of some articles are saved."""
-    chunks = chunk_articles(_base(spark, sf, with_text=True))
+    chunks = chunk_articles(_base(spark, sf, with_text=True), WORDS)
     saved = embed.to_embed(chunks.where("article_id < 'Doc 5'")).select(
         *embed.KEYS, F.lit("md5").alias("model"), F.lit(8).alias("dimension")
     )
-    return embed.pending(chunks, saved, "md5", 8).select("chunk_id")
+    return embed.pending(chunks, saved, "md5", 8, lambda keys: _stored(keys, "keys")).select("chunk_id")
+
+
+def _requests(spark, sf, endpoint: Endpoint, **limits) -> DataFrame:
+    """What the requests for all documents, in their order, tell of themselves; one row each."""
+    documents = table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("retrieval_text"))
+    keyed = documents.orderBy("doc_id").coalesce(1).select(
+        F.col("doc_id").cast("string").alias("chunk_id"), F.lit("").alias("text_hash"), "retrieval_text"
+    )
+    made = embed.embed_rows(
+        keyed, endpoint.connect, "told", sleep=endpoint.sleep, clock=endpoint.clock, **limits
+    )
+    names = ("request", "attempts", "waited", "minute", "milliseconds", "texts", "tokens")
+    told = [F.col("embedding")[i].cast("bigint").alias(n) for i, n in enumerate(names)]
+    return made.select(*told).distinct()
+
+
+def paced_requests(spark, sf):
+    """Requests and tokens (here: characters) a minute on a clock of their own: 60 and 3,000,000 are allowed."""
+    found = _requests(
+        spark, sf, Endpoint(seconds=0.25), requests_per_minute=60, tokens_per_minute=3_000_000, count_tokens=len
+    )
+    return found.groupBy("minute").agg(F.count("*").alias("starts"), F.sum("tokens").alias("tokens"))
+
+
+def retried_requests(spark, sf):
+    """Requests that fail up to four times: attempts, and the seconds their schedule waits."""
+    found = _requests(spark, sf, Endpoint(failures=lambda n: n % 5), requests_per_minute=None)
+    return found.select("request", "attempts", "waited", "texts")
+
+
+def size_errors(spark, sf):
+    """Window sizes from quantities and line numbers, with the rules that each breaks."""
+    n, q = F.col("l_linenumber").cast("int"), F.col("l_quantity").cast("int")
+    triples = table(spark, sf, "lineitem").select((q - 10).alias("target"), (n * 8).alias("maximum"), (n * 5 - q).alias("overlap"))
+    out = []
+    for r in triples.distinct().collect():  # of 50 quantities and 7 numbers
+        broken = ""
+        try:
+            Sizes(r.target, r.maximum, r.overlap)
+        except ValueError as error:
+            broken = str(error).split(": ", 1)[1]
+        out.append((r.target, r.maximum, r.overlap, broken))
+    return spark.createDataFrame(out, "target int, maximum int, overlap int, broken string")
 
 
 def embed_attach_validate(spark, sf):
@@ -433,7 +497,7 @@ def batch_run(spark, sf):
 def batch_run_embeddings(spark, sf):
     """The same batch through the embedding stage."""
     lake = _landed(spark, sf)
-    local = jobs.Embedding(embed.hashed_vectors(8), "md5", 8, requests_per_minute=None)
+    local = jobs.Embedding(hashed_vectors(8), "md5", 8, requests_per_minute=None)
     jobs.run_batch(spark, lake, WHOLE_YEAR, WORDS_AS_TOKENS, local)
     return _elements(spark.read.parquet(lake.stage("embeddings")))
 
@@ -483,7 +547,7 @@ def run_all_stages(spark, sf):
     """All single-path jobs over one export: rows of each stage."""
     export, out = run_folder(spark, "export"), run_folder(spark, "out")
     write_raw_csv(_kept(spark, sf, with_text=True), export)
-    local = jobs.Embedding(embed.hashed_vectors(8), "md5", 8, requests_per_minute=None)
+    local = jobs.Embedding(hashed_vectors(8), "md5", 8, requests_per_minute=None)
     paths = jobs.run_all(spark, export, out, WORDS_AS_TOKENS, local)
     counts = [spark.read.parquet(p).agg(F.lit(s).alias("stage"), F.count("*").alias("rows")) for s, p in paths.items()]
     return reduce(DataFrame.union, counts)
@@ -560,9 +624,24 @@ def cross_batch_duplicates(spark, sf):
     return batches.cross_batch_duplicates(articles)
 
 
+def repeated_in_batch(spark, sf):
+    """Ids of December that earlier months hold too, found by the index of those months."""
+    month = F.date_format(F.date_add(F.lit("2022-01-01").cast("date"), (F.col("doc_id") % 365).cast("int")), "yyyy-MM")
+    fifties = F.floor(F.col("n_chars") / 50).cast("string")
+    articles = table(spark, sf, "documents").select(
+        text.joined_key(" | ", F.col("source"), F.col("lang"), fifties).alias("article_id"),
+        F.lit(2022).alias("year"),
+        month.alias("batch_id"),
+    )
+    index, last = run_folder(spark, "index"), F.col("batch_id") == "2022-12"
+    lakes.write_partitions(batches.key_index(articles.where(~last)), index)
+    return batches.repeated_in(articles.where(last), lakes.read_stage(spark, index, ["article_id"]))
+
+
 QUERIES = {
     "raw_articles_view": raw_articles_view,
     "csv_export_roundtrip": csv_export_roundtrip,
+    "spanning_csv": spanning_csv,
     "exclusion_accounting": exclusion_accounting,
     "clean_base": clean_base,
     "topic_vocabulary": topic_vocabulary,
@@ -580,6 +659,7 @@ QUERIES = {
     "rag_chunks_words": rag_chunks_words,
     "rag_chunks_default": rag_chunks_default,
     "chunk_numbering": chunk_numbering,
+    "sparse_numbering": sparse_numbering,
     "chunk_windows_stats": chunk_windows_stats,
     "unique_chunk_ids": unique_chunk_ids,
     "content_length_stats": content_length_stats,
@@ -588,6 +668,9 @@ QUERIES = {
     "embed_resumed": embed_resumed,
     "embed_sample": embed_sample,
     "embed_resume_pending": embed_resume_pending,
+    "paced_requests": paced_requests,
+    "retried_requests": retried_requests,
+    "size_errors": size_errors,
     "embed_attach_validate": embed_attach_validate,
     "batch_manifest": batch_manifest,
     "batch_overlap": batch_overlap,
@@ -606,4 +689,5 @@ QUERIES = {
     "compaction_choice": compaction_choice,
     "stale_stages": stale_stages,
     "cross_batch_duplicates": cross_batch_duplicates,
+    "repeated_in_batch": repeated_in_batch,
 }

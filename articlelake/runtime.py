@@ -27,6 +27,13 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder and read back, so that they are made once."""
+    path = run_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Use every core on a table with fewer splits than cores, else leave it alone.
 

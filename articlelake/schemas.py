@@ -69,6 +69,7 @@ OVERLAP_TOKENS = 75
 
 EMBED_BATCH_SIZE = 20
 EMBED_REQUESTS_PER_MINUTE = 20
+EMBED_TOKENS_PER_MINUTE = 200_000
 EMBED_WAITS_SECONDS = (5.0, 10.0, 20.0, 40.0)
 EMBED_CHECKPOINT_EVERY = 25
 # -----------------------------------------------------------------------------

@@ -7,6 +7,8 @@ from articlelake.functions import packing, text
 from articlelake.functions.packing import Sizes
 from articlelake.functions.tokens import WORDS
 from articlelake.operators import chunk
+from articlelake.runtime import stored
+from tests.plans import carried
 
 SIZES = Sizes(target=35, maximum=50, overlap=8)
 
@@ -87,7 +89,7 @@ def base_frame(spark, rows):
 def test_chunk_table(spark):
     sentence = "This sentence has exactly seven small words."
     base = base_frame(spark, [("a", " ".join([sentence] * 40)), ("b", "Short."), ("c", " \t")])
-    rows = chunk.chunk_articles(base, sizes=SIZES).orderBy("article_id", "chunk_index").collect()
+    rows = chunk.chunk_articles(base, WORDS, SIZES).orderBy("article_id", "chunk_index").collect()
     assert rows[0].asDict().keys() == set(chunk.CHUNK_COLUMNS)
     a = [r for r in rows if r.article_id == "a"]
     assert [r.chunk_index for r in a] == list(range(len(a))) and len(a) > 1
@@ -106,15 +108,15 @@ def test_passages_cap_at_maximum_plus_overlap(spark):
     words = lambda n: "W" + "x " * (n - 1) + "e."
     content = " ".join(words(rng.randint(2, 130)) for _ in range(200))
     df = base_frame(spark, [("a", content)])
-    chunks = [r.content_chunk for r in chunk.chunk_articles(df, sizes=SIZES).collect()]
+    chunks = [r.content_chunk for r in chunk.chunk_articles(df, WORDS, SIZES).collect()]
     assert max(len(c.split()) for c in chunks) <= 58
     assert set(content.split()) == {w for c in chunks for w in c.split()}
 
 
 def test_lineage_is_carried_where_present(spark):
     base = base_frame(spark, [("a", "Text.")])
-    assert "batch_id" not in chunk.chunk_articles(base).columns
-    assert chunk.chunk_articles(base.withColumn("batch_id", F.lit("2022-08"))).columns[-1] == "batch_id"
+    assert "batch_id" not in chunk.chunk_articles(base, WORDS).columns
+    assert chunk.chunk_articles(base.withColumn("batch_id", F.lit("2022-08")), WORDS).columns[-1] == "batch_id"
 
 
 def test_numbering_runs_on_across_rows_of_an_id(spark):
@@ -123,7 +125,7 @@ def test_numbering_runs_on_across_rows_of_an_id(spark):
     order = F.regexp_extract("content", r"(\d+)", 1).cast("long")
     numbered = chunk.chunk_articles(
         base.withColumn("o", order).withColumn("batch_id", order.cast("string")),
-        sizes=Sizes(2, 4, 0), order_by="o", width=9,
+        WORDS, Sizes(2, 4, 0), order_by="o", ranges=3,
     )
     got = {}
     for r in numbered.collect():
@@ -138,7 +140,7 @@ def test_numbering_in_narrow_ranges_agrees_with_one_window(spark):
     rows = [("hot" if i % 3 else f"k{i}", i, p) for i in range(400) for p in range(i % 4)]
     rows += [(None, i, 0) for i in range(5)]
     df = spark.createDataFrame(rows, "k string, o long, p int")
-    got = chunk.number_across_rows(df, "k", "o", "p", width=7).collect()
+    got = chunk.number_across_rows(df, "k", "o", "p", ranges=23).collect()
     expected, counts = {}, {}
     for k, o, p in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
         expected[(k, o, p)] = counts.get(k, 0)
@@ -146,19 +148,43 @@ def test_numbering_in_narrow_ranges_agrees_with_one_window(spark):
     assert {(r.k, r.o, r.p): r.chunk_index for r in got} == expected
 
 
+def test_numbering_by_sparse_orders_with_ties(spark):
+    # every order value is a digest, some rows share one, and one key has most rows
+    rows = [("hot" if i % 4 else f"k{i % 3}", f"{(i // 2 * 2 if i % 10 == 1 else i) * 7919 % 10007:08x}", p, f"text {i}") for i in range(300) for p in range(i % 3 + 1)]
+    df = spark.createDataFrame(rows, "k string, o string, p int, body string").repartition(5)
+    got = chunk.number_across_rows(df, "k", "o", "p", ranges=11)
+    assert got.columns == [*df.columns, "chunk_index"]
+    by_key = {}
+    for r in got.collect():
+        by_key.setdefault(r.k, []).append((r.chunk_index, r.o, r.p))
+    assert sum(map(len, by_key.values())) == len(rows)
+    for found in by_key.values():
+        found.sort()
+        assert [i for i, _, _ in found] == list(range(len(found)))
+        assert [(o, p) for _, o, p in found] == sorted((o, p) for _, o, p in found)
+
+
+def test_no_text_is_sorted(spark):
+    df = stored(spark.createDataFrame([("a", 1, 0, "x")], "k string, o long, p int, body string"), "rows")
+    numbered = chunk.number_across_rows(df, "k", "o", "p")
+    sorts = [columns for columns in carried(numbered, "Sort") if "body" in columns]
+    assert len(sorts) == 1  # of rows that share their place with others
+    assert not any("body" in columns for columns in carried(numbered, "SortMergeJoin"))
+
+
 @pytest.mark.parametrize("content, message", [(None, "null_content"), ("a\nb", "multiline_content")])
 def test_enforced_content(spark, content, message):
     base = base_frame(spark, [("a", content)])
     with pytest.raises(Exception, match=message):
-        chunk.chunk_articles(base, enforce=True).collect()
+        chunk.chunk_articles(base, WORDS, enforce=True).collect()
 
 
 def test_enforced_ids(spark):
     one, two = base_frame(spark, [(None, "A b.")]), base_frame(spark, [(None, "A b c. D e f.")])
     sizes = {"sizes": Sizes(3, 4, 0), "enforce": True}
-    assert chunk.chunk_articles(one, **sizes).count() == 1
+    assert chunk.chunk_articles(one, WORDS, **sizes).count() == 1
     with pytest.raises(Exception, match="unique_chunk_id"):
-        chunk.chunk_articles(two, **sizes).collect()
+        chunk.chunk_articles(two, WORDS, **sizes).collect()
 
 
 class Letters:
@@ -182,7 +208,7 @@ def test_statistics(spark):
         [("A b c. D e f. G h i.",), ("A b.",), ("  ",), (None,)], "content string"
     )
     s = chunk.chunk_statistics(
-        chunk.with_windows(base, F.col("content"), sizes=Sizes(target=3, maximum=6, overlap=3))
+        chunk.with_windows(base, F.col("content"), WORDS, Sizes(target=3, maximum=6, overlap=3))
     ).first()
     # windows of the first article: [1], [1,2], [2,3]; of the second: [1]
     assert (s.articles, s.single_chunk_articles, s.median_tokens) == (2, 1, 5.5)

@@ -6,10 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from articlelake.errors import IntegrityError
+from articlelake.functions import text
 from articlelake.operators import embed
 from articlelake.plans import jobs
+from articlelake.plans.stand_in import hashed_vectors
 from articlelake.runtime import run_folder
 from articlelake.sources import lake as lakes
+from tests.plans import exchanged
 
 
 def chunk_frame(spark, n):
@@ -236,6 +239,49 @@ def test_dimensions(spark):
         embed.checked(joined, 4).collect()
 
 
+def whole_chunks(spark, n):
+    frame = chunk_frame(spark, n).drop("retrieval_text").withColumns(
+        {"title": F.lit("T"), "topics": F.array(F.lit("A")), "content_chunk": F.concat(F.lit("c"), "chunk_id")}
+    )
+    built = text.retrieval_text(F.col("title"), F.col("topics"), F.col("content_chunk"))
+    return jobs.staged(frame.withColumn("retrieval_text", built), run_folder(spark, "chunks"))
+
+
+def test_texts_are_laid_out_once_and_stay(spark, monkeypatch):
+    monkeypatch.setattr(jobs.embed, "embed_rows", lambda rows, *a, made=embed.embed_rows, **k: dealt.append(rows) or made(rows, *a, **k))
+    dealt, chunks, vectors = [], whole_chunks(spark, 50), run_folder(spark, "v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = jobs.embed_all(spark, chunks, vectors, settings(recording(log_folder())))
+        assert exchanged(out) and not any({"content_chunk", "retrieval_text"} & columns for columns in exchanged(out))
+        assert dealt and not any(exchanged(rows) for rows in dealt)  # a wave is read as it was dealt
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r.chunk_id: r.embedding for r in out.collect()} == {
+        r.chunk_id: expected_vector(r.retrieval_text, 4) for r in chunks.collect()
+    }
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("laid_out")]
+
+
+def test_pending_is_decided_by_keys(spark):
+    chunks = whole_chunks(spark, 40)
+    saved = embed.to_embed(chunks.where("chunk_index < 30")).select(*embed.KEYS, F.lit("m").alias("model"), F.lit(4).alias("dimension"))
+    found = embed.pending(chunks, saved, "m", 4)
+    assert sorted(r.chunk_id for r in found.collect()) == sorted(f"a:chunk_{i}" for i in range(30, 40))
+    assert exchanged(found) == []
+    assert embed.pending(chunks, saved, "other").count() == 40
+
+
+def test_the_token_limit_holds_in_a_job(spark):
+    waits = log_folder()
+    options = {"sleep": noting(waits), "clock": lambda: 0.0}
+    limited = settings(recording(log_folder()), batch_size=1, requests_per_minute=6e9, tokens_per_minute=120, options=options)
+    jobs.embed_all(spark, stored(spark, 62), run_folder(spark, "v"), limited).collect()
+    assert [w for w in waits_in(waits) if w >= 1]  # 62 texts of 2 words: more than a bucket of 120
+    free = settings(recording(log_folder()), tokens_per_minute=1)  # holds where requests are limited
+    assert jobs.embed_all(spark, stored(spark, 30), run_folder(spark, "v"), free).count() == 30
+
+
 def test_nothing_to_embed(spark):
     none = chunk_frame(spark, 1).limit(0)
     assert jobs.embed_all(spark, none, run_folder(spark, "v"), settings(recording(log_folder()))).count() == 0
@@ -266,5 +312,5 @@ def test_embed_job_and_sample(spark):
     jobs.embed_job(spark, source, target, settings(recording(log_folder())))
     assert spark.read.parquet(target).count() == 12
     assert not os.path.exists(f"{target}.checkpoint")
-    jobs.embed_job(spark, source, target, settings(embed.hashed_vectors(20), dimension=20))
+    jobs.embed_job(spark, source, target, settings(hashed_vectors(20), dimension=20))
     assert len(spark.read.parquet(target).first().embedding) == 20
