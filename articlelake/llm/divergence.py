@@ -2,42 +2,46 @@
 
 Terms are runs of ASCII letters and of characters beyond ASCII, with A-Z lower-cased. Which
 terms are in `least` documents of a language is found by refining prefixes: first the
-prefixes of two bytes are counted by distinct document, those below the threshold are
-discarded with all their terms, and the others are extended to four bytes, eight and so on,
-until the terms left are complete. A term as long as the prefix or shorter is complete at
-that level; prefixes of longer terms are counted apart from it.
+prefixes of four bytes are counted by distinct document, those below the threshold are
+discarded with all their terms, and the others are extended to eight bytes, sixteen and so
+on, until the terms left are complete. A term as long as the prefix or shorter is complete
+at that level; prefixes of longer terms are counted apart from it.
 
 Texts are read once, into blocks of documents that hold each term once and (document,
-term, count) by number. A block sends its counts of live prefixes, gets back those that are
-kept, and goes on with what is left of it, so the work shrinks from level to level and a
-term that is rare is never sent whole. Counts are summed per block before they are
-shuffled: a hot language, source or term is one number per block.
+term, count) by number. Blocks are a table bucketed by block, which no level shuffles: a
+block sends its counts of live prefixes and gets back the numbers of those that are kept,
+so a term with a rare prefix is never sent whole. Counts of kept terms are summed per block
+and go to buckets of terms in packed runs: a hot language, source or term is one number per
+block. A bucket then holds all counts of its terms, and what follows is computed there.
 
 Nulls: null texts, languages and sources count as ''. Every row is a document, whatever its
 id; repeated rows count as often as they occur. A group without a kept term has counts of
-0. A text of any length is taken in stretches of a megabyte. An empty table gives no rows.
+0. A text of any length is taken in stretches of a megabyte; a block holds it whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from articlelake.llm.frames import rows, stored, task_number
+from articlelake.llm.frames import rows, shuffle_partitions, slices, task_number
+from articlelake.runtime import run_folder
 
 LEAST_DOCS = 30
 TOP_TERMS = 50
 SCALE = 1_000_000_000
 PRIOR = 5
-BLOCK_BYTES = 8 << 20
-_FIRST_PREFIX = 2
+BLOCK_BYTES = 16 << 20
+_FIRST_PREFIX = 4
 _STRETCH = 1 << 20
-_TILE = 256  # sources
-_TERM_BUCKET = 2048  # kept terms of a language in one task, about
+_TILE = 512  # sources
 
 # --- fixed values (bytes of [^\x00-\x40\x5B-\x60\x7B-\x7F], A-Z lower-cased) ---
 _TERM_BYTES = bytes(
@@ -57,280 +61,507 @@ def terms_of(text: str | None) -> Iterator[list[bytes]]:
         start = end
 
 
-# A block holds documents of several (lang, source) groups. `doc`, `term` and `n` are the
-# entries, sorted by document and term; terms are sorted as bytes.
-_STATE = pa.struct(
-    [
-        ("groups", pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string())]))),
-        ("group_of", pa.binary()),
-        ("terms", pa.list_(pa.binary())),
-        ("doc", pa.binary()),
-        ("term", pa.binary()),
-        ("n", pa.binary()),
-    ]
+_BLOCK_SQL = (
+    "block long, langs array<string>, sources array<string>, group_of binary, terms binary, per_doc binary, term binary, n binary"
 )
-_STATE_SQL = "struct<groups: array<struct<lang: string, source: string>>, group_of: binary, terms: array<binary>, doc: binary, term: binary, n: binary>"
-# One row kind each: a block's state, a prefix count of a block, a count of a kept term.
-_ROWS = pa.schema(
-    [
-        ("block", pa.int64()),
-        ("lang", pa.string()),
-        ("source", pa.string()),
-        ("prefix", pa.binary()),
-        ("complete", pa.bool_()),
-        ("n", pa.int64()),
-        ("state", _STATE),
-    ]
+_BLOCK = pa.schema(
+    [("block", pa.int64()), ("langs", pa.list_(pa.string())), ("sources", pa.list_(pa.string()))]
+    + [(name, pa.binary()) for name in ("group_of", "terms", "per_doc", "term", "n")]
 )
-_ROWS_SQL = f"block long, lang string, source string, prefix binary, complete boolean, n long, state {_STATE_SQL}"
-_KIND_HAS = {"state": "state", "prefix": "complete", "count": "source"}
 
 
-def _kind(level: DataFrame, name: str, *columns: str | Column) -> DataFrame:
-    return level.where(F.col(_KIND_HAS[name]).isNotNull()).select(*columns)
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers from 0 in the fewest bytes that hold the greatest, behind one byte that says how many."""
+    kind = next(k for k in ("<u1", "<u2", "<u4", "<u8") if int(values.max(initial=0)) < 1 << 8 * int(k[2]))
+    return kind[2].encode() + values.astype(kind).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"<u{data[:1].decode()}", offset=1).astype(np.int64)
+
+
+def _rising(values: np.ndarray) -> bytes:
+    """Rising numbers, packed as their steps."""
+    return _packed(np.diff(values, prepend=0))
+
+
+def _risen(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data))
+
+
+def _steps(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Numbers that rise within stretches of the given lengths, as steps from the one before; the first of a stretch stays."""
+    steps = np.diff(values, prepend=0)
+    first = (np.cumsum(lengths) - lengths)[lengths > 0]
+    steps[first] = values[first]
+    return steps
+
+
+def _stepped(steps: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(steps)])
+    first = np.cumsum(lengths) - lengths
+    return total[1:] - np.repeat(total[first], lengths)
+
+
+class _Builder:
+    """Documents until they make a block."""
+
+    def __init__(self):
+        self.docs: list[tuple[str, str]] = []
+        self.size = 0
+        self._entries: list[np.ndarray] = []
+        self._numbers: dict[bytes, int] = {}
+
+    def add(self, lang: str, source: str, text: str | None) -> None:
+        numbers, found = self._numbers, []
+        for words in terms_of(text):
+            own = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), dtype=np.int32, count=len(words))
+            found.append(np.stack(np.unique(own, return_counts=True)).astype(np.int32))
+        if len(found) > 1:
+            term, where = np.unique(np.concatenate(found, axis=1)[0], return_inverse=True)
+            n = np.bincount(where, weights=np.concatenate(found, axis=1)[1])
+            found = [np.stack([term, n.astype(np.int32)])]
+        self._entries.append(found[0] if found else np.zeros((2, 0), dtype=np.int32))
+        self.docs.append((lang, source))
+        self.size += len(text or "")
+
+    def block(self, number: int) -> pa.RecordBatch:
+        order = sorted(self._numbers)
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[[self._numbers[t] for t in order]] = np.arange(len(order))
+        per_doc = np.array([e.shape[1] for e in self._entries], dtype=np.int64)
+        term, n = np.concatenate(self._entries, axis=1)
+        term = rank[term]
+        by = np.argsort(np.repeat(np.arange(len(per_doc)) * max(len(order), 1), per_doc) + term)
+        groups = sorted(set(self.docs))
+        at = {g: i for i, g in enumerate(groups)}
+        return rows(
+            _BLOCK,
+            block=[number],
+            langs=[[g[0] for g in groups]],
+            sources=[[g[1] for g in groups]],
+            group_of=[_packed(np.array([at[d] for d in self.docs]))],
+            terms=[b" ".join(order)],
+            per_doc=[_packed(per_doc)],
+            term=[_packed(_steps(term[by], per_doc))],
+            n=[_packed(n[by])],
+        )
 
 
 class _Block:
-    def __init__(self, groups: list[dict], group_of: np.ndarray, terms: list[bytes], doc: np.ndarray, term: np.ndarray, n: np.ndarray):
-        self.groups, self.group_of, self.terms, self.doc, self.term, self.n = groups, group_of, terms, doc, term, n
-        self.langs = sorted({g["lang"] for g in groups})
+    """One block at the level of prefixes of `size` bytes: terms longer than half of that."""
+
+    def __init__(self, row: dict, size: int):
+        self.number, self.size = row["block"], size
+        self.sources, self.group_langs = row["sources"], row["langs"]
+        self.terms = row["terms"].split()
+        self.langs = sorted(set(self.group_langs))
         at = {lang: i for i, lang in enumerate(self.langs)}
-        self.lang_of = np.array([at[g["lang"]] for g in groups], dtype=np.int64)[group_of]
-
-    @classmethod
-    def read(cls, state: dict) -> _Block:
-        as_ints = lambda name, kind: np.frombuffer(state[name], dtype=kind)
-        return cls(state["groups"], as_ints("group_of", "<i4"), state["terms"], as_ints("doc", "<i4"), as_ints("term", "<i4"), as_ints("n", "<i4"))
-
-    def state(self) -> dict:
-        packed = lambda values: values.astype("<i4").tobytes()
-        return {
-            "groups": self.groups,
-            "group_of": packed(self.group_of),
-            "terms": self.terms,
-            "doc": packed(self.doc),
-            "term": packed(self.term),
-            "n": packed(self.n),
-        }
+        group_of, per_doc = _unpacked(row["group_of"]).astype(np.int32), _unpacked(row["per_doc"])
+        self.doc = np.repeat(np.arange(len(per_doc), dtype=np.int32), per_doc)
+        self.group = np.repeat(group_of, per_doc)
+        self.lang = np.array([at[x] for x in self.group_langs], dtype=np.int64)
+        self.term = _stepped(_unpacked(row["term"]), per_doc).astype(np.int32)
+        self.n = _unpacked(row["n"]).astype(np.int32)
+        self.lengths = np.fromiter(map(len, self.terms), dtype=np.int64, count=len(self.terms))
 
     def prefixes(self, size: int) -> tuple[list[tuple[bytes, bool]], np.ndarray]:
-        """Distinct (prefix, whether that is the whole term), and which one each term has; equal ones are neighbours."""
-        found, of = [], np.empty(len(self.terms), dtype=np.int64)
-        for i, term in enumerate(self.terms):
-            own = (term[:size], len(term) <= size)
+        """Distinct (prefix, whether that is the whole term) in order, and which one each term has, -1 if it is too short."""
+        found, of = [], np.full(len(self.terms), -1, dtype=np.int32)
+        for i in np.flatnonzero(self.lengths > (size // 2 if size > _FIRST_PREFIX else 0)).tolist():
+            own = (self.terms[i][:size], len(self.terms[i]) <= size)
             if not found or found[-1] != own:
                 found.append(own)
             of[i] = len(found) - 1
         return found, of
 
-    def prefix_counts(self, size: int) -> dict[str, list]:
-        """Distinct documents of each (language, prefix)."""
+    def alive(self, size: int, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entries whose prefix of `size` bytes is kept: those of complete terms, those that go on."""
         found, of = self.prefixes(size)
-        prefix = of[self.term]
-        new = np.ones(len(prefix), dtype=bool)  # the first entry of a document with the prefix
-        new[1:] = (self.doc[1:] != self.doc[:-1]) | (prefix[1:] != prefix[:-1])
-        key = self.lang_of[self.doc[new]] * len(found) + prefix[new]
-        counts = np.bincount(key, minlength=1)
-        held = np.flatnonzero(counts)
-        chosen = [found[k % len(found)] for k in held.tolist()] if found else []
-        return {
-            "lang": [self.langs[k // len(found)] for k in held.tolist()] if found else [],
-            "prefix": [p for p, _ in chosen],
-            "complete": [c for _, c in chosen],
-            "n": counts[held].tolist() if found else [],
-        }
-
-    def refined(self, size: int, live: set[tuple[str, bytes, bool]]) -> tuple[dict[str, list], _Block]:
-        """Counts per group of the terms that are complete and kept, and the block of those that go on."""
+        entries = np.flatnonzero(of[self.term] >= 0).astype(np.int32)
+        held = np.zeros(len(self.langs) * max(len(found), 1), dtype=bool)
+        held[kept] = True
+        entries = entries[held[self.lang[self.group[entries]] * len(found) + of[self.term[entries]]]]
+        complete = self.lengths[self.term[entries]] <= size
+        return entries[complete], entries[~complete]
+
+    def _buckets(self, names: list[bytes], buckets: int) -> np.ndarray:
+        return np.fromiter((zlib.crc32(x) % buckets for x in names), dtype=np.int64, count=len(names))
+
+    def counts(self, entries: np.ndarray, buckets: int) -> dict[str, list]:
+        """Occurrences per group of the terms of some entries: a run per language and bucket of terms.
+
+        A run names its terms once; `per_name` says in how many sources each of them is.
+        """
+        width = max(len(self.terms), 1)
+        sources = len(self.sources)
+        key, where = np.unique(self.term[entries].astype(np.int64) * sources + self.group[entries], return_inverse=True)
+        total = np.bincount(where, weights=self.n[entries], minlength=len(key)).astype(np.int64)
+        group, term = key % max(sources, 1), key // max(sources, 1)
+        used = np.unique(term)
+        bucket_of = np.zeros(width, dtype=np.int64)
+        bucket_of[used] = self._buckets([self.terms[t] for t in used.tolist()], buckets)
+        bucket = bucket_of[term]
+        lang = self.lang[group]
+        by = np.lexsort((group, term, bucket, lang))
+        out = _no_runs()
+        for own in _cut(by, lang, bucket):
+            terms, per_term = np.unique(term[own], return_counts=True)
+            shown, source = np.unique(group[own], return_inverse=True)
+            out["lang"].append(self.langs[lang[own[0]]])
+            out["bucket"].append(int(bucket[own[0]]))
+            out["names"].append(b" ".join([self.terms[t] for t in terms.tolist()]))
+            out["sources"].append([self.sources[g] for g in shown.tolist()])
+            out["numbers"].append(_packed(source))
+            out["per_name"].append(_packed(per_term))
+            out["n"].append(_packed(total[own]))
+            out["complete"].append(None)
+        return out
+
+    def prefix_counts(self, entries: np.ndarray, size: int, buckets: int) -> dict[str, list]:
+        """Distinct documents of each (language, prefix) of some entries: a run per language, bucket and completeness.
+
+        `numbers` are what the block knows them by.
+        """
         found, of = self.prefixes(size)
-        kept = np.zeros((len(self.langs), max(len(found), 1)), dtype=bool)
-        at = {lang: i for i, lang in enumerate(self.langs)}
-        number = {p: i for i, p in enumerate(found)}
-        for lang, prefix, complete in live:
-            kept[at[lang], number[prefix, complete]] = True
-        complete = np.array([c for _, c in found], dtype=bool)
-        prefix = of[self.term]
-        alive = kept[self.lang_of[self.doc], prefix]
-        done = alive & complete[prefix] if found else alive
-        key = self.group_of[self.doc[done]].astype(np.int64) * max(len(self.terms), 1) + self.term[done]
-        held, where = np.unique(key, return_inverse=True)
-        total = np.bincount(where, weights=self.n[done], minlength=len(held)).astype(np.int64)
-        group, term = held // max(len(self.terms), 1), held % max(len(self.terms), 1)
-        counts = {
-            "lang": [self.groups[g]["lang"] for g in group.tolist()],
-            "source": [self.groups[g]["source"] for g in group.tolist()],
-            "prefix": [self.terms[t] for t in term.tolist()],
-            "n": total,
-        }
-        on = alive & ~done
-        used, term_on = np.unique(self.term[on], return_inverse=True)
-        terms = [self.terms[t] for t in used.tolist()]
-        return counts, _Block(self.groups, self.group_of, terms, self.doc[on], term_on, self.n[on])
-
-
-def _level_rows(block: int, own: _Block, size: int, counts: dict | None = None) -> Iterator[pa.RecordBatch]:
-    """What a block sends at a level: counts of kept terms, prefix counts, its state."""
-
-    def made(many: int, columns: dict) -> pa.RecordBatch:
-        return rows(_ROWS, **{f.name: [None] * many for f in _ROWS} | columns | {"block": [block] * many})
-
-    if counts is not None and len(counts["n"]):
-        yield made(len(counts["n"]), counts)
-    if len(own.doc):
-        sent = own.prefix_counts(size)
-        yield made(len(sent["n"]), sent)
-        yield made(1, {"state": [own.state()]})
-
-
-def _blocks(docs: DataFrame, size: int) -> DataFrame:
-    """The first level, from rows (lang, source, text)."""
+        out = _no_runs()
+        if not found or not len(entries):
+            return out
+        prefix, doc = of[self.term[entries]], self.doc[entries]
+        new = np.ones(len(prefix), dtype=bool)  # the first entry of a document with the prefix
+        new[1:] = (doc[1:] != doc[:-1]) | (prefix[1:] != prefix[:-1])
+        counts = np.bincount(self.lang[self.group[entries[new]]] * len(found) + prefix[new])
+        key = np.flatnonzero(counts)
+        lang, at = key // len(found), key % len(found)
+        used = np.unique(at)
+        bucket_of = np.zeros(len(found), dtype=np.int64)
+        bucket_of[used] = self._buckets([found[i][0] for i in used.tolist()], buckets)
+        whole = np.array([c for _, c in found], dtype=np.int64)[at]
+        bucket = bucket_of[at]
+        by = np.lexsort((at, whole, bucket, lang))
+        for own in _cut(by, lang, bucket, whole):
+            out["lang"].append(self.langs[lang[own[0]]])
+            out["bucket"].append(int(bucket[own[0]]))
+            out["complete"].append(bool(whole[own[0]]))
+            out["names"].append(b" ".join([found[i][0] for i in at[own].tolist()]))
+            out["numbers"].append(_rising(key[own]))
+            out["n"].append(_packed(counts[key[own]]))
+            out["sources"].append(None)
+            out["per_name"].append(None)
+        return out
+
+
+def _cut(by: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
+    """The ordered rows in runs of equal columns."""
+    if not len(by):
+        return []
+    differs = np.zeros(len(by) - 1, dtype=bool)
+    for c in columns:
+        differs |= np.diff(c[by]) != 0
+    return np.split(by, np.flatnonzero(differs) + 1)
+
+
+def _no_runs() -> dict[str, list]:
+    return {name: [] for name in ("lang", "bucket", "complete", "names", "numbers", "n", "sources", "per_name")}
+
+
+# Rows of a level are runs of names in a bucket: prefixes with their documents in a block
+# (`complete` says whether those are terms), and kept terms with their counts in its sources.
+_LEVEL_SQL = (
+    "block long, lang string, bucket int, complete boolean, names binary, numbers binary, n binary, sources array<string>, per_name binary"
+)
+_LEVEL = pa.schema(
+    [("block", pa.int64()), ("lang", pa.string()), ("bucket", pa.int32()), ("complete", pa.bool_())]
+    + [(name, pa.binary()) for name in ("names", "numbers", "n")]
+    + [("sources", pa.list_(pa.string())), ("per_name", pa.binary())]
+)
+
+
+def _level_rows(block: int, columns: dict[str, list]) -> pa.RecordBatch:
+    return rows(_LEVEL, block=[block] * len(columns["lang"]), **columns)
+
+
+def _blocks(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Blocks of rows (lang, source, text), stored as a table bucketed by block, and the name of that table."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = task_number() << 32
-        docs: list[tuple[str, str]] = []
-        entries: list[np.ndarray] = []
-        numbers: dict[bytes, int] = {}
-        taken = 0
-
-        def closed() -> _Block:
-            order = sorted(numbers)
-            rank = np.empty(len(order), dtype=np.int64)
-            rank[[numbers[t] for t in order]] = np.arange(len(order))
-            groups = sorted(set(docs))
-            at = {g: i for i, g in enumerate(groups)}
-            doc, term, n = np.concatenate(entries) if entries else np.zeros((0, 3), np.int64), None, None
-            doc, term, n = doc[:, 0], rank[doc[:, 1]] if len(doc) else doc[:, 1], doc[:, 2]
-            by = np.lexsort((term, doc))
-            named = [{"lang": g[0], "source": g[1]} for g in groups]
-            return _Block(named, np.array([at[d] for d in docs], dtype=np.int64), order, doc[by], term[by], n[by])
-
-        for batch in batches:
-            for lang, source, text in zip(*(column.to_pylist() for column in batch.columns)):
-                found = []
-                for words in terms_of(text):
-                    number = [numbers.setdefault(w, len(numbers)) for w in words]
-                    found.append(np.stack(np.unique(np.array(number, dtype=np.int64), return_counts=True)))
-                if found:
-                    term, where = np.unique(np.concatenate(found, axis=1)[0], return_inverse=True)
-                    n = np.bincount(where, weights=np.concatenate(found, axis=1)[1]).astype(np.int64)
-                    entries.append(np.stack([np.full(len(term), len(docs)), term, n], axis=1))
-                docs.append((lang, source))
-                taken += len(text or "")
-                if taken >= BLOCK_BYTES:
-                    yield from _level_rows(block, closed(), size)
-                    block, docs, entries, numbers, taken = block + 1, [], [], {}, 0
-        if docs:
-            yield from _level_rows(block, closed(), size)
-
-    return docs.mapInArrow(build, _ROWS_SQL)
-
-
-def _next_level(level: DataFrame, live: DataFrame, size: int) -> DataFrame:
-    """Each block with the prefixes of `size` bytes that are live in it: refined to twice as many bytes."""
+        number, builder = task_number() << 32, _Builder()
+        for batch in slices(batches):
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                builder.add(*row)
+                if builder.size >= BLOCK_BYTES:
+                    yield builder.block(number)
+                    number, builder = number + 1, _Builder()
+        if builder.docs:
+            yield builder.block(number)
+
+    spark, name = docs.sparkSession, f"term_blocks_{uuid.uuid4().hex}"
+    writer = docs.mapInArrow(build, _BLOCK_SQL).write.bucketBy(shuffle_partitions(spark), "block")
+    writer.options(compression="zstd", path=run_folder(spark, "term-blocks")).saveAsTable(name)
+    return spark.table(name), name
+
+
+def _first_level(blocks: DataFrame, buckets: int) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            for row in batch.to_pylist():
+                own = _Block(row, _FIRST_PREFIX)
+                yield _level_rows(own.number, own.prefix_counts(np.arange(len(own.term)), _FIRST_PREFIX, buckets))
+
+    return blocks.mapInArrow(count, _LEVEL_SQL)
+
+
+def _kept_numbers(least: int):
+    """Of the runs of one bucket, the numbers of the prefixes in enough documents, a row per run."""
+    schema = pa.schema([("own", pa.int64()), ("kept", pa.binary())])
+
+    def choose(runs: pa.Table) -> pa.Table:
+        seen: dict[tuple[bool, bytes], int] = {}
+        at, docs = [], []
+        complete = runs.column("complete").to_pylist()
+        for names, whole, n in zip(runs.column("names").to_pylist(), complete, runs.column("n").to_pylist()):
+            held = names.split(b" ")
+            at.append(np.fromiter((seen.setdefault((whole, x), len(seen)) for x in held), dtype=np.int64, count=len(held)))
+            docs.append(_unpacked(n))
+        everywhere = np.zeros(len(seen), dtype=np.int64)
+        np.add.at(everywhere, np.concatenate(at), np.concatenate(docs))
+        enough = everywhere >= least
+        kept = [_risen(x)[enough[i]] for x, i in zip(runs.column("numbers").to_pylist(), at)]
+        some = [i for i, k in enumerate(kept) if len(k)]
+        block = runs.column("block").to_pylist()
+        return pa.table({"own": [block[i] for i in some], "kept": [_rising(kept[i]) for i in some]}, schema=schema)
+
+    return choose
+
+
+def _next_level(blocks: DataFrame, level: DataFrame, size: int, least: int, buckets: int) -> DataFrame:
+    """Keep the prefixes of `size` bytes in enough documents; count those of twice as many bytes.
+
+    A prefix is summed over its runs, one per block at most; blocks are only read, not shuffled.
+    """
+    sent = level.where(F.col("complete").isNotNull())
+    kept = sent.groupBy("lang", "bucket").applyInArrow(_kept_numbers(least), "own long, kept binary")
 
     def refine(states: pa.Table, own: pa.Table) -> pa.Table:
         found = []
         for row in states.to_pylist():
-            kept = set(zip(*(own.column(n).to_pylist() for n in ("lang", "prefix", "complete"))))
-            counts, rest = _Block.read(row["state"]).refined(size, kept)
-            found += _level_rows(row["own"], rest, 2 * size, counts)
-        return pa.Table.from_batches(found, _ROWS)
+            block = _Block(row, size)
+            numbers = [_risen(x) for x in own.column("kept").to_pylist()]
+            done, on = block.alive(size, np.concatenate(numbers) if numbers else np.zeros(0, dtype=np.int64))
+            found.append(_level_rows(block.number, block.counts(done, buckets)))
+            found.append(_level_rows(block.number, block.prefix_counts(on, 2 * size, buckets)))
+        return pa.Table.from_batches(found, _LEVEL)
+
+    return blocks.groupBy("block").cogroup(kept.groupBy("own")).applyInArrow(refine, _LEVEL_SQL)
+
+
+_BUCKET_SQL = "lang string, bucket int, terms binary, sources array<string>, totals array<long>, v long, source binary, term binary, n binary"
+_BUCKET = pa.schema(
+    [("lang", pa.string()), ("bucket", pa.int32()), ("terms", pa.binary()), ("sources", pa.list_(pa.string()))]
+    + [("totals", pa.list_(pa.int64())), ("v", pa.int64())]
+    + [(name, pa.binary()) for name in ("source", "term", "n")]
+)
+
+
+def _merged(key: tuple, runs: pa.Table) -> pa.Table:
+    """All counts of the terms of one bucket: (source, term, n) by number, sorted by source and term."""
+    named = runs.column("sources").to_pylist()
+    sources = sorted({s for own in named for s in own})
+    at = {s: i for i, s in enumerate(sources)}
+    numbers: dict[bytes, int] = {}
+    source, term, n = [], [], []
+    for own, names, per_name, number, counts in zip(named, *(runs.column(c).to_pylist() for c in ("names", "per_name", "numbers", "n"))):
+        held = names.split(b" ")
+        each = np.fromiter((numbers.setdefault(t, len(numbers)) for t in held), dtype=np.int64, count=len(held))
+        term.append(np.repeat(each, _unpacked(per_name)))
+        source.append(np.array([at[s] for s in own], dtype=np.int64)[_unpacked(number)])
+        n.append(_unpacked(counts))
+    order = sorted(numbers)
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[[numbers[t] for t in order]] = np.arange(len(order))
+    pair, where = np.unique(np.concatenate(source) * len(order) + rank[np.concatenate(term)], return_inverse=True)
+    total = np.zeros(len(pair), dtype=np.int64)
+    np.add.at(total, where, np.concatenate(n))
+    per_source = np.zeros(len(sources), dtype=np.int64)
+    np.add.at(per_source, pair // len(order), total)
+    return pa.Table.from_batches(
+        [
+            rows(
+                _BUCKET,
+                lang=[key[0].as_py()],
+                bucket=[key[1].as_py()],
+                terms=[b" ".join(order)],
+                sources=[sources],
+                totals=[per_source],
+                v=[len(order)],
+                source=[_packed(pair // len(order))],
+                term=[_packed(pair % len(order))],
+                n=[_packed(total)],
+            )
+        ]
+    )
 
-    states = _kind(level, "state", F.col("block").alias("own"), "state")
-    return states.groupBy("own").cogroup(live.groupBy("block")).applyInArrow(refine, _ROWS_SQL)
 
+def _stored(frame: DataFrame, purpose: str) -> DataFrame:
+    path = run_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path, compression="zstd")
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
-def kept_terms(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
-    """Counts (lang, source, term, n > 0) of the terms in at least `least` documents of their language.
+
+def kept_counts(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
+    """Counts of the terms in at least `least` documents of their language, a row per language and bucket of terms.
 
     `docs` has lang, source and text without nulls. One level doubles the length of the
-    prefixes, so there are as many as the longest kept prefix has binary digits.
+    prefixes, so there are as many as the longest kept prefix has binary digits. There are
+    as many buckets as blocks, so that a bucket holds about as much as a block.
     """
-    size, counts = _FIRST_PREFIX, []
-    level = stored(_blocks(docs.select("lang", "source", "text"), size), "terms-level")
-    while not _kind(level, "state", "block").isEmpty():
-        sent = _kind(level, "prefix", "block", "lang", "prefix", "complete", "n")
-        key = ["lang", "prefix", "complete"]
-        often = sent.groupBy(*key).agg(F.sum("n").alias("docs")).where(F.col("docs") >= least).select(*key)
-        live = sent.join(often, key).select("block", *key)
-        level = stored(_next_level(level, live, size), "terms-level")
-        counts.append(_kind(level, "count", "lang", "source", "prefix", "n"))
-        size *= 2
-    if not counts:
-        return docs.sparkSession.createDataFrame([], "lang string, source string, term string, n long")
-    whole = counts[0]
-    for more in counts[1:]:
-        whole = whole.unionByName(more)
-    summed = whole.groupBy("lang", "source", "prefix").agg(F.sum("n").alias("n"))
-    return stored(summed.select("lang", "source", F.col("prefix").cast("string").alias("term"), "n"), "terms-kept")
-
-
-def _share(count: Column, total: Column, terms: Column) -> Column:
-    """1 + floor(SCALE * (count + PRIOR) / (total + PRIOR * terms)), exactly."""
-    exact = lambda c: c.cast("decimal(19,0)")
-    above = F.lit(SCALE).cast("decimal(10,0)") * exact(count + PRIOR)
-    below = exact(total + PRIOR * terms)
-    return F.lit(1).cast("long") + F.call_function("div", above, below)
-
-
-def _pair_sums(terms: DataFrame, groups: DataFrame) -> DataFrame:
-    """Sum over the terms found of (f - what f would be without them), per language and pair of sources.
-
-    Sources are dealt into tiles and terms into buckets, so that a task holds two tiles of
-    sources by one bucket of terms; only those pairs are made that the result has anyway.
+    spark = docs.sparkSession
+    blocks, name = _blocks(docs.select("lang", "source", "text"))
+    try:
+        buckets = max(1, blocks.count())
+        size, level, runs = _FIRST_PREFIX, _first_level(blocks, buckets), []
+        while True:
+            level = _stored(_next_level(blocks, level, size, least, buckets), "terms-level")
+            runs.append(level.where(F.col("complete").isNull()).drop("block", "complete"))
+            if level.where(F.col("complete").isNotNull()).isEmpty():
+                break
+            size *= 2
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    whole = reduce(DataFrame.unionByName, runs)
+    return _stored(whole.groupBy("lang", "bucket").applyInArrow(_merged, _BUCKET_SQL), "terms-kept")
+
+
+def counts(kept: DataFrame) -> DataFrame:
+    """(lang, source, term, n) rows of `kept_counts`."""
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64())])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket in _buckets(batches):
+            names = [bucket.sources[i] for i in bucket.source.tolist()]
+            terms = [bucket.terms[i] for i in bucket.term.tolist()]
+            yield rows(schema, lang=[bucket.lang] * len(names), source=names, term=terms, n=bucket.n)
+
+    return kept.mapInArrow(unpack, "lang string, source string, term string, n long")
+
+
+class _Bucket:
+    def __init__(self, row: dict):
+        self.lang, self.sources = row["lang"], row["sources"]
+        self.terms = row["terms"].decode("utf-8", "surrogatepass").split(" ")
+        self.source, self.term, self.n = (_unpacked(row[c]) for c in ("source", "term", "n"))
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[_Bucket]:
+    for batch in slices(batches):
+        for row in batch.to_pylist():
+            yield _Bucket(row)
+
+
+def share(count: np.ndarray, total: np.ndarray, terms: int) -> np.ndarray:
+    """1 + floor(SCALE * (count + PRIOR) / (total + PRIOR * terms)), exactly.
+
+    The quotient is taken in steps, so that nothing goes beyond 64 bits: the count is below
+    its total, which may have up to 33 bits more than SCALE leaves.
     """
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("extra", pa.int64())])
-
-    def compare(key: tuple, found: pa.Table, sides: pa.Table) -> pa.Table:
-        left_tile, right_tile = key[2].as_py(), key[3].as_py()
-        out: dict[str, list] = {n: [] for n in schema.names}
-        side = sides.to_pydict()
-        names = {t: [i for i, own in enumerate(side["tile"]) if own == t] for t in {left_tile, right_tile}}
-        if found.num_rows and all(names.values()):
-            shown = found.column("term").combine_chunks().dictionary_encode()
-            width = len(shown.dictionary)
-            source, share = found.column("source").to_pylist(), found.column("p").to_numpy()
-            grids = {}
-            for t, own in names.items():
-                base = np.array([side["p0"][i] for i in own], dtype=np.int64)
-                at = {side["source"][i]: n for n, i in enumerate(own)}
-                row = np.array([at.get(s, -1) for s in source], dtype=np.int64)
-                grid = np.repeat(base[:, None], width, axis=1)
-                grid[row[row >= 0], shown.indices.to_numpy()[row >= 0]] = share[row >= 0]
-                grids[t] = (grid, base)
-            grid, base = grids[right_tile]
-            for n, i in enumerate(names[left_tile]):
-                own, own_base = grids[left_tile][0][n], grids[left_tile][1][n]
-                extra = np.abs(grid - own).sum(axis=1) - width * np.abs(base - own_base)
-                out["lang"] += [key[0].as_py()] * len(extra)
-                out["source"] += [side["source"][i]] * len(extra)
-                out["item"] += [side["source"][j] for j in names[right_tile]]
-                out["extra"] += extra.tolist()
-        return pa.table(out, schema=schema)
+    above, below = count.astype(np.int64) + PRIOR, np.asarray(total, dtype=np.int64) + PRIOR * terms
+    out, left = np.zeros(np.broadcast_shapes(above.shape, below.shape), dtype=np.int64), above
+    for digit in (1000, 1000, 1000):  # their product is SCALE
+        left = left * digit
+        out = out * digit + left // below
+        left = left % below
+    return out + 1
+
 
+def _in_langs(kept: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of `kept_counts` with the sources of their language in tiles: all, left and right.
+
+    A row goes to each pair of tiles; there is one tile up to `_TILE` sources.
+    """
     numbered = Window.partitionBy("lang").orderBy("source")
     tiled = groups.withColumn("tile", F.floor((F.row_number().over(numbered) - 1) / _TILE).cast("int"))
-    tiles = groups.groupBy("lang").agg(F.floor((F.count("*") - 1) / _TILE).cast("int").alias("last"))
-    buckets = F.greatest(F.lit(1), F.ceil(F.col("v") / _TERM_BUCKET)).cast("long")
-    both = lambda frame: frame.join(tiles, "lang").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
-
-    def in_tiles(frame: DataFrame) -> DataFrame:
-        """Rows of a source in all tiles (left, right) that hold it; once in the tile beside itself."""
-        pairs = F.when(F.col("tile") == F.col("other"), F.array(F.struct(F.col("tile").alias("left"), F.col("other").alias("right")))).otherwise(
-            F.array(
-                F.struct(F.col("tile").alias("left"), F.col("other").alias("right")),
-                F.struct(F.col("other").alias("left"), F.col("tile").alias("right")),
-            )
-        )
-        return both(frame).withColumn("pair", F.explode(pairs)).select("*", "pair.left", "pair.right").drop("pair", "other", "last")
+    side = F.array_sort(F.collect_list(F.struct("source", "total")))
+    tiles = tiled.groupBy("lang", "v", "tile").agg(side.alias("side"))
+    left = tiles.select("lang", F.col("v").alias("all_terms"), F.col("side").alias("left"))
+    right = tiles.select("lang", F.col("side").alias("right"))
+    return kept.join(left, "lang").join(right, "lang")
 
-    found = in_tiles(terms.join(tiled.select("lang", "source", "tile", "v"), ["lang", "source"]))
-    found = found.select("lang", F.pmod(F.xxhash64("term"), buckets).alias("bucket"), "left", "right", "source", "term", "p")
-    sides = in_tiles(tiled).withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), buckets - 1)))
-    sides = sides.select("lang", "bucket", "left", "right", "source", "tile", "p0")
-    keys = ["lang", "bucket", "left", "right"]
-    extras = found.groupBy(*keys).cogroup(sides.groupBy(*keys)).applyInArrow(compare, "lang string, source string, item string, extra long")
-    return extras.groupBy("lang", "source", "item").agg(F.sum("extra").alias("extra"))
+
+def _pair_sums(kept: DataFrame, groups: DataFrame) -> DataFrame:
+    """Sum over all kept terms of f, per language, source and other source, from partial sums per task.
+
+    A task adds up one matrix for each pair of tiles it meets; only those pairs are made
+    that the result has anyway.
+    """
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple, np.ndarray] = {}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for (lang, left, right), total in sums.items():
+                yield rows(
+                    schema,
+                    lang=[lang] * total.size,
+                    source=[s for s in left for _ in right],
+                    item=list(right) * len(left),
+                    value=total.ravel(),
+                )
+            sums.clear()
+
+        for batch in slices(batches):
+            for row in batch.to_pylist():
+                bucket, width = _Bucket(row), row["v"]
+                grids = []
+                for side in (row["left"], row["right"]):
+                    at = {s["source"]: i for i, s in enumerate(side)}
+                    number = np.array([at.get(s, -1) for s in bucket.sources], dtype=np.int64)[bucket.source]
+                    here = number >= 0
+                    grid = np.zeros((len(side), width), dtype=np.int64)
+                    grid[number[here], bucket.term[here]] = bucket.n[here]
+                    grids.append(share(grid, np.array([[s["total"]] for s in side]), row["all_terms"]))
+                key = (bucket.lang, *(tuple(s["source"] for s in row[side]) for side in ("left", "right")))
+                total = sums.setdefault(key, np.zeros((len(grids[0]), len(grids[1])), dtype=np.int64))
+                for i, own in enumerate(grids[0]):
+                    total[i] += np.abs(grids[1] - own).sum(axis=1)
+                if len(sums) > 16:
+                    yield from sent()
+        yield from sent()
+
+    per_task = _in_langs(kept, groups).mapInArrow(compare, "lang string, source string, item string, value long")
+    return per_task.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+
+
+def _own_terms(kept: DataFrame, groups: DataFrame, top: int) -> DataFrame:
+    """The terms of each source with p > q, the `top` best of each bucket of terms: (lang, source, item, value)."""
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
+    sources = groups.groupBy("lang", "v", "lang_total").agg(F.collect_list(F.struct("source", "total")).alias("totals"))
+    named = kept.drop("totals", "v").join(sources, "lang")
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            for row in batch.to_pylist():
+                bucket = _Bucket(row)
+                total = {s["source"]: s["total"] for s in row["totals"]}
+                of_lang = np.zeros(len(bucket.terms), dtype=np.int64)
+                np.add.at(of_lang, bucket.term, bucket.n)
+                q = share(of_lang, np.array(row["lang_total"]), row["v"])
+                p = share(bucket.n, np.array([total[s] for s in bucket.sources])[bucket.source], row["v"])
+                value = p - q[bucket.term]
+                more = np.flatnonzero(value > 0)
+                more = more[np.lexsort((bucket.term[more], -value[more], bucket.source[more]))]
+                source = bucket.source[more]
+                first = np.searchsorted(source, source)
+                more = more[np.arange(len(more)) - first < top]
+                yield rows(
+                    schema,
+                    lang=[bucket.lang] * len(more),
+                    source=[bucket.sources[i] for i in bucket.source[more].tolist()],
+                    item=[bucket.terms[i] for i in bucket.term[more].tolist()],
+                    value=value[more],
+                )
+
+    return named.mapInArrow(choose, "lang string, source string, item string, value long")
 
 
 def divergence(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP_TERMS) -> DataFrame:
@@ -340,26 +571,18 @@ def divergence(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP_TERMS) -
     kept terms, part `term` the `top` terms that the source uses more than its language.
     """
     plain = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    counts = kept_terms(plain, least)
-    in_lang = stored(counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n")), "terms-langs")
-    langs = in_lang.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    kept = kept_counts(plain, least)
+    totals = kept.select("lang", F.explode(F.arrays_zip("sources", "totals")).alias("t"))
+    totals = totals.groupBy("lang", F.col("t.sources").alias("source")).agg(F.sum("t.totals").alias("total"))
+    langs = kept.groupBy("lang").agg(F.sum("v").alias("v"), F.sum(F.aggregate("totals", F.lit(0).cast("long"), lambda a, x: a + x)).alias("lang_total"))
     groups = plain.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
-    groups = groups.na.fill(0, ["total", "v", "lang_total"])
-    p0 = F.when(F.col("v") > 0, _share(F.lit(0).cast("long"), F.col("total"), F.col("v"))).otherwise(F.lit(0).cast("long"))
-    groups = stored(groups.withColumn("p0", p0), "terms-groups")
-
-    terms = counts.join(groups.select("lang", "source", "total", "v", "lang_total"), ["lang", "source"])
-    terms = terms.withColumn("p", _share(F.col("n"), F.col("total"), F.col("v"))).drop("n", "total")
-    own = terms.join(in_lang, ["lang", "term"]).withColumn("q", _share(F.col("lang_n"), F.col("lang_total"), F.col("v")))
-    own = own.where(F.col("p") > F.col("q")).select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
-
-    extra = _pair_sums(terms.select("lang", "source", "term", "p"), groups)
-    other = groups.select("lang", F.col("source").alias("item"), F.col("p0").alias("q0"))
-    pairs = groups.join(other, "lang").where(F.col("source") != F.col("item")).join(extra, ["lang", "source", "item"], "left")
-    value = F.col("v") * F.abs(F.col("p0") - F.col("q0")) + F.coalesce("extra", F.lit(0).cast("long"))
-    pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", value.alias("value"))
+    groups = _stored(groups.na.fill(0, ["total", "v", "lang_total"]), "terms-groups")
 
+    other = groups.select("lang", F.col("source").alias("item"))
+    pairs = groups.select("lang", "source").join(other, "lang").where(F.col("source") != F.col("item"))
+    pairs = pairs.join(_pair_sums(kept, groups), ["lang", "source", "item"], "left")
+    pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0).cast("long")).alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    ranked = own.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return pairs.withColumn("rank", F.row_number().over(order)).unionByName(ranked)
+    pairs = pairs.withColumn("rank", F.row_number().over(order))
+    own = _own_terms(kept, groups, top).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return pairs.unionByName(own.select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank"))

@@ -1,6 +1,7 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from articlelake.llm import divergence
@@ -66,9 +67,9 @@ def test_equals_brute_force(spark, monkeypatch, least, top, block):
     assert sorted(map(tuple, found.collect())) == brute_force(rows, least, top)
 
 
-def test_tiles_and_buckets_change_nothing(spark, monkeypatch):
+def test_tiles_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(divergence, "_TILE", 2)
-    monkeypatch.setattr(divergence, "_TERM_BUCKET", 5)
+    monkeypatch.setattr(divergence, "BLOCK_BYTES", 3000)  # and so many buckets
     docs = spark.createDataFrame([(*r, "x", 1, "y", 2, 3) for r in corpus()], SCHEMA)
     assert sorted(map(tuple, divergence.divergence(docs, 4).collect())) == brute_force(corpus(), 4, 50)
 
@@ -84,11 +85,32 @@ def test_empty_table_and_no_kept_terms(spark):
 
 def test_rare_terms_are_never_sent_whole(spark):
     rows = [(i, f"common zebra{'x' * i}{i}", "en", "s") for i in range(40)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    level = divergence._blocks(docs.select("lang", "source", "text"), 2)
-    sent = {(bytes(r["prefix"]), r["complete"]) for r in divergence._kind(level, "prefix", "prefix", "complete").collect()}
-    assert sent == {(b"co", False), (b"ze", False)}
-    assert [tuple(r) for r in divergence.kept_terms(docs, 30).collect()] == [("en", "s", "common", 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(2)
+    blocks, name = divergence._blocks(docs.select("lang", "source", "text"))
+    level = divergence._first_level(blocks, 1)
+    assert {(bytes(r["names"]), r["complete"]) for r in level.collect()} == {(b"comm zebr", False)}
+    level = divergence._next_level(blocks, level, 4, 50, 1)
+    assert level.count() == 0  # both are in 40 documents
+    spark.sql(f"DROP TABLE {name}")
+    kept = divergence.kept_counts(docs, 30)
+    assert [tuple(r) for r in divergence.counts(kept).collect()] == [("en", "s", "common", 40)]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("term_blocks")]
+
+
+def test_blocks_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, "common", "en", "s") for i in range(40)], "doc_id long, text string, lang string, source string")
+    blocks, name = divergence._blocks(docs.select("lang", "source", "text"))
+    level = divergence._next_level(blocks, divergence._first_level(blocks, 1), 4, 3, 1)
+    plan = level._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(block#" not in plan and "Exchange hashpartitioning(own#" in plan
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_shares_are_exact():
+    rng = np.random.default_rng(3)
+    total = rng.integers(0, 1 << 50, 200)
+    count = (total * rng.random(200)).astype(np.int64)
+    assert divergence.share(count, total, 10**6).tolist() == [1 + 10**9 * (c + 5) // (t + 5 * 10**6) for c, t in zip(count.tolist(), total.tolist())]
 
 
 def test_long_texts_are_taken_in_stretches(monkeypatch):
