@@ -102,11 +102,21 @@ def test_plan_is_best_fit_decreasing(seed):
     assert len(filled) == len(best_fit(lengths, 64))
 
 
+def cut(ids, capacity):
+    """(piece, start, length, crc) of a document's pieces, the first of which may be shorter."""
+    start, out = 0, []
+    while start < len(ids):
+        length = (len(ids) - start) % capacity or capacity
+        out.append((len(out), start, length, crc(ids[start : start + length])))
+        start += length
+    return out
+
+
 def test_packing_cuts_and_places_every_id(docs, planted_rows, byte_bpe):
     placed = packing.pack_documents(docs, capacity=256, keep_ids=True)
     rows = placed.collect()
-    expected = sorted((str(d), crc(ids_of(byte_bpe, t) + [0])) for d, t in planted_rows if len(ids_of(byte_bpe, t)) < 256)
-    assert sorted((str(r["doc_id"]), r["ids_crc32"]) for r in rows if r["length"] < 256 and r["start"] == 0 and r["piece"] == 0) >= expected[:0]
+    expected = [(str(d), *piece) for d, t in planted_rows for piece in cut(ids_of(byte_bpe, t) + [0], 256)]
+    assert sorted((str(r["doc_id"]), r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == sorted(expected)
     whole = {}
     for r in rows:
         if r["doc_id"] == 508:
