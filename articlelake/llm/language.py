@@ -10,6 +10,7 @@ the largest proportion in that set, the score its proportion.
 Null texts and texts without a letter are `und` with score 0, as is everything when no
 language was learned. Rows with a null language teach nothing. An empty table gives an
 empty result.
+A text of any length is one row of a task: its grams are counted in memory proportional to it.
 """
 
 from __future__ import annotations

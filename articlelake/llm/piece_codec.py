@@ -8,6 +8,7 @@ are unknown to a model without byte pieces, which are lost.
 
 Null texts are empty, and empty texts have no ids. Rows come back as they are, null and
 repeated doc_ids included. An empty table gives an empty result.
+A text of any length is one row of a task; a part without blanks is segmented whole.
 """
 
 from __future__ import annotations

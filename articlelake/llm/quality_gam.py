@@ -13,6 +13,7 @@ Nulls: a null text counts as empty, and empty texts are scored like any other, f
 features. Labels that are null teach nothing; several labels of one doc_id count as their
 mean, at least a half being 1. Without labelled rows every score is 0.5; with labels of
 one kind it is their smoothed share. An empty table gives an empty result.
+A text of any length is one row of a task, worked on in memory proportional to it.
 """
 
 from __future__ import annotations

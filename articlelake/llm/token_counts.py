@@ -6,6 +6,7 @@ count as the bytes they fall back to.
 
 Null and empty texts have no token and score 0. Rows come back as they are, null and
 repeated doc_ids included. An empty table gives an empty result.
+A text of any length is one row of a task; a part without blanks is segmented whole.
 """
 
 from __future__ import annotations
