@@ -21,14 +21,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents mostly in one known language; those without a letter or a main language go."""
+    """Documents mostly in one known language; those without a letter or a main language go.
+
+    A null or empty text has no letter. Where no language is left to learn from, all go.
+    """
     return language.accepted(docs, language.learn(docs.where(teaches())))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8.
 
-    Rows of one doc_id stay together; rows without a doc_id stay.
+    Rows of one doc_id stay or go together, as decisions are by doc_id: if one of them is a
+    copy of another document, all go, also one whose text is found nowhere else. Rows without
+    a doc_id, null and empty texts stay.
     """
     found = near_dedup.near_duplicates(docs)
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
@@ -36,13 +41,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without strings of 50 bytes that an earlier one holds; n_chars follows the text."""
+    """All documents, without strings of 50 bytes that an earlier one holds; n_chars follows the text.
+
+    A null text is empty; a row without a doc_id keeps its text and removes nothing.
+    """
     left = suffix_dedup.repeated_bytes(docs).select(*docs.columns)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in sequences of 2048 tokens."""
+    """Pieces of all documents and their places in sequences of 2048 tokens.
+
+    A null or empty text is its end id alone.
+    """
     placed = packing.pack_documents(docs)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
