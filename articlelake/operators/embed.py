@@ -42,6 +42,7 @@ def embed_rows(
     clock: Callable[[], float] = time.monotonic,
     tokens_per_minute: float | None = None,
     count_tokens: Callable[[str], int] = pacing.words,
+    paced_since: Callable[[], pacing.State | None] = lambda: None,
 ) -> DataFrame:
     """Vectors for (chunk_id, text_hash, retrieval_text) rows, in their partitions.
 
@@ -51,7 +52,9 @@ def embed_rows(
     `dimension` values if one is asked for. Limits on requests and on tokens are shared out
     over `parallel` partitions, as many as the rows may have: each starts requests that many
     times further apart, and waits for its share of the tokens. `wait_first` keeps the
-    distance to requests made just before. Requests that are made again are not paced.
+    distance to requests made just before. Requests that are made again are not paced. Where
+    one sequence of requests is cut over partitions, `paced_since()` tells a task the state
+    of the limits before its first request.
     """
     pace = pacing.Pace(requests_per_minute, tokens_per_minute, parallel, count_tokens)
     emit_every = EMBED_CHECKPOINT_EVERY * batch_size
@@ -89,32 +92,60 @@ def embed_rows(
 
     def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         embed = connect()
-        limiter = pace.limiter(clock, sleep, wait_first)
-        out = []
+        limiter = pace.limiter(clock, sleep, wait_first, paced_since())
+        ids, hashes, vectors = [], [], []
+
+        def made() -> pd.DataFrame:
+            parts = {"chunk_id": ids, "text_hash": hashes, "model": model, "dimension": list(map(len, vectors))}
+            return pd.DataFrame({**parts, "embedding": vectors})[columns]
+
         for batch in requests(rows):
             texts = batch["retrieval_text"].tolist()
             limiter.start(texts)
-            vectors = respond(embed, texts)
-            out.append(
-                pd.DataFrame(
-                    {
-                        "chunk_id": batch["chunk_id"].values,
-                        "text_hash": batch["text_hash"].values,
-                        "model": model,
-                        "dimension": [len(v) for v in vectors],
-                        "embedding": vectors,
-                    }
-                )
-            )
-            if sum(map(len, out)) >= emit_every:
-                yield pd.concat(out, ignore_index=True)[columns]
-                out = []
-        if out:
-            yield pd.concat(out, ignore_index=True)[columns]
+            vectors += respond(embed, texts)
+            ids += batch["chunk_id"].tolist()
+            hashes += batch["text_hash"].tolist()
+            if len(ids) >= emit_every:
+                yield made()
+                ids, hashes, vectors = [], [], []
+        if ids:
+            yield made()
 
     return pending.mapInPandas(run, VECTOR_SCHEMA)
 
 
+def in_sequence(
+    rows: DataFrame, order_by: list[str], batch_size: int, parts: int, stage: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, int]:
+    """The rows with their place in an order and their `request`, both from 0; and the requests of each of `parts`.
+
+    Ranges of the order are chosen from samples, so `stage` must write the rows to a table;
+    a row's place is its place in its range, after those of the ranges before.
+    """
+    ranged = rows.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
+    place = F.monotonically_increasing_id()
+    ranged = stage(
+        ranged.withColumns(
+            {"_range": F.shiftright(place, 33).cast("int"), "_nth": place.bitwiseAND(F.lit((1 << 33) - 1))}
+        )
+    )
+    held = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}  # of `parts` ranges
+    before, offsets = 0, []
+    for n in range(parts):
+        offsets.append(before)
+        before += held.get(n, 0)
+    each = max(1, -(-before // (batch_size * parts)))
+    place = F.element_at(F.lit(offsets).cast("array<bigint>"), F.col("_range") + 1) + F.col("_nth")
+    request = F.expr(f"place div {batch_size}")
+    return ranged.withColumn("place", place).select(*rows.columns, "place", request.alias("request")), each
+
+
+def by_requests(sequence: DataFrame, parts: int, each: int) -> DataFrame:
+    """The rows of `in_sequence` as `embed_rows` takes them: partition i begins with request i times `each`."""
+    dealt = sequence.repartitionById(parts, F.expr(f"cast(request div {each} as int)"))
+    return dealt.sortWithinPartitions("place").select("chunk_id", "text_hash", "retrieval_text")
+
+
 def to_embed(chunks: DataFrame) -> DataFrame:
     """The columns a request needs."""
     return chunks.select(

@@ -21,8 +21,26 @@ class Pace:
     parallel: int = 1
     count: Callable[[str], int] = words
 
-    def limiter(self, clock: Callable[[], float], sleep: Callable[[float], None], running: bool = False) -> "Limiter":
-        return Limiter(self, clock, sleep, running)
+    def limiter(
+        self,
+        clock: Callable[[], float],
+        sleep: Callable[[float], None],
+        running: bool = False,
+        state: "State | None" = None,
+    ) -> "Limiter":
+        limiter = Limiter(self, clock, sleep, running)
+        if state is not None:
+            limiter.state = state
+        return limiter
+
+
+@dataclass(frozen=True)
+class State:
+    """What a limiter knows between two requests: tokens left, since when, and the last start."""
+
+    level: float
+    filled: float
+    last: float | None
 
 
 class Limiter:
@@ -38,8 +56,20 @@ class Limiter:
         self._filled = clock()
         self._last = self._filled if running else None
 
+    @property
+    def state(self) -> State:
+        return State(self._level, self._filled, self._last)
+
+    @state.setter
+    def state(self, known: State) -> None:
+        self._level, self._filled, self._last = known.level, known.filled, known.last
+
     def start(self, texts: list[str]) -> None:
-        """Wait until a request of these texts may start.
+        """Wait until a request of these texts may start."""
+        self.take(sum(map(self._pace.count, texts)) if self._rate is not None else 0)
+
+    def take(self, tokens: int) -> None:
+        """Wait until a request of so many tokens may start.
 
         One of more tokens than the bucket holds starts when it is full, and those after it
         wait for what it took beyond that.
@@ -47,9 +77,7 @@ class Limiter:
         early = 0.0
         if self._interval and self._last is not None:
             early = self._interval - (self._clock() - self._last)
-        tokens = 0
         if self._rate is not None:
-            tokens = sum(map(self._pace.count, texts))
             self._fill()
             early = max(early, (min(tokens, self._room) - self._level) / self._rate)
         if early > 0:

@@ -24,10 +24,11 @@ class Endpoint:
 
     The vector of each text tells of its request: number, attempts, seconds waited since the
     request was first made, the minute and millisecond of its last start, texts and tokens.
+    `since()` tells the request and the time that a task begins with, both 0 otherwise.
     """
 
-    def __init__(self, seconds: float = 0.0, failures=lambda n: 0, count=len):
-        self.now, self.seconds, self.failures, self.count = 0.0, seconds, failures, count
+    def __init__(self, seconds: float = 0.0, failures=lambda n: 0, count=len, since=lambda: (0, 0.0)):
+        self.now, self.seconds, self.failures, self.count, self.since = 0.0, seconds, failures, count, since
 
     def clock(self) -> float:
         return self.now
@@ -36,7 +37,8 @@ class Endpoint:
         self.now += seconds
 
     def connect(self):
-        state = {"request": 0, "attempt": 0, "first": 0.0}
+        first, self.now = self.since()
+        state = {"request": first, "attempt": 0, "first": 0.0}
 
         def embed(texts):
             if not state["attempt"]:

@@ -3,7 +3,13 @@
 import hashlib
 
 import pytest
-from articlelake.plans import queries
+from pyspark.sql import functions as F
+
+from articlelake.operators import embed
+from articlelake.operators.pacing import Pace
+from articlelake.plans import jobs, queries
+from articlelake.plans.stand_in import Endpoint
+from articlelake.runtime import run_folder
 
 
 def texts(n):
@@ -21,6 +27,24 @@ def corpus(spark, tmp_path):
     return str(tmp_path)
 
 
+@pytest.fixture
+def embedded(monkeypatch):
+    """Rows of each partition that is embedded."""
+    seen = []
+
+    def counting(rows, *args, made=embed.embed_rows, **kw):
+        seen.append([r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()])
+        return made(rows, *args, **kw)
+
+    monkeypatch.setattr(embed, "embed_rows", counting)
+    return seen
+
+
+def requests():
+    all_texts = [t or "" for t in texts(450)]
+    return [all_texts[i : i + 20] for i in range(0, 450, 20)]
+
+
 def test_a_large_export_is_several_files(spark, corpus, monkeypatch):
     files = []
     write = queries.write_raw_csv
@@ -30,3 +54,35 @@ def test_a_large_export_is_several_files(spark, corpus, monkeypatch):
     assert files[0] > 1
     said = {f"https://example.test/{3 * i}": t for i, t in enumerate(texts(450))}
     assert found == {u: (t and hashlib.md5(t.encode()).hexdigest(), t and len(t)) for u, t in said.items()}
+
+
+def test_retried_requests_are_dealt_over_tasks(spark, corpus, embedded):
+    found = {tuple(r) for r in queries.retried_requests(spark, corpus).collect()}
+    assert found == {(i, i % 5 + 1, 5 * (2 ** (i % 5) - 1), len(r)) for i, r in enumerate(requests())}
+    assert len(embedded[0]) > 1 and all(n <= 120 for n in embedded[0])
+
+
+def test_paced_requests_are_dealt_over_tasks(spark, corpus, embedded, monkeypatch):
+    monkeypatch.setattr(queries, "TOKENS", 60_000, raising=False)  # fewer than there are
+    clock, expected = Endpoint(seconds=0.25), {}
+    limiter, call = Pace(60, 60_000, count=len).limiter(clock.clock, clock.sleep), clock.connect()
+    for request in requests():
+        limiter.start(request)
+        starts, tokens = expected.get(clock.now // 60, (0, 0))
+        expected[clock.now // 60] = starts + 1, tokens + sum(map(len, request))
+        call(request)
+    assert len(expected) > 2
+    assert {r.minute: (r.starts, r.tokens) for r in queries.paced_requests(spark, corpus).collect()} == expected
+    assert len(embedded[0]) > 1 and all(n <= 120 for n in embedded[0])
+
+
+def test_places_follow_an_order_with_ties_and_nulls(spark):
+    rows = spark.createDataFrame([(None if i % 5 == 0 else i // 4, f"{i:03d}") for i in range(100)], "id long, retrieval_text string")
+    rows = rows.withColumns({"chunk_id": F.col("id").cast("string"), "text_hash": F.lit("")})
+    found, each = embed.in_sequence(rows, ["id"], 7, 4, lambda r: jobs.staged(r, run_folder(spark, "rows")))
+    got = found.orderBy("place").collect()
+    assert [r.place for r in got] == list(range(100)) and [r.request for r in got] == [i // 7 for i in range(100)] and each == 4
+    ids = [-1 if r.id is None else r.id for r in got]
+    assert ids == sorted(ids) and {r.retrieval_text for r in got} == {f"{i:03d}" for i in range(100)}
+    none = embed.in_sequence(rows.limit(0), ["id"], 7, 4, lambda r: jobs.staged(r, run_folder(spark, "rows")))
+    assert none[0].count() == 0 and none[1] == 1
