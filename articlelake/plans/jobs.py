@@ -41,6 +41,8 @@ from articlelake.sources.lake import Lake
 
 OFFENDERS_SHOWN = 20
 INDEX = "article_ids"
+# what a task wrote is in place when the task ends, and stays if the job is lost later
+AS_TASKS_END = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
 @dataclass(frozen=True)
@@ -59,8 +61,8 @@ class Chunking:
 class Embedding:
     """A model behind `connect()`, which makes a client mapping texts to vectors.
 
-    Vectors are saved every `save_every` requests of each of the `parallel` tasks. Both
-    limits hold for all tasks together, the one on tokens where requests are limited;
+    Vectors are saved every `save_every` requests of each of the `parallel` tasks; without a
+    limit on requests there are as many tasks as cores. Both limits hold for all tasks together, the one on tokens where requests are limited;
     `count_tokens` should be the model's own count.
     """
 
@@ -125,21 +127,42 @@ def embed_all(
     The chunks are laid out once by their keys, in buckets: what is pending is then found
     and vectors are attached without moving a text again. What has no usable vector yet is
     dealt by a hash of its key into waves of one save interval, so a lost run repeats one
-    wave whatever the size of the table. The layout lies in `folder`, which the caller
-    removes when the rows have been read.
+    wave whatever the size of the table. Without a limit to share there is one wave, written
+    where it lies into files of one save interval: each is a task, whose vectors are saved as
+    it ends, so a lost run repeats the intervals that were under way. The layout lies in
+    `folder`, which the caller removes when the rows have been read.
     """
     paced = embedding.requests_per_minute is not None
     parallel = embedding.parallel
-    if not paced:
-        parallel = max(parallel, spark.sparkContext.defaultParallelism)
     model, dimension = embedding.model, embedding.dimension
     rows = laid_out(embed.hashed(chunks), embed.KEYS, folder or run_folder(spark, "laid-out"))
     done = embed.usable(read_vectors(spark, vectors), model, dimension).select(embed.KEYS)
     missing = rows.join(done, embed.KEYS, "left_anti")
     todo = embed.restored(missing).select("chunk_id", "text_hash", "retrieval_text")
-    n = missing.select(embed.KEYS).count()
-    waves = math.ceil(n / (embedding.batch_size * embedding.save_every * parallel))
+    interval = embedding.batch_size * embedding.save_every
+
+    def save(part: DataFrame, **pace) -> None:
+        made = embed.embed_rows(
+            part,
+            embedding.connect,
+            model,
+            embedding.batch_size,
+            embedding.requests_per_minute,
+            dimension=dimension,
+            count_tokens=embedding.count_tokens,
+            **pace,
+            **embedding.options,
+        )
+        made.write.mode("append").options(**AS_TASKS_END).parquet(vectors)
+
     with lakes.scratch(spark, "pending") as scratch:
+        if paced:
+            waves = math.ceil(missing.select(embed.KEYS).count() / (interval * parallel))
+        else:
+            waves = 0
+            todo.write.option("maxRecordsPerFile", interval).parquet(scratch)
+            with lakes.settings(spark, _file_a_task(spark)):
+                save(spark.read.schema(todo.schema).parquet(scratch))
         if waves:
             deal = {"wave": (F.lit(0), waves), "slot": (F.lit(1), parallel)}
             dealt = todo.withColumns({c: F.pmod(F.xxhash64(s, *embed.KEYS), F.lit(k)) for c, (s, k) in deal.items()})
@@ -149,19 +172,12 @@ def embed_all(
             if not lakes.exists(spark, f"{scratch}/wave={n}"):
                 continue
             part = spark.read.schema(todo.schema).parquet(f"{scratch}/wave={n}/*")
-            embed.embed_rows(
+            save(
                 part.coalesce(parallel),
-                embedding.connect,
-                model,
-                embedding.batch_size,
-                embedding.requests_per_minute,
-                parallel,
-                dimension,
+                parallel=parallel,
                 wait_first=started,
-                tokens_per_minute=embedding.tokens_per_minute if paced else None,
-                count_tokens=embedding.count_tokens,
-                **embedding.options,
-            ).write.mode("append").parquet(vectors)
+                tokens_per_minute=embedding.tokens_per_minute,
+            )
             started = True
 
     saved = read_vectors(spark, vectors)
@@ -186,6 +202,11 @@ def laid_out(rows: DataFrame, keys: list[str], folder: str) -> DataFrame:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _file_a_task(spark: SparkSession) -> dict[str, str]:
+    """Settings under which small files are not read together."""
+    return {"spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes")}
+
+
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     """Vectors saved so far, none where nothing was."""
     if not lakes.exists(spark, path):

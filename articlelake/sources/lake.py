@@ -335,7 +335,7 @@ def compact(
         "spark.sql.files.openCostInBytes": "0",
         "spark.sql.files.minPartitionNum": "1",
     }
-    with _settings(spark, packing), ThreadPoolExecutor(at_once) as pool:
+    with settings(spark, packing), ThreadPoolExecutor(at_once) as pool:
         return list(pool.map(lambda r: _compact_partition(spark, table, r["year"], r["batch_id"]), rows))
 
 
@@ -374,7 +374,7 @@ def _data_files(spark: SparkSession, folder: str) -> set[tuple[str, int, int]]:
 
 
 @contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Session settings for the length of a block."""
     before = {name: spark.conf.get(name, None) for name in values}
     try:

@@ -86,3 +86,25 @@ def test_places_follow_an_order_with_ties_and_nulls(spark):
     assert ids == sorted(ids) and {r.retrieval_text for r in got} == {f"{i:03d}" for i in range(100)}
     none = embed.in_sequence(rows.limit(0), ["id"], 7, 4, lambda r: jobs.staged(r, run_folder(spark, "rows")))
     assert none[0].count() == 0 and none[1] == 1
+
+
+def test_unpaced_intervals_are_tasks_of_one_job(spark, embedded):
+    chunks = spark.range(600).select(F.format_string("a:%d", "id").alias("chunk_id"), F.format_string("text %d", "id").alias("retrieval_text"))
+    chunks, vectors = jobs.staged(chunks, run_folder(spark, "chunks")), run_folder(spark, "vectors")
+
+    def connect():
+        def call(texts):
+            if "text 7" in texts:
+                raise RuntimeError("down")
+            return [[1.0] * 4 for _ in texts]
+
+        return call
+
+    lost = jobs.Embedding(connect, "m", 4, batch_size=5, requests_per_minute=None, save_every=2, options={"waits": ()})
+    with pytest.raises(Exception, match="down"):
+        jobs.embed_all(spark, chunks, vectors, lost)
+    assert len(embedded) == 1 and max(embedded[0]) <= 10 and sum(embedded[0]) == 600
+    saved = jobs.read_vectors(spark, vectors).count()
+    whole = jobs.Embedding(lambda: lambda texts: [[1.0] * 4 for _ in texts], "m", 4, requests_per_minute=None)
+    assert jobs.embed_all(spark, chunks, vectors, whole).where("embedding is not null").count() == 600
+    assert sum(embedded[1]) == 600 - saved
