@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 UNICODE_EDGES = r"(?U)^\s+|\s+\z"
 # the wider whitespace class used when collapsing article text: White_Space and the
 # four separators U+001C to U+001F. Written as one property, it is tested in one step
-# per character; spelled out as ranges it is four times slower.
-TEXT_SPACE = r"(?U)[\s\x1c-\x1f]+"
+# per character; spelled out as ranges it is four times slower. A single space is no match:
+# it would only be replaced by itself.
+TEXT_SPACE = r"(?U)[\s\x1c-\x1f](?:(?<! )[\s\x1c-\x1f]*|[\s\x1c-\x1f]+)"
 NON_SPACE = r"(?U)[^\s\x1c-\x1f]"
 # a sentence ends in . ! or ? and the next opens with an ASCII capital or digit,
-# optionally behind one quote or bracket; runs of space are one space by then
-SENTENCE_GAP = r"(?<=[.!?]) (?=[\"'(\[]?[A-Z0-9])"
+# optionally behind one quote or bracket; runs of space are one space by then. The space is
+# looked for first, so that any other character takes one step.
+SENTENCE_GAP = r" (?<=[.!?] )(?=[\"'(\[]?[A-Z0-9])"
 LOCAL_OFFSET = r"\+08:00\z"
 ISO_FORMAT = "yyyy-M-d H:m:s"
 MONTH_FIRST_FORMAT = "M/d/yyyy H:m"

@@ -108,3 +108,10 @@ def test_unpaced_intervals_are_tasks_of_one_job(spark, embedded):
     whole = jobs.Embedding(lambda: lambda texts: [[1.0] * 4 for _ in texts], "m", 4, requests_per_minute=None)
     assert jobs.embed_all(spark, chunks, vectors, whole).where("embedding is not null").count() == 600
     assert sum(embedded[1]) == 600 - saved
+
+
+def test_whitespace_is_collapsed_whatever_the_run(spark):
+    runs = [" ", "  ", "\n", " \n", "\n ", "\t \t", "\x1c", " \x1f ", " ", "  ", "　 "]
+    rows = [(f"{a}x{b}y{a}{b}z w{b}",) for a in runs for b in runs]
+    for said, got in spark.createDataFrame(rows, "t string").select("t", queries.text.collapse_space(F.col("t"))).collect():
+        assert got == " ".join(said.split()), repr(said)
