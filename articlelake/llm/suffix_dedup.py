@@ -48,6 +48,7 @@ ANCHOR = 16
 BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20
+PIECE_BYTES = 1 << 17  # of a block, for which hashes and minima are held at a time
 HOT = 8192
 _U = np.uint64
 _NONE = np.iinfo(np.int64).max
@@ -67,7 +68,23 @@ def _least_in(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: first position, windows, hash of the anchor, document."""
+    """Runs of windows with one anchor: first position, windows, hash of the anchor, document.
+
+    No window runs over the end of a document, so some documents at a time are worked on.
+    """
+    found, begin = [], 0
+    while begin < len(offsets) - 1:
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + PIECE_BYTES, side="right")) - 1)
+        low, high = offsets[begin], offsets[end]
+        first, windows, hashes, doc = _stretches(data[low:high], offsets[begin : end + 1] - low, length)
+        found.append((first + low, windows, hashes, doc + begin))
+        begin = end
+    found = found or [_stretches(data[:0], np.zeros(1, dtype=np.int64), length)]
+    first, windows, hashes, doc = map(np.concatenate, zip(*found))
+    return first, windows, hashes, doc
+
+
+def _stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     none = np.zeros(0, dtype=np.int64)
     anchor = min(ANCHOR, length)
     if anchor < 8:
@@ -181,17 +198,19 @@ class Shard:
         group = np.cumsum(shared[order] < length) - 1
         windows = np.repeat(starts - np.cumsum(self.counts) + self.counts, self.counts) + np.arange(self.counts.sum())
         own = group[rank[windows]]
-        used, self.group = np.unique(own, return_inverse=True)
-        self.least = np.full(len(used), _NONE)
+        used = np.zeros(len(symbols), dtype=bool)
+        used[own] = True
+        self.group = (np.cumsum(used) - 1)[own]
+        self.least = np.full(int(used.sum()), _NONE)
         np.minimum.at(self.least, self.group, np.repeat(owners, self.counts))
-        first = np.empty(len(used), dtype=np.int64)
-        first[self.group[::-1]] = windows[::-1]
-        self._text, self._first, self._length = text, first, length
+        self._text, self._windows, self._length = text, windows, length
 
     def keys(self) -> np.ndarray:
         """The distinct windows, in the order of the groups, which is sorted."""
         view = np.lib.stride_tricks.sliding_window_view(self._text, self._length)
-        return np.ascontiguousarray(view[self._first]).view(f"S{self._length}").ravel()
+        first = np.empty(len(self.least), dtype=np.int64)
+        first[self.group[::-1]] = self._windows[::-1]
+        return np.ascontiguousarray(view[first]).view(f"S{self._length}").ravel()
 
 
 def merge(shards: list[Shard]) -> None:
@@ -212,6 +231,13 @@ def merge(shards: list[Shard]) -> None:
 
 def least_owners(strings: list[bytes], owners: np.ndarray, length: int, shard_bytes: int = SHARD_BYTES) -> list[np.ndarray]:
     """Per distinct string, for each of its windows the least owner of any string that holds it."""
+    ends = np.cumsum([len(s) - length + 1 for s in strings]).tolist()
+    least = _least(strings, owners, length, shard_bytes)
+    return [least[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _least(strings: list[bytes], owners: np.ndarray, length: int, shard_bytes: int = SHARD_BYTES) -> np.ndarray:
+    """The same for the windows of all strings, one after another."""
     sizes = np.cumsum([len(s) + 1 for s in strings])
     cuts = np.searchsorted(sizes, np.arange(shard_bytes, int(sizes[-1]) + shard_bytes, shard_bytes), side="right") if strings else []
     shards, begin = [], 0
@@ -220,11 +246,7 @@ def least_owners(strings: list[bytes], owners: np.ndarray, length: int, shard_by
             shards.append(Shard(strings[begin:end], owners[begin:end], length))
             begin = end
     merge(shards)
-    out = []
-    for shard in shards:
-        least, ends = shard.least[shard.group], np.cumsum(shard.counts).tolist()
-        out += [least[a:b] for a, b in zip([0, *ends], ends)]
-    return out
+    return np.concatenate([np.zeros(0, dtype=np.int64), *(shard.least[shard.group] for shard in shards)])
 
 
 # --- the job ------------------------------------------------------------------------------
@@ -319,9 +341,9 @@ class _Block:
         hashes = np.concatenate([self.hashes[cold], _hashes(self.data, single, self.length)])
         own = _bucket(hashes, buckets)
         own[len(cold) :] += buckets
-        whole, numbered, number = self.data.tobytes(), {}, np.empty(len(first), dtype=np.int64)
-        for i, (a, b) in enumerate(zip(first.tolist(), (first + windows + self.length - 1).tolist())):
-            number[i] = numbered.setdefault(whole[a:b], len(numbered))
+        whole, numbered, ends = self.data.tobytes(), {}, first + windows + self.length - 1
+        known = numbered.setdefault
+        number = np.array([known(whole[a:b], len(numbered)) for a, b in zip(first.tolist(), ends.tolist())], dtype=np.int64)
         bucket, part = np.zeros(len(numbered), dtype=np.int64), np.zeros(len(numbered), dtype=np.uint8)
         bucket[number] = own
         part[number] = (hashes & _U(255)).astype(np.uint8)
@@ -432,18 +454,17 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
         every = np.concatenate([np.array(n) for n in number])
         np.minimum.at(least, every, np.concatenate(owners))
         part[every] = np.concatenate(parts)
-        strings = list(numbered)
-        if group["bucket"][0].as_py() >= buckets:  # hot windows: equal ones are one string already
-            packed = [_runs(least[i : i + 1]) for i in range(len(strings))]
-        else:
-            packed = [b""] * len(strings)
+        strings, order = list(numbered), np.arange(len(numbered))
+        windows = np.array([len(s) - length + 1 for s in strings], dtype=np.int64)
+        if group["bucket"][0].as_py() < buckets:  # others are hot windows: equal ones are one string already
             filled = np.cumsum(np.bincount(part, weights=[len(s) + 1 for s in strings]))
             shard = (filled // SHARD_BYTES)[part]
             order = np.argsort(shard, kind="stable")
-            for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                for i, f in zip(own.tolist(), least_owners([strings[i] for i in own.tolist()], least[own], length)):
-                    packed[i] = _runs(f)
-        out = [b"".join([packed[i] for i in own]) for own in number]
+            shards = np.split(order, np.flatnonzero(np.diff(shard[order])) + 1)
+            least = np.concatenate([_least([strings[i] for i in own.tolist()], least[own], length) for own in shards])
+        runs, place = _Runs.of(least, windows[order]), np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        out = [runs.packed(place[own]) for own in number]
         return pa.table({"block": group["block"], "bucket": group["bucket"], "answers": pa.array(out, pa.binary())})
 
     dealt = blocks.join(bits, "block").select("data", "sizes", "rest", "block", "bits")
@@ -467,36 +488,66 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
     return result.select(*columns, "kept", "n_bytes", "n_removed", "spans")
 
 
-def _runs(least: np.ndarray) -> bytes:
-    """Runs of equal owners: their number, how many windows each has, and the owners."""
-    begins = np.flatnonzero(np.append(True, np.diff(least) != 0))
-    head = np.array([len(begins), *np.diff(begins, append=len(least))], dtype="<u4")
-    return head.tobytes() + least[begins].astype("<i8").tobytes()
+def _ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers from each `first` on, `count` of them, one after another."""
+    return np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
+class _Runs:
+    """Runs of windows with one owner: how many each string has, where in it they end, and the owners."""
+
+    def __init__(self, count: np.ndarray, ends: np.ndarray, owners: np.ndarray):
+        self.count, self.ends, self.owners = count, ends, owners
+        self.first = np.cumsum(count) - count
+
+    @classmethod
+    def of(cls, owners: np.ndarray, windows: np.ndarray) -> "_Runs":
+        """Of the owners of all windows, one string after another."""
+        starts = np.cumsum(windows) - windows
+        new = np.diff(owners, prepend=-1) != 0
+        new[starts] = True
+        begins = np.flatnonzero(new)
+        of = np.searchsorted(starts, begins, side="right") - 1
+        ends = np.append(begins[1:], len(owners)) - starts[of]
+        return cls(np.bincount(of, minlength=len(windows)), ends, owners[begins])
+
+    def packed(self, strings: np.ndarray) -> bytes:
+        """Those of the strings of these numbers."""
+        count = self.count[strings]
+        at = _ragged(self.first[strings], count)
+        return count.astype("<u4").tobytes() + self.ends[at].astype("<u4").tobytes() + self.owners[at].astype("<i8").tobytes()
+
+    @classmethod
+    def unpacked(cls, answers: list[bytes], strings: list[int]) -> "_Runs":
+        """The `packed` runs of several lots of so many strings, one lot after another."""
+        count, ends, owners = [], [], []
+        for answer, n in zip(answers, strings):
+            count.append(np.frombuffer(answer, "<u4", n).astype(np.int64))
+            held = int(count[-1].sum())
+            ends.append(np.frombuffer(answer, "<u4", held, 4 * n).astype(np.int64))
+            owners.append(np.frombuffer(answer, "<i8", held, 4 * (n + held)))
+        return cls(*map(np.concatenate, (count, ends, owners)))
 
 
 def _covered(block: _Block, buckets: int, bits: list[dict], answers: list[dict]) -> np.ndarray:
     """Which bytes of the block lie in a window that an earlier document holds."""
     first, _, ids, number, strings, bucket, _ = block.repeated(buckets, bits)
-    change = np.zeros(len(block.data) + 1, dtype=np.int32)
-    sent = {a["bucket"]: a["answers"] for a in answers or []}
-    runs: list[tuple[np.ndarray, np.ndarray]] = [None] * len(strings)
+    if not strings:
+        return np.zeros(len(block.data), dtype=bool)
+    sent = {a["bucket"]: a["answers"] for a in answers}
     order = np.argsort(bucket, kind="stable")
-    for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
-        answer, place = sent[int(bucket[own[0]])], 0
-        for i in own.tolist():
-            count = int(np.frombuffer(answer, "<u4", 1, place)[0])
-            ends = np.cumsum(np.frombuffer(answer, "<u4", count, place + 4))
-            owners = np.frombuffer(answer, "<i8", count, place + 4 + 4 * count)
-            place += 4 + 12 * count
-            runs[i] = (ends, owners)
-    for begin, n, doc_id in zip(first.tolist(), number.tolist(), ids.tolist()):
-        ends, owners = runs[n]
-        last = 0
-        for end, owner in zip(ends.tolist(), owners.tolist()):
-            if owner < doc_id:
-                change[begin + last] += 1
-                change[begin + end + block.length - 1] -= 1
-            last = end
+    lots = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)
+    runs = _Runs.unpacked([sent[int(bucket[own[0]])] for own in lots], [len(own) for own in lots])
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    begins = np.append(0, runs.ends[:-1])
+    begins[runs.first] = 0
+    count = runs.count[place[number]]
+    at = _ragged(runs.first[place[number]], count)
+    earlier = runs.owners[at] < np.repeat(ids, count)
+    at, own = at[earlier], np.repeat(first, count)[earlier]
+    n = len(block.data) + 1
+    change = np.bincount(own + begins[at], minlength=n) - np.bincount(own + runs.ends[at] + block.length - 1, minlength=n)
     return np.cumsum(change[:-1]) > 0
 
 
