@@ -15,6 +15,9 @@ DIALECT = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 # columns would not be checked.
 MOST_PIECES = 100_000  # of files, that a table of 10 MB describes; more are read a file by a task
 STRICT = {"mode": "FAILFAST", "enforceSchema": False, "columnPruning": False}
+# Nothing between two commas is NULL, "" is an empty text. Spark reads both as NULL as long as
+# its mark for NULL is the empty text; with a mark that no field holds it tells them apart.
+TOLD_APART = {"nullValue": "\n\x00"}
 
 
 def flag(c: Column) -> Column:
@@ -48,13 +51,13 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw articles by column name, other columns ignored.
 
     Rows with more or fewer fields than the header are errors, as are files whose headers
-    differ. Where records span lines, the borders of records are found from the quotes, so
-    that a large file is still read by many tasks. All columns are read as text: a schema
-    would bind by position.
+    differ. A field of nothing is NULL, one of two quotes an empty text. Where records span
+    lines, the borders of records are found from the quotes, so that a large file is still
+    read by many tasks. All columns are read as text: a schema would bind by position.
     """
     pieces = quote_parity(spark, path).limit(MOST_PIECES + 1).collect()
     known = len(pieces) <= MOST_PIECES
-    reader = spark.read.options(**DIALECT, **STRICT)
+    reader = spark.read.options(**DIALECT, **STRICT, **TOLD_APART)
     if not (any(p["lines_odd"] for p in pieces) if known else has_spanning_records(spark, path)):
         rows = reader.csv(path)
     elif known:
@@ -145,7 +148,7 @@ def parsed(found: DataFrame, names: list[str]) -> DataFrame:
     """Records split into named columns of text; every file must begin with these names."""
     value = F.regexp_replace("value", "\r\\z", "")
     fields = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
-    options = {**{k: str(v) for k, v in DIALECT.items() if k != "header"}, "mode": "FAILFAST", "multiLine": "true"}
+    options = {**{k: str(v) for k, v in DIALECT.items() if k != "header"}, **TOLD_APART, "mode": "FAILFAST", "multiLine": "true"}
     split = F.from_csv(F.col("line"), fields, options)
     rows = found.select("first", value.alias("line")).where(F.col("line") != "").select("first", split.alias("row"))
     same = F.lit(True)
